@@ -79,28 +79,31 @@ def _spec_columns(df: DataFrame) -> list[str]:
     return [c for c, _ in S.TRIP_SPEC if c in df.columns]
 
 
-def trip_metric_aggregates(flagged: DataFrame, parts: Sequence[str] = PARTS) -> list[Column]:
-    """Named aggregate expressions for the requested metric parts."""
+def trip_metric_aggregates(flagged: DataFrame, parts: Sequence[str] = PARTS) -> dict[str, Column]:
+    """Aggregate expressions (by output name) for the requested metric parts."""
     checks = check_columns(flagged)
-    aggs = [F.count(F.lit(1)).alias(_TOTAL)]
+    aggs: dict[str, Column] = {_TOTAL: F.count(F.lit(1))}
     if "counts" in parts:
         verdict = and_all(F.col(c) for c in checks)
-        aggs.append(count_true(verdict).alias(_pass_col("rows")))
-        aggs.append(F.count_if(verdict.isNull()).alias(_null_col("rows")))
+        aggs[_pass_col("rows")] = count_true(verdict)
+        aggs[_null_col("rows")] = F.count_if(verdict.isNull())
     if "nulls" in parts:
         for c in _spec_columns(flagged):
-            like = trip_null_like(F.col(c), flagged.schema[c].dataType)
-            aggs.append(F.count_if(like).alias(_null_col(c)))
+            aggs[_null_col(c)] = F.count_if(trip_null_like(F.col(c), flagged.schema[c].dataType))
     if "checks" in parts:
         for c in checks:
-            aggs.append(count_true(F.col(c)).alias(_pass_col(c)))
-            aggs.append(count_false(F.col(c)).alias(_fail_col(c)))
+            aggs[_pass_col(c)] = count_true(F.col(c))
+            aggs[_fail_col(c)] = count_false(F.col(c))
     if "domain_range" in parts:
         verdict = and_all(F.col(c) for c in domain_check_columns(flagged))
-        aggs.append(count_true(verdict).alias(_pass_col("domain_range_all")))
+        aggs[_pass_col("domain_range_all")] = count_true(verdict)
     return aggs
 
 
+def named(aggs: dict[str, Column]) -> list[Column]:
+    return [c.alias(n) for n, c in aggs.items()]
+
+
 def trip_metric_rows(totals: DataFrame, flagged_columns: Sequence[str],
                      parts: Sequence[str] = PARTS, run_ts: datetime | None = None) -> DataFrame:
     """Unpivot the one-row aggregate frame into the unified long metric table.
@@ -141,7 +144,7 @@ def trip_metric_rows(totals: DataFrame, flagged_columns: Sequence[str],
 def trip_metrics(flagged: DataFrame, parts: Sequence[str] = PARTS,
                  run_ts: datetime | None = None) -> DataFrame:
     """All requested bronze trip metrics from one aggregate over the flagged trips."""
-    totals = flagged.agg(*trip_metric_aggregates(flagged, parts))
+    totals = flagged.agg(*named(trip_metric_aggregates(flagged, parts)))
     return trip_metric_rows(totals, flagged.columns, parts, run_ts)
 
 
