@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tripmart import schemas as S
 from tripmart.functions.checks import trip_null_like, zone_null_like
-from tripmart.functions.logic import and_all, count_false, count_true
+from tripmart.functions.logic import and_all, count_true
 from tripmart.operators.bronze import check_columns, domain_check_columns
 
 PARTS = ("counts", "nulls", "checks", "domain_range")
@@ -47,98 +47,108 @@ def _fail_col(name: str) -> str:
     return f"n__fail__{name}"
 
 
-def _rate(passed: Column, total: Column) -> Column:
-    """Pass rate text, ``%.6f``; 1.0 when nothing was decided."""
-    rate = F.when(total == 0, F.lit(1.0)).otherwise(passed / total)
-    return F.format_string(S.PASS_RATE_FORMAT, rate)
-
-
 def _share(part: Column, total: Column) -> Column:
     """part / total as double; NULL for an empty table."""
     return F.when(total > 0, part / total)
 
 
-def _struct(metric: str | Column, value: Column | None = None, pass_count: Column | None = None,
-            fail_count: Column | None = None, pass_rate: Column | None = None,
-            category: str = "") -> Column:
-    def typed(c: Column | None, t: str) -> Column:
-        return (c if c is not None else F.lit(None)).cast(t)
-
-    return F.struct(
-        (F.lit(metric) if isinstance(metric, str) else metric).alias("metric"),
-        typed(value, "string").alias("value"),
-        typed(pass_count, "bigint").alias("pass_count"),
-        typed(fail_count, "bigint").alias("fail_count"),
-        typed(pass_rate, "string").alias("pass_rate"),
-        F.lit(category).alias("category"),
-    )
-
-
 def _spec_columns(df: DataFrame) -> list[str]:
     """Expected trip columns present in the frame (case-sensitive)."""
     return [c for c, _ in S.TRIP_SPEC if c in df.columns]
 
 
+def _null_like_sql(name: str, dtype: T.DataType) -> str:
+    c = _q(name)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return f"{c} IS NULL OR isnan({c})"
+    if isinstance(dtype, T.StringType):
+        return f"{c} IS NULL OR length(trim({c})) = 0"
+    return f"{c} IS NULL"
+
+
+def _and_sql(names: Sequence[str]) -> str:
+    return "(" + " AND ".join(_q(n) for n in names) + ")" if names else "TRUE"
+
+
 def trip_metric_aggregates(flagged: DataFrame, parts: Sequence[str] = PARTS) -> dict[str, Column]:
-    """Aggregate expressions (by output name) for the requested metric parts."""
+    """Aggregate expressions (by output name) for the requested metric parts.
+
+    Null-likeness: NaN counts as NULL for float columns, blank text for strings.
+    """
     checks = check_columns(flagged)
-    aggs: dict[str, Column] = {_TOTAL: F.count(F.lit(1))}
+    sql: dict[str, str] = {_TOTAL: "count(1)"}
     if "counts" in parts:
-        verdict = and_all(F.col(c) for c in checks)
-        aggs[_pass_col("rows")] = count_true(verdict)
-        aggs[_null_col("rows")] = F.count_if(verdict.isNull())
+        verdict = _and_sql(checks)
+        sql[_pass_col("rows")] = f"count_if({verdict})"
+        sql[_null_col("rows")] = f"count_if({verdict} IS NULL)"
     if "nulls" in parts:
         for c in _spec_columns(flagged):
-            aggs[_null_col(c)] = F.count_if(trip_null_like(F.col(c), flagged.schema[c].dataType))
+            sql[_null_col(c)] = f"count_if({_null_like_sql(c, flagged.schema[c].dataType)})"
     if "checks" in parts:
         for c in checks:
-            aggs[_pass_col(c)] = count_true(F.col(c))
-            aggs[_fail_col(c)] = count_false(F.col(c))
+            sql[_pass_col(c)] = f"count_if({_q(c)})"
+            sql[_fail_col(c)] = f"count_if(NOT {_q(c)})"
     if "domain_range" in parts:
-        verdict = and_all(F.col(c) for c in domain_check_columns(flagged))
-        aggs[_pass_col("domain_range_all")] = count_true(verdict)
-    return aggs
+        sql[_pass_col("domain_range_all")] = f"count_if({_and_sql(domain_check_columns(flagged))})"
+    return {name: F.expr(e) for name, e in sql.items()}
 
 
 def named(aggs: dict[str, Column]) -> list[Column]:
     return [c.alias(n) for n, c in aggs.items()]
 
 
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
+def _sql_rate(p: str, total: str) -> str:
+    """Pass rate text, ``%.6f``; 1.0 when nothing was decided."""
+    return (f"format_string('{S.PASS_RATE_FORMAT}', "
+            f"CASE WHEN {total} = 0 THEN 1.0D ELSE {p} / {total} END)")
+
+
+def _sql_row(metric: str, value: str = "NULL", p: str = "NULL", f: str = "NULL",
+             rate: str = "NULL", category: str = "") -> str:
+    return (f"'{metric}', CAST({value} AS STRING), CAST({p} AS BIGINT), CAST({f} AS BIGINT), "
+            f"CAST({rate} AS STRING), '{category}'")
+
+
 def trip_metric_rows(totals: DataFrame, flagged_columns: Sequence[str],
                      parts: Sequence[str] = PARTS, run_ts: datetime | None = None) -> DataFrame:
     """Unpivot the one-row aggregate frame into the unified long metric table.
 
     ``flagged_columns`` are the columns of the flagged frame the totals came from.
-    Output schema: ``schemas.METRIC_SCHEMA``.
+    The unpivot is one ``stack`` expression. Output schema: ``schemas.METRIC_SCHEMA``.
     """
-    total = F.col(_TOTAL)
+    total = _q(_TOTAL)
     checks = [c for c in flagged_columns if c.startswith(S.CHECK_PREFIX)]
-    rows: list[Column] = []
+    rows: list[str] = []
     if "counts" in parts:
-        passed, undecided = F.col(_pass_col("rows")), F.col(_null_col("rows"))
+        passed, undecided = _q(_pass_col("rows")), _q(_null_col("rows"))
         rows += [
-            _struct("row_count_total", total, category="counts"),
-            _struct("row_count_pass", passed, category="counts"),
-            _struct("row_count_reject", total - passed, category="counts"),
-            _struct("row_count_indeterminate", undecided, category="counts"),
+            _sql_row("row_count_total", total, category="counts"),
+            _sql_row("row_count_pass", passed, category="counts"),
+            _sql_row("row_count_reject", f"{total} - {passed}", category="counts"),
+            _sql_row("row_count_indeterminate", undecided, category="counts"),
         ]
     if "nulls" in parts:
         for c in [c for c, _ in S.TRIP_SPEC if c in flagged_columns]:
-            rows.append(_struct(f"null_pct_{c}", _share(F.col(_null_col(c)), total),
-                                category="nulls"))
+            share = f"CASE WHEN {total} > 0 THEN {_q(_null_col(c))} / {total} END"
+            rows.append(_sql_row(f"null_pct_{c}", share, category="nulls"))
     if "checks" in parts:
         for c in checks:
-            p, f = F.col(_pass_col(c)), F.col(_fail_col(c))
+            p, f = _q(_pass_col(c)), _q(_fail_col(c))
             category = "type" if c.endswith(S.TYPE_CHECK_SUFFIX) else "domain_range"
-            rows.append(_struct(c, None, p, f, _rate(p, p + f), category))
+            rows.append(_sql_row(c, "NULL", p, f, _sql_rate(p, f"({p} + {f})"), category))
     if "domain_range" in parts:
-        p = F.col(_pass_col("domain_range_all"))
-        rows.append(_struct("domain_range_all", None, p, total - p, _rate(p, total),
-                            "domain_range"))
+        p = _q(_pass_col("domain_range_all"))
+        rows.append(_sql_row("domain_range_all", "NULL", p, f"{total} - {p}",
+                             _sql_rate(p, total), "domain_range"))
     if not rows:
         return totals.sparkSession.createDataFrame([], S.METRIC_SCHEMA)
-    return (totals.select(F.inline(F.array(*rows)))
-            .withColumn("run_ts", _ts(run_ts)))
+    names = ", ".join(f.name for f in S.METRIC_SCHEMA.fields if f.name != "run_ts")
+    stacked = totals.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS ({names})")
+    return stacked.withColumn("run_ts", _ts(run_ts))
 
 
 def trip_metrics(flagged: DataFrame, parts: Sequence[str] = PARTS,
