@@ -9,6 +9,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Fused whole-stage-codegen stages over wide rows (31 checks, 42 curated columns)
+# produce generated methods above HotSpot's 8 KB JIT limit; without this option such
+# a method stays interpreted and runs several times slower. Set it on executors too.
+JVM_OPTIONS = "-XX:-DontCompileHugeMethods"
+
+
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
                   app: str = "tripmart", driver_memory: str = "8g",
                   event_log_dir: str | None = None) -> SparkSession:
@@ -22,6 +28,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.driver.memory", driver_memory)
+         .config("spark.driver.extraJavaOptions", JVM_OPTIONS)
+         .config("spark.executor.extraJavaOptions", JVM_OPTIONS)
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if event_log_dir:
         b = (b.config("spark.eventLog.enabled", "true")
