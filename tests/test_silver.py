@@ -106,3 +106,16 @@ def test_weekly_summary(spark):
                               "trip_distance double")
     r = silver.weekly_summary(t).collect()[0]
     assert (r.row_count, r.total_revenue, r.total_miles) == (3, 30.0, 3.0)
+
+
+def test_zone_reference_flags(spark):
+    from tripmart.operators import bronze, integrity
+    rows = [good_trip(PULocationID=1, DOLocationID=2), good_trip(PULocationID=7, DOLocationID=2),
+            good_trip(PULocationID=None, DOLocationID=2)]
+    z = spark.createDataFrame([("1", "A", "Z1", "S"), ("2", "B", "Z2", "S"), ("x", "C", "Z", "S")],
+                              S.ZONE_SCHEMA)
+    flagged = integrity.add_zone_ref_checks(bronze.flag_trips(trips(spark, rows)), z)
+    got = sorted((r.PULocationID or 0, r.chk_PULocationID_ref_ok, r.chk_DOLocationID_ref_ok, r.dq_pass)
+                 for r in flagged.collect())
+    assert got == [(0, None, True, None), (1, True, True, True), (7, False, True, False)]
+    assert flagged.count() == 3

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart import schemas as S
-from tripmart.operators import bronze, gold, inspect, metrics, silver
+from tripmart.operators import bronze, gold, inspect, integrity, metrics, silver
 from tripmart.operators.joins import broadcast_if_small, orphans
 from tripmart.session import ensure_utc
 from tripmart.sources import fixtures as fx
@@ -165,6 +165,8 @@ _QUERIES: dict[str, Query] = {
             "pu_location_id", "do_location_id", "total_amount"),
     "curated": curated,
     # J4
+    "trip_zone_ref_checks": lambda s, sf: integrity.add_zone_ref_checks(
+        trips_flagged(s, sf), zones_bronze(s, sf)),
     "orphan_pickup_zones": _orphans("pu_location_id"),
     "orphan_dropoff_zones": _orphans("do_location_id"),
     # silver weekly summary and gold KPIs: A8, A9, P42-P47, O1

@@ -325,6 +325,14 @@ def oracle_sql() -> dict[str, str]:
             "(SELECT *, printf('%04d-W%02d', year(pickup_datetime), week(pickup_datetime)) "
             "AS pickup_week_id FROM trips_std))"),
         "curated": _with("SELECT * FROM curated"),
+        "trip_zone_ref_checks": _with(
+            "SELECT * EXCLUDE (dq_pass), (dq_pass AND chk_PULocationID_ref_ok AND "
+            "chk_DOLocationID_ref_ok) AS dq_pass FROM (SELECT *, "
+            "CASE WHEN PULocationID IS NULL THEN NULL ELSE PULocationID IN "
+            "(SELECT location_id FROM zone_dim) END AS chk_PULocationID_ref_ok, "
+            "CASE WHEN DOLocationID IS NULL THEN NULL ELSE DOLocationID IN "
+            "(SELECT location_id FROM zone_dim) END AS chk_DOLocationID_ref_ok "
+            "FROM trip_flagged)"),
         "orphan_pickup_zones": _with(
             "SELECT pu_location_id, count(*) AS orphan_trips FROM curated c "
             "WHERE NOT EXISTS (SELECT 1 FROM zone_dim z WHERE z.location_id = c.pu_location_id) "
