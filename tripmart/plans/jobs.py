@@ -11,8 +11,9 @@ Scan economy at scale:
 * **silver** - reads only the pass partition and the columns it needs, one shuffle
   (de-duplication); the weekly summary reads the *written* curated table (four
   columns) instead of recomputing the lineage.
-* **gold** - aggregates the curated table (partial aggregation), writes KPIs
-  partitioned by week; previews and the run summary read the small written KPI table.
+* **gold** - aggregates the curated table (partial aggregation) once, keeps the small
+  KPI table (weeks x boroughs) in memory, writes it partitioned by week and derives the
+  previews and the run summary from it.
 
 Every hand-over is a written table, which also cuts the lineage: a lost executor
 costs a re-run of its tasks in the current job only.
@@ -142,14 +143,19 @@ def run_gold(spark: SparkSession, silver_curated: str, gold_path: str, preview_b
     silver_df = readers.read_nonempty(spark, silver_curated)
     if silver_df is None:
         return None
-    sinks.write_gold(gold.weekly_kpis(silver_df, ordered=False), gold_path)
-    kpis = readers.read_gold(spark, gold_path)
-    sinks.write_csv_preview(gold.kpi_preview(kpis), f"{preview_base}/full_kpis")
-    for c in S.KPI_SLICES:
-        sinks.write_csv_preview(gold.kpi_slice(kpis, c), f"{preview_base}/{c}")
-    summary = gold.run_summary(kpis, run_id, metrics.now_utc().isoformat(),
-                               silver_curated, gold_path)
-    sinks.write_json(summary, f"{preview_base}/run_summary")
+    # The KPI table is small (weeks x boroughs): aggregate once, keep it for the gold
+    # write and the seven small outputs instead of re-listing every week partition.
+    kpis = gold.weekly_kpis(silver_df, ordered=False).persist()
+    try:
+        sinks.write_gold(kpis, gold_path)
+        sinks.write_csv_preview(gold.kpi_preview(kpis), f"{preview_base}/full_kpis")
+        for c in S.KPI_SLICES:
+            sinks.write_csv_preview(gold.kpi_slice(kpis, c), f"{preview_base}/{c}")
+        summary = gold.run_summary(kpis, run_id, metrics.now_utc().isoformat(),
+                                   silver_curated, gold_path)
+        sinks.write_json(summary, f"{preview_base}/run_summary")
+    finally:
+        kpis.unpersist()
     return summary
 
 

@@ -35,8 +35,13 @@ def write_if_schema(df: DataFrame, path: str) -> bool:
 
 
 def write_gold(kpis: DataFrame, path: str) -> None:
-    """Gold KPIs as Parquet partitioned by week id (readers prune by week)."""
-    kpis.write.mode("overwrite").partitionBy("pickup_week_id").parquet(path)
+    """Gold KPIs as Parquet partitioned by week id (readers prune by week).
+
+    The KPI table holds one row per week and borough, so clustering it by week first
+    is a cheap shuffle that leaves one file per week instead of one per task and week.
+    """
+    (kpis.repartition("pickup_week_id")
+     .write.mode("overwrite").partitionBy("pickup_week_id").parquet(path))
 
 
 def write_csv_preview(df: DataFrame, path: str) -> None:
