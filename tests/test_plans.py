@@ -12,10 +12,6 @@ from tripmart.plans import catalog, oracle
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 
-def plan_text(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def formatted(df, capsys):
     df.explain("formatted")
     return capsys.readouterr().out
