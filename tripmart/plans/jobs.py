@@ -21,7 +21,6 @@ costs a re-run of its tasks in the current job only.
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -151,8 +150,8 @@ def run_gold(spark: SparkSession, silver_curated: str, gold_path: str, preview_b
         sinks.write_csv_preview(gold.kpi_preview(kpis), f"{preview_base}/full_kpis")
         for c in S.KPI_SLICES:
             sinks.write_csv_preview(gold.kpi_slice(kpis, c), f"{preview_base}/{c}")
-        summary = gold.run_summary(kpis, run_id, metrics.now_utc().isoformat(),
-                                   silver_curated, gold_path)
+        run_ts = metrics.now_utc().isoformat().replace("+00:00", "Z")  # ISO instant
+        summary = gold.run_summary(kpis, run_id, run_ts, silver_curated, gold_path)
         sinks.write_json(summary, f"{preview_base}/run_summary")
     finally:
         kpis.unpersist()
@@ -177,6 +176,5 @@ def run_all(spark: SparkSession, raw_trips: DataFrame, raw_zones: DataFrame,
     run_bronze_zones(raw_zones, p["bronze_zones"], run_ts)
     run_bronze_trips(raw_trips, p["bronze_trips"], run_ts)
     run_silver(spark, p["bronze_trips"], f"{p['bronze_zones']}/full_dq_checked", p["silver"], run_ts)
-    run_gold(spark, f"{p['silver']}/curated", p["gold"], p["gold_preview"],
-             run_id=uuid.uuid4().hex[:8])
+    run_gold(spark, f"{p['silver']}/curated", p["gold"], p["gold_preview"])
     return p

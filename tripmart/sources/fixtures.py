@@ -24,55 +24,59 @@ def _case(*pairs: tuple[Column, object], default: object) -> Column:
     return out.otherwise(d)
 
 
+# The mapping as SQL expressions (the same text as FIXTURES.md, Spark dialect).
+_HASH = "l_orderkey*31 + l_partkey*17 + l_linenumber*7 AS h"
+_BASE = [
+    "h", "l_shipdate", "l_quantity", "l_suppkey",
+    "floor(l_extendedprice/1000)*0.25E0 + 2.5E0 AS base",
+    "(h*37) % 86400 AS off_s",
+    "CASE WHEN h%97=0 THEN -300 WHEN h%89=0 THEN 90000 "
+    "ELSE CAST(l_quantity AS BIGINT)*60 + (h%4)*15 END AS dur_s",
+]
+_TRIP = [
+    "h",
+    "CAST(CASE WHEN h%61=0 THEN 3 WHEN h%4=0 THEN 1 WHEN h%4=1 THEN 2 WHEN h%4=2 THEN 6 "
+    "ELSE 7 END AS INT) AS VendorID",
+    "timestampadd(SECOND, CAST(off_s AS INT), l_shipdate) AS tpep_pickup_datetime",
+    "timestampadd(SECOND, CAST(off_s+dur_s AS INT), l_shipdate) AS tpep_dropoff_datetime",
+    "CAST(CASE WHEN h%13=0 THEN NULL WHEN h%29=0 THEN 0 ELSE h%6+1 END AS BIGINT) "
+    "AS passenger_count",
+    "CASE WHEN h%83=0 THEN -1.0E0 WHEN h%71=0 THEN 0.0E0 ELSE l_quantity*0.25E0 END "
+    "AS trip_distance",
+    "CAST(CASE WHEN h%13=0 THEN NULL WHEN h%101=0 THEN 50 WHEN h%23=0 THEN 99 "
+    "ELSE h%6+1 END AS BIGINT) AS RatecodeID",
+    "CASE WHEN h%13=0 THEN NULL WHEN h%211=0 THEN 'X' WHEN h%11=0 THEN ' ' "
+    "WHEN h%11=1 THEN 'y ' ELSE 'N' END AS store_and_fwd_flag",
+    "CAST(CASE WHEN h%109=0 THEN 0 ELSE h%26+1 END AS INT) AS PULocationID",
+    "CAST(CASE WHEN h%113=0 THEN -1 ELSE (h*3+l_suppkey)%26+1 END AS INT) AS DOLocationID",
+    "CAST(CASE WHEN h%103=0 THEN 9 ELSE h%7 END AS BIGINT) AS payment_type",
+    "CASE WHEN h%107=0 THEN -base ELSE base END AS fare_amount",
+    "(h%3)*0.5E0 AS extra",
+    "0.5E0 AS mta_tax",
+    "(h%9)*0.25E0 AS tip_amount",
+    "CASE WHEN h%19=0 THEN 6.5E0 ELSE 0.0E0 END AS tolls_amount",
+    "1.0E0 AS improvement_surcharge",
+    "base + (h%3)*0.5E0 + (h%9)*0.25E0 + 1.5E0 AS total_amount",
+    "CASE WHEN h%13=0 THEN NULL ELSE 2.5E0 END AS congestion_surcharge",
+    "CASE WHEN h%17=0 THEN 1.75E0 ELSE 0.0E0 END AS Airport_fee",
+    "0.75E0 AS cbd_congestion_fee",
+]
+TRIP_COLUMNS = [e.rsplit(" AS ", 1)[1] for e in _TRIP[1:]]
+
+
 def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """Raw trips (20 columns, the ``Airport_fee`` spelling) from line items."""
-    li = lineitem.select(*LINEITEM_COLUMNS)
-    h = F.col("h")
-    li = li.select(
-        (F.col("l_orderkey") * 31 + F.col("l_partkey") * 17 + F.col("l_linenumber") * 7).alias("h"),
-        "l_shipdate", "l_quantity", "l_suppkey", "l_extendedprice")
-    base = F.floor(F.col("l_extendedprice") / 1000) * 0.25 + 2.5
-    off_s = (h * 37) % 86400
-    dur_s = _case((h % 97 == 0, -300), (h % 89 == 0, 90000),
-                  default=F.col("l_quantity").cast("bigint") * 60 + (h % 4) * 15)
-    null = F.lit(None)
-    trips = li.select(
-        h,
-        _case((h % 61 == 0, 3), (h % 4 == 0, 1), (h % 4 == 1, 2), (h % 4 == 2, 6),
-              default=7).cast("int").alias("VendorID"),
-        F.timestamp_add("SECOND", off_s.cast("int"), F.col("l_shipdate"))
-        .alias("tpep_pickup_datetime"),
-        F.timestamp_add("SECOND", (off_s + dur_s).cast("int"), F.col("l_shipdate"))
-        .alias("tpep_dropoff_datetime"),
-        _case((h % 13 == 0, null), (h % 29 == 0, 0), default=h % 6 + 1)
-        .cast("bigint").alias("passenger_count"),
-        _case((h % 83 == 0, -1.0), (h % 71 == 0, 0.0), default=F.col("l_quantity") * 0.25)
-        .alias("trip_distance"),
-        _case((h % 13 == 0, null), (h % 101 == 0, 50), (h % 23 == 0, 99), default=h % 6 + 1)
-        .cast("bigint").alias("RatecodeID"),
-        _case((h % 13 == 0, null), (h % 211 == 0, "X"), (h % 11 == 0, " "), (h % 11 == 1, "y "),
-              default="N").cast("string").alias("store_and_fwd_flag"),
-        _case((h % 109 == 0, 0), default=h % 26 + 1).cast("int").alias("PULocationID"),
-        _case((h % 113 == 0, -1), default=(h * 3 + F.col("l_suppkey")) % 26 + 1)
-        .cast("int").alias("DOLocationID"),
-        _case((h % 103 == 0, 9), default=h % 7).cast("bigint").alias("payment_type"),
-        _case((h % 107 == 0, -base), default=base).alias("fare_amount"),
-        ((h % 3) * 0.5).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        ((h % 9) * 0.25).alias("tip_amount"),
-        _case((h % 19 == 0, 6.5), default=0.0).alias("tolls_amount"),
-        F.lit(1.0).alias("improvement_surcharge"),
-        (base + (h % 3) * 0.5 + (h % 9) * 0.25 + 1.5).alias("total_amount"),
-        _case((h % 13 == 0, null), default=2.5).cast("double").alias("congestion_surcharge"),
-        _case((h % 17 == 0, 1.75), default=0.0).alias("Airport_fee"),
-        F.lit(0.75).alias("cbd_congestion_fee"),
-    )
-    # Emit each trip as a struct, once or twice. Predicates of later layers refer to
-    # the generated columns, so they stay above the generator and every trip value is
-    # computed once per line item instead of being inlined into a pushed-down filter.
-    cols = [c for c in trips.columns if c != "h"]
-    copies = F.when(h % 50 == 0, F.lit(2)).otherwise(F.lit(1))
-    return trips.select(F.inline(F.array_repeat(F.struct(*cols), copies)))
+    """Raw trips (20 columns, the ``Airport_fee`` spelling) from line items.
+
+    Each trip is emitted as a struct, once or twice (``h % 50 = 0``). Predicates of
+    later layers refer to the generated columns, so they stay above the generator and
+    every trip value is computed once per line item instead of being inlined into a
+    filter pushed down to the scan.
+    """
+    trips = (lineitem.select(*LINEITEM_COLUMNS)
+             .selectExpr("*", _HASH).selectExpr(*_BASE).selectExpr(*_TRIP))
+    copies = "CASE WHEN h%50=0 THEN 2 ELSE 1 END"
+    return trips.selectExpr(
+        f"inline(array_repeat(struct({', '.join(TRIP_COLUMNS)}), {copies}))")
 
 
 def zones_from_nation_region(nation: DataFrame, region: DataFrame) -> DataFrame:
