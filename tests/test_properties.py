@@ -82,3 +82,31 @@ def test_verdicts_match_rules(spark, rows):
     got = [r.dq_pass for r in bronze.flag_trips(df).collect()]
     assert got == [expected(r) for r in data]
     assert len(RAW_SCHEMA.fields) == 20
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 40 * 365 * 86400), st.integers(-3600, 30000),
+                          st.sampled_from([0.0, 0.5, 3.25]), st.sampled_from([0.0, 7.5, 12.25])),
+                min_size=10, max_size=60))
+def test_derived_columns_match_python_calendar(spark, rows):
+    from tripmart.operators import silver
+
+    base = datetime(1995, 1, 1)
+    data = [(base + timedelta(seconds=s), base + timedelta(seconds=s + d), dist, total)
+            for s, d, dist, total in rows]
+    df = spark.createDataFrame(data, "pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, "
+                                     "trip_distance double, total_amount double")
+    got = silver.add_derived_columns(df).collect()
+    for (pu, do, dist, total), r in zip(data, got):
+        iso = pu.isocalendar()
+        assert r.pickup_week_id == f"{pu.year:04d}-W{iso[1]:02d}"
+        assert r.pickup_week_start == (pu - timedelta(days=pu.weekday())).date()
+        assert r.pickup_hour == pu.hour and r.pickup_day_of_week == pu.strftime("%a")
+        minutes = (do - pu).total_seconds() / 60.0
+        assert r.trip_minutes == (None if minutes < 0 else minutes)
+        assert r.is_weekend == (pu.weekday() >= 5)
+        assert r.is_peak_hour == (pu.hour in (7, 8, 17, 18))
+        assert r.is_night == (pu.hour >= 20 or pu.hour < 6)
+        assert r.revenue_per_mile == (total / dist if dist > 0 else None)
+        m = r.trip_minutes
+        assert r.trip_mph == (dist / (m / 60.0) if m is not None and m > 0 else None)

@@ -19,7 +19,8 @@ from tripmart.operators import bronze, gold, inspect, integrity, metrics, silver
 from tripmart.operators.joins import broadcast_if_small, orphans
 from tripmart.session import ensure_utc
 from tripmart.sources import fixtures as fx
-from tripmart.sources import readers, sinks
+from tripmart.plans import jobs
+from tripmart.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -201,8 +202,7 @@ _QUERIES: dict[str, Query] = {
     "json_summary_roundtrip": lambda s, sf: readers.roundtrip_run_summary(kpis(s, sf)),
     "zones_csv_scan": lambda s, sf: readers.roundtrip_zones_csv(zones_raw(s, sf)),
     "first_available_source": lambda s, sf: readers.first_available_zones(zones_raw(s, sf)),
-    "write_outcomes": lambda s, sf: sinks.write_outcomes(
-        bronze.split_flagged(trips_flagged(s, sf))),
+    "write_outcomes": lambda s, sf: jobs.bronze_outcomes(trips_raw(s, sf)),
 }
 
 

@@ -89,6 +89,19 @@ def run_bronze_trips(raw: DataFrame, out_base: str,
     return spark.read.parquet(f"{out_base}/_run_summary_all")
 
 
+def bronze_outcomes(raw: DataFrame) -> DataFrame:
+    """Run the bronze trip job into the shared folder and report what it wrote:
+    (output, written, rows) per ``dq_status``, read back from the written table."""
+    from tripmart.session import scratch_path
+
+    base = scratch_path(raw.sparkSession, "bronze-job")
+    run_bronze_trips(raw, base)
+    return (raw.sparkSession.read.parquet(f"{base}/{TRIPS_DIR}")
+            .groupBy(F.col(S.DQ_STATUS).alias("output"))
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .select("output", (F.col("rows") > 0).alias("written"), "rows"))
+
+
 def _totals_frame(spark: SparkSession, aggs: dict, values: dict) -> DataFrame:
     """The observed aggregate values as a one-row frame (one column per aggregate)."""
     names = list(aggs)

@@ -395,11 +395,9 @@ def oracle_sql() -> dict[str, str]:
         "zones_csv_scan": _with("SELECT * FROM zones_raw"),
         "first_available_source": _with("SELECT * FROM zones_raw"),
         "write_outcomes": _with(
-            "SELECT 'pass' AS output, count(*) > 0 AS written, count(*) AS rows "
-            "FROM trip_flagged WHERE dq_pass UNION ALL "
-            "SELECT '_rejects', count(*) > 0, count(*) FROM trip_flagged WHERE NOT dq_pass "
-            "UNION ALL SELECT '_indeterminate', count(*) > 0, count(*) FROM trip_flagged "
-            "WHERE dq_pass IS NULL"),
+            "SELECT CASE WHEN dq_pass THEN 'pass' WHEN NOT dq_pass THEN 'reject' "
+            "ELSE 'indeterminate' END AS output, count(*) > 0 AS written, count(*) AS rows "
+            "FROM trip_flagged GROUP BY 1"),
     }
     for c in S.KPI_SLICES:
         q[f"slice_{c}"] = _slice(c)

@@ -7,10 +7,6 @@ preview tables are written as a single file.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from tripmart import schemas as S
 
 
 def single_file(df: DataFrame) -> DataFrame:
@@ -60,27 +56,3 @@ def write_zones_csv(zones: DataFrame, path: str) -> None:
 
 def write_json(df: DataFrame, path: str) -> None:
     single_file(df).write.mode("overwrite").json(path)
-
-
-def write_outcomes(split) -> DataFrame:
-    """Write the bronze split with ``write_if_rows`` into the shared folder and report,
-    per output, whether it was written and how many rows the written table holds."""
-    from tripmart.session import scratch_path
-
-    spark = split.passed.sparkSession
-    base = scratch_path(spark, "bronze-split")
-    frames = []
-    for name, df in (("pass", split.passed), ("_rejects", split.rejects),
-                     ("_indeterminate", split.indeterminate)):
-        path = f"{base}/{name}"
-        written = write_if_rows(df, path)
-        if written:
-            rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
-        else:
-            rows = spark.range(1).select(F.lit(0).cast("bigint").alias("rows"))
-        frames.append(rows.select(F.lit(name).alias("output"),
-                                  F.lit(written).alias("written"), "rows"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
