@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tripmart import schemas as S
 from tripmart.operators import bronze
-from tests.helpers import DROPOFF, PICKUP, good_trip, trips
+from tests.helpers import PICKUP, good_trip, trips
 
 RAW_NAMES = [c if c != "airport_fee" else "airport_fee" for c, _ in S.TRIP_SPEC]
 

@@ -1,7 +1,6 @@
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tripmart import schemas as S
 from tripmart.operators import silver

@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripmart import schemas as S
 from tripmart.operators import gold
