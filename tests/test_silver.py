@@ -118,3 +118,13 @@ def test_zone_reference_flags(spark):
                  for r in flagged.collect())
     assert got == [(0, None, True, None), (1, True, True, True), (7, False, True, False)]
     assert flagged.count() == 3
+
+
+def test_null_pickup_week_id_text_and_ride_id(spark):
+    t = spark.createDataFrame([(None, None, 1.0, 5.0)],
+                              "pickup_datetime timestamp, dropoff_datetime timestamp, "
+                              "trip_distance double, total_amount double")
+    r = silver.add_derived_columns(t).collect()[0]
+    assert r.pickup_week_id == "null-Wnull" and r.trip_minutes is None
+    out = silver.finalize(silver.add_derived_columns(t)).collect()[0]
+    assert out.ride_id is not None and len(out.ride_id) == 64
