@@ -9,8 +9,15 @@ from tripmart import schemas as S
 
 
 def week_id(ts: Column) -> Column:
-    """Calendar year plus ISO week, ``2025-W02``. 2024-12-30 gives ``2024-W01``."""
-    return F.format_string(S.WEEK_ID_FORMAT, F.year(ts), F.weekofyear(ts))
+    """Calendar year plus ISO week, ``2025-W02``. 2024-12-30 gives ``2024-W01``.
+
+    Same text as ``format_string('%04d-W%02d', year, week)``; for years 0-9999 it is
+    built with ``lpad``, which avoids a ``java.util.Formatter`` call per trip. Other
+    years and a NULL time (``null-Wnull``) go through ``format_string``.
+    """
+    y, w = F.year(ts), F.weekofyear(ts)
+    fast = F.concat(F.lpad(y.cast("string"), 4, "0"), F.lit("-W"), F.lpad(w.cast("string"), 2, "0"))
+    return F.when(y.between(0, 9999), fast).otherwise(F.format_string(S.WEEK_ID_FORMAT, y, w))
 
 
 def week_start(ts: Column) -> Column:
