@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart import schemas as S
-from tripmart.functions.checks import trip_domain_checks, trip_type_checks, zone_checks
+from tripmart.functions.checks import quoted, trip_domain_checks, trip_type_checks, zone_checks
 from tripmart.functions.logic import and_all
 from tripmart.functions.text import blank_to_null
 
@@ -59,14 +59,14 @@ def _add_checks(df: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     work, alias, renamed = _positional(df)
     dtypes = {n: work.schema[alias[n]].dataType for n in original}
 
-    def ref(n: str) -> Column:
-        return F.col(alias[n])
+    def ident(n: str) -> str:
+        return quoted(alias[n])
 
     checks: list[tuple[str, Column]] = []
     if "type" in kinds:
-        checks += trip_type_checks(original, ref)
+        checks += trip_type_checks(original, ident)
     if "domain" in kinds:
-        checks += trip_domain_checks(dtypes, ref)
+        checks += trip_domain_checks(dtypes, ident)
     names = [n for n, _ in checks]
     keep = [n for n in original if n not in names]
     out = work.select(*[F.col(alias[n]) for n in keep], *[e.alias(n) for n, e in checks])
