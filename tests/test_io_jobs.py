@@ -86,3 +86,17 @@ def test_silver_job_skips_empty_bronze(spark, tmp_path):
     jobs.run_bronze_zones(z, str(tmp_path / "z"))
     res = jobs.run_silver(spark, base, str(tmp_path / "z/full_dq_checked"), str(tmp_path / "s"))
     assert res == {"curated": False, "_run_summary_weekly": False}
+
+
+def test_read_bronze_splits(spark, tmp_path):
+    from tests.helpers import good_trip, trips
+    rows = [good_trip(), good_trip(VendorID=3), good_trip(passenger_count=None)]
+    base = str(tmp_path / "b")
+    jobs.run_bronze_trips(trips(spark, rows), base)
+    passed = jobs.read_bronze(spark, base, "pass")
+    rejects = jobs.read_bronze(spark, base, "reject")
+    undecided = jobs.read_bronze(spark, base, "indeterminate")
+    assert (passed.count(), rejects.count(), undecided.count()) == (1, 1, 1)
+    assert not any(c.startswith("chk_") or c in ("dq_pass", "dq_status") for c in passed.columns)
+    assert "dq_pass" in rejects.columns and len(bronze.check_columns(rejects)) == 31
+    assert undecided.first().dq_pass is None

@@ -135,9 +135,10 @@ def run_silver(spark: SparkSession, bronze_base: str, zones_path: str, out_base:
     curated = silver.curate(passed, zones)
     curated.write.mode("overwrite").parquet(f"{out_base}/curated")
     written = spark.read.parquet(f"{out_base}/curated")
-    weekly = sinks.single_file(silver.weekly_summary(written, run_ts))
-    return {"curated": True,
-            "_run_summary_weekly": write_if_rows(weekly, f"{out_base}/_run_summary_weekly")}
+    # A non-empty curated table has at least one week: no emptiness probe needed.
+    sinks.single_file(silver.weekly_summary(written, run_ts)).write.mode("overwrite").parquet(
+        f"{out_base}/_run_summary_weekly")
+    return {"curated": True, "_run_summary_weekly": True}
 
 
 # ---------------------------------------------------------------------------
