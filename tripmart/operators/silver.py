@@ -143,10 +143,10 @@ def with_ride_id(df: DataFrame) -> DataFrame:
         F.col("pu_location_id"), F.col("do_location_id"), F.col("total_amount")))
 
 
-def dedup_rides(df: DataFrame) -> DataFrame:
-    """One row per ``ride_id``: the first by the 20 conformed columns (a total order
+def dedup_rides(df: DataFrame, key: str = "ride_id") -> DataFrame:
+    """One row per ``key``: the first by the 20 conformed columns (a total order
     on distinct trips, so re-runs and task retries keep the same row)."""
-    return keep_first(df, ["ride_id"], ascending(SILVER_NAMES))
+    return keep_first(df, [key], ascending(SILVER_NAMES))
 
 
 def finalize(df: DataFrame) -> DataFrame:
@@ -160,7 +160,13 @@ def curate(pass_trips: DataFrame, zones: DataFrame,
            max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Bronze pass trips + bronze zones -> curated silver trips (42 columns)."""
     conformed = standardize_trips(pass_trips).select(*SILVER_NAMES)
-    deduped = dedup_rides(with_ride_id(conformed))
+    # The exchange carries the 32-byte digest instead of its 64-character hex text and
+    # no week id; both are rebuilt after it (the same values, one-to-one).
+    keyed = conformed.withColumn("__ride_key", F.unhex(ride_id(
+        F.col("vendor_id"), F.col("pickup_datetime"), week_id(F.col("pickup_datetime")),
+        F.col("pu_location_id"), F.col("do_location_id"), F.col("total_amount"))))
+    deduped = (dedup_rides(keyed, "__ride_key")
+               .withColumn("ride_id", F.lower(F.hex("__ride_key"))).drop("__ride_key"))
     enriched = add_derived_columns(join_zones(deduped, zones, max_broadcast_rows))
     return enriched.select(*S.SILVER_ORDER)
 
