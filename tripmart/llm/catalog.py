@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, embeddings, lm, mixing, quality, rules, sharding, tokenfile, toxicity
+from tripmart.llm import bpe, embeddings, lm, minhash, mixing, quality, rules, sharding, tokenfile, toxicity
 from tripmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,13 +62,17 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.link(table(spark, sf_dir, "embeddings"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_bpe, op2_context_tree, op3_mixing, op4_token_files, op5_toxicity, op6_sharding, op7_quality, op8_host_rules,
-    op9_embeddings)}
+    op9_embeddings, op10_minhash)}
 
 
 def queries() -> dict[str, Query]:

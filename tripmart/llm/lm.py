@@ -306,7 +306,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(key).alias("k"),
                        (fold(key, folds) == held_fold).alias("held_out"), F.col(text).cast("binary").alias("text"))
     words = stored(count_words(rows.select(~F.col("held_out"), "text")), "lm-words")
-    trained, kinds = words.agg(F.sum("c"), F.count_if("c > 0")).first()
+    trained, kinds = words.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
     texts = docs.where(fold(key, folds) != held_fold).count()
     total, kinds = (trained or 0) + texts, kinds + (texts > 0)
     tree = fit(words, texts, depth, least)
