@@ -1,23 +1,26 @@
 """Language-model scoring by context-tree weighting over bytes.
 
-A text is a run of tokens: its words, each closed by a space byte, then one end symbol. The model
-codes the bytes one after the other; a byte's context are up to ``depth`` bytes before it, back to
-the space before its word. Each byte is eight binary decisions, and for every decision the tree of
+A text is a run of tokens: its words and one end, each closed by a space byte. The model codes the
+bytes one after the other; a byte's context are up to ``depth`` bytes before it, back to its word's
+start. There stands one more symbol, the accent: which of 18 classes the last non-ASCII byte of the
+``RECENT`` words before belongs to, or none; it tells scripts and languages apart. Each byte is
+eight binary decisions, and for every decision the tree of
 contexts mixes the Krichevsky-Trofimov estimates of all depths: a node weighs its own estimate
 against the product of its longer contexts, by how well either would have coded the training data.
 
-How it is computed: words are counted over all training texts (one shuffle, combined before it).
-The bytes and contexts of the distinct words, weighted by those counts, give the counts of every
-context and next byte (a second, small shuffle). Contexts that hold at least ``least`` of all coded bytes stay; there are
-at most 1 / least of them at each depth, whatever the size of the corpus, so the tree has a proven
-bound. Rarer contexts are pooled, as one more longer context, in the one above them. As contexts
-end at the word's start, a word's code length depends on the word alone: it is computed once for
-each distinct word, and texts look their words up: words with at least ``hot`` of all tokens (at
-most 1 / hot) in a broadcast table, the others by a join on a 64-bit hash.
+How it is computed: words are counted with their accent over all training texts (one shuffle,
+combined before it). The bytes and contexts of the distinct words, weighted by those counts, give
+the counts of every context and next byte (a second, small shuffle). Contexts that hold at least
+``least`` of all coded bytes stay; there are at most 1 / least of them at each depth, whatever the
+size of the corpus, so the tree has a proven bound. Rarer contexts are pooled, as one more longer
+context, in the one above them. As contexts end at the word's start, a word's code length depends
+on the word and its accent alone: it is computed once for each such pair, and texts look their
+words up: pairs with at least ``hot`` of all tokens (at most 1 / hot) in a broadcast table, the
+others by a join on a 64-bit hash.
 
 The base score is the add-one unigram score of the same tokens.
 
-Cases: a null text counts as empty and is scored as its end symbol alone; a null key counts as empty
+Cases: a null text counts as empty and is scored as its end alone; a null key counts as empty
 text in the training split; repeated rows are scored each, and train the model each; words never
 seen in training are coded by the contexts they share with others; without training rows every
 binary decision costs one bit; an empty table gives no rows; other columns are not read.
@@ -33,6 +36,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import fold, stored
@@ -40,12 +44,33 @@ from tripmart.llm.common import fold, stored
 DEPTH = 6
 LEAST = 3e-6
 HOT = 1e-5
-SPACE, STOP = 0x20, 0x0A
-
-
-def words_of(text: bytes | None) -> list[bytes]:
-    """Words in lower case (A-Z only); bytes are split at the six ASCII white-space bytes."""
-    return text.lower().split() if text else []
+RECENT = 16
+SPACE = 0x20
+END = b"\n"
+#: Bytes that no word holds: no accent, and the accents' classes.
+ACCENTS = bytes([0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0xC0, 0xC1, *range(0xF5, 0x100)])
+STARTS = np.isin(np.arange(256), list(b" " + ACCENTS))
+_ASCII = bytes(range(128))
+
+
+def tokens_of(text: bytes | None) -> list[bytes]:
+    """Accent and token, for the words in lower case (A-Z only; bytes are split at the six ASCII
+    white-space bytes) and the end."""
+    text = text or b""
+    words = text.lower().split()
+    words.append(END)
+    if text.isascii():
+        return [b" " + w for w in words]
+    out, accent, age = [], b" ", 0
+    for w in words:
+        out.append(accent + w)
+        if not w.isascii():
+            accent, age = ACCENTS[(k := w.translate(None, _ASCII)[-1] % len(ACCENTS)):k + 1], 0
+        elif age < RECENT:
+            age += 1
+        else:
+            accent = b" "
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -53,18 +78,19 @@ def words_of(text: bytes | None) -> list[bytes]:
 # ---------------------------------------------------------------------------
 
 def count_words(rows: DataFrame) -> DataFrame:
-    """``word (binary), h, c`` from ``train, text (binary)``; words of other texts have c = 0."""
+    """``pair (accent and word), word, h (of the pair), c, word_c (over all accents), nth (among the
+    word's pairs)`` from ``train, text (binary)``; pairs of other texts have c = 0."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out():
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
+                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["pair", "c"])
 
         seen: Counter[bytes] = Counter()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 for train, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    words = words_of(text)
+                    words = tokens_of(text)
                     if train:
                         seen.update(words)
                     else:
@@ -76,32 +102,34 @@ def count_words(rows: DataFrame) -> DataFrame:
                     seen.clear()
         yield out()
 
-    counted = rows.mapInArrow(work, "word binary, c bigint")
-    return counted.groupBy("word").agg(F.sum("c").alias("c")).withColumn("h", F.xxhash64("word"))
-
-
-def contexts(words: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each coded byte of the words: the byte, its context's bytes (nearest in the lowest
-    place), the context's length (its farthest byte is a space if shorter than ``depth``), and the
-    word's number."""
-    data = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
-    n = len(data) - 1
-    context, length = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    alive = np.ones(n, bool)
+    counted = rows.mapInArrow(work, "pair binary, c bigint").groupBy("pair").agg(F.sum("c").alias("c"))
+    counted = counted.withColumn("word", F.expr("substring(pair, 2)")).withColumn("h", F.xxhash64("pair"))
+    same = W.partitionBy("word")  # as many rows as accents at most
+    return counted.withColumn("word_c", F.sum("c").over(same)).withColumn("nth", F.row_number().over(same.orderBy("pair")))
+
+
+def contexts(pairs: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each coded byte of the pairs' words: the byte, its context's bytes (nearest in the lowest
+    place), the context's length (its farthest byte is the accent if shorter than ``depth``), and the
+    pair's number."""
+    data = np.frombuffer(b" ".join(pairs) + b" ", np.uint8)
+    size = np.array([len(p) + 1 for p in pairs])
+    start = np.zeros(len(data), bool)
+    start[np.cumsum(size) - size] = True
+    n = len(data)
+    context, length, alive = np.zeros(n, np.int64), np.zeros(n, np.int64), ~start
     for j in range(1, depth + 1):
-        near = np.zeros(n, np.int64)
-        near[j - 1:] = data[:n - j + 1]
-        alive = alive.copy()
-        alive[:j - 1] = False
+        near, first = np.zeros(n, np.int64), np.zeros(n, bool)
+        near[j:], first[j:] = data[:n - j], start[:n - j]
         context |= np.where(alive, near << (8 * (j - 1)), 0)
         length += alive
-        alive &= near != SPACE
-    owner = np.repeat(np.arange(len(words)), [len(w) + 1 for w in words])
-    return data[1:].astype(np.int64), context, length, owner
+        alive = alive & ~first
+    coded = np.flatnonzero(~start)
+    return data[coded].astype(np.int64), context[coded], length[coded], np.repeat(np.arange(len(pairs)), size - 1)
 
 
 def count_contexts(words: DataFrame, depth: int) -> DataFrame:
-    """``d, context, byte, n`` for the contexts of every depth, from ``word, c``."""
+    """``d, context, byte, n`` for the contexts of every depth, from ``pair, c``."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out():
             keys, place = np.unique(np.concatenate(held[0]), return_inverse=True)
@@ -127,7 +155,7 @@ def count_contexts(words: DataFrame, depth: int) -> DataFrame:
         if size:
             yield out()
 
-    grams = words.select("word", "c").mapInArrow(work, "key bigint, length bigint, n bigint")
+    grams = words.select("pair", "c").mapInArrow(work, "key bigint, length bigint, n bigint")
     grams = grams.groupBy("key", "length").agg(F.sum("n").alias("n"))
     each = grams.withColumn("d", F.explode(F.expr("sequence(0L, length)")))
     mask = F.expr("CASE WHEN d = 0 THEN 0L ELSE shiftrightunsigned(-1L, cast(64 - 8 * d AS int)) END")
@@ -167,7 +195,7 @@ class Tree:
         shorter = np.where(depths > 0, bytes_ & ((1 << (8 * np.maximum(depths - 1, 0))) - 1), 0)
         self.parent = np.searchsorted(self.keys, np.maximum(depths - 1, 0) << 56 | shorter)
         farthest = (bytes_ >> (8 * np.maximum(depths - 1, 0))) & 255
-        leaf = (depths == depth) | ((depths > 0) & (farthest == SPACE))
+        leaf = (depths == depth) | ((depths > 0) & STARTS[farthest])
         # the binary decisions: 1, then the bits so far
         level = np.arange(8)
         path = (1 << level)[None, :] | (byte[:, None] >> (8 - level)[None, :])
@@ -250,48 +278,38 @@ class Tree:
             total += np.log10(np.where(bit == 1, one, 1 - one))
         return total
 
-    def score(self, words: list[bytes]) -> np.ndarray:
-        """log10 of each word's probability, its closing space included."""
-        total = np.zeros(len(words))
-        if not words:
-            return total
-        start = self.step(np.zeros(1, np.int64), np.array([SPACE])) if len(self.keys) else np.zeros(1, np.int64)
-        data = np.frombuffer(b" ".join(words) + b" ", np.uint8).astype(np.int64)
-        size = np.array([len(w) + 1 for w in words])
-        first = np.concatenate([[0], np.cumsum(size)[:-1]])
+    def score(self, pairs: list[bytes]) -> np.ndarray:
+        """log10 of each pair's word's probability, its closing space included."""
+        if not pairs:
+            return np.zeros(0)
+        data = np.frombuffer(b" ".join(pairs) + b" ", np.uint8).astype(np.int64)
+        size = np.array([len(p) + 1 for p in pairs])
+        first = np.cumsum(size) - size
         order = np.argsort(-size, kind="stable")
-        longest_first = size[order]
-        states = np.empty(len(data), np.int64)
-        state = np.full(len(words), start[0])
-        for i in range(int(longest_first[0])):
-            alive = int(np.searchsorted(-longest_first, -i, side="left"))
+        states = np.zeros(len(data), np.int64)
+        state = np.zeros(len(pairs), np.int64)
+        for i in range(int(size.max())):  # all words byte by byte, the longest first
+            alive = int(np.searchsorted(-size[order], -i, side="left"))
             at = first[order[:alive]] + i
             states[at] = state[:alive]
             if len(self.keys):
                 state[:alive] = self.step(state[:alive], data[at])
-        pairs, place = np.unique(states << 8 | data, return_inverse=True)
-        each = self.cost(pairs >> 8, pairs & 255)[place]
+        kinds, place = np.unique(states << 8 | data, return_inverse=True)
+        each = self.cost(kinds >> 8, kinds & 255)[place]
+        each[first] = 0  # the accent is given, not coded
         return np.add.reduceat(each, first)
 
-    def stop(self) -> float:
-        """log10 of the end symbol's probability."""
-        start = self.step(np.zeros(1, np.int64), np.array([SPACE])) if len(self.keys) else np.zeros(1, np.int64)
-        return float(self.cost(start, np.array([STOP]))[0])
-
 
-def fit(words: DataFrame, texts: int, depth: int = DEPTH, least: float = LEAST) -> Tree:
-    """The tree of the counted words and ``texts`` end symbols. The driver gets the contexts that
-    hold at least ``least`` of all coded bytes: 1 / least of them at each depth at most."""
+def fit(words: DataFrame, depth: int = DEPTH, least: float = LEAST) -> Tree:
+    """The tree of the counted words. The driver gets the contexts that hold at least ``least`` of all
+    coded bytes: 1 / least of them at each depth at most."""
     counted = stored(count_contexts(words.where("c > 0"), depth), "lm-contexts")
     totals = counted.groupBy("d", "context").agg(F.sum("n").alias("total"))
-    coded = (counted.where("d = 0").agg(F.sum("n")).first()[0] or 0) + texts
+    coded = counted.where("d = 0").agg(F.sum("n")).first()[0] or 0
     frequent = totals.where(F.col("total") >= F.lit(least * coded)).select("d", "context")
     kept = counted.join(F.broadcast(frequent), ["d", "context"], "left_semi").toArrow()
     d, context, byte, n = (np.asarray(kept.column(c).combine_chunks()).astype(np.int64) if kept.num_rows
                            else np.zeros(0, np.int64) for c in ("d", "context", "byte", "n"))
-    if texts:
-        d, context = np.append(d, [0, 1]), np.append(context, [0, SPACE])
-        byte, n = np.append(byte, [STOP, STOP]), np.append(n, [texts, texts])
     return Tree(depth, d, context, byte, n.astype(np.float64))
 
 
@@ -306,27 +324,25 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(key).alias("k"),
                        (fold(key, folds) == held_fold).alias("held_out"), F.col(text).cast("binary").alias("text"))
     words = stored(count_words(rows.select(~F.col("held_out"), "text")), "lm-words")
-    trained, kinds = words.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
-    texts = docs.where(fold(key, folds) != held_fold).count()
-    total, kinds = (trained or 0) + texts, kinds + (texts > 0)
-    tree = fit(words, texts, depth, least)
+    total, kinds = words.agg(F.sum("c"), F.count_if((F.col("word_c") > 0) & (F.col("nth") == 1))).first()
+    total = total or 0
+    tree = fit(words, depth, least)
     shared = spark.sparkContext.broadcast(tree)
     base = math.log10(total + kinds + 1)
 
     def score_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            c = np.asarray(batch.column(2)).astype(np.float64)
+            c = np.asarray(batch.column(3)).astype(np.float64)
             model = shared.value.score(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(np.log10(c + 1) - base), pa.array(model)],
-                ["word", "h", "c", "base", "model"])
+                [*batch.columns, pa.array(np.log10(c + 1) - base), pa.array(model)], ["pair", "h", "c", "word_c", "base", "model"])
 
-    scored = stored(words.select("word", "h", "c").mapInArrow(
-        score_words, "word binary, h bigint, c bigint, base double, model double"), "lm-scores")
-    top = scored.where((F.col("c") > 0) & (F.col("c") >= F.lit(hot * total))).select("word", "base", "model").toArrow()
+    scored = stored(words.select("pair", "h", "c", "word_c").mapInArrow(
+        score_words, "pair binary, h bigint, c bigint, word_c bigint, base double, model double"), "lm-scores")
+    is_hot = (F.col("c") > 0) & (F.col("c") >= F.lit(hot * total))
+    top = scored.where(is_hot).select("pair", "base", "model").toArrow()
     tables = spark.sparkContext.broadcast(tuple(
-        dict(zip(top.column("word").to_pylist(), top.column(c).to_pylist())) for c in ("base", "model")))
-    end_base, end_model = math.log10(texts + 1) - base, tree.stop()
+        dict(zip(top.column("pair").to_pylist(), top.column(c).to_pylist())) for c in ("base", "model")))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bases, models = tables.value
@@ -335,13 +351,13 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
                 part = batch.slice(at, 256)
                 n, known, b, m, size, rest = [], [], [], [], [], []
                 for data in part.column(3).to_pylist():
-                    words = words_of(data)
+                    words = tokens_of(data)
                     other = [w for w in words if w not in bases]
-                    n.append(len(words) + 1)
-                    known.append(len(words) - len(other) + (texts > 0))
-                    b.append(end_base + sum(map(bases.get, words, repeat(0.0))))
-                    m.append(end_model + sum(map(models.get, words, repeat(0.0))))
-                    size.append(sum(map(len, words)) + len(words) + 1)
+                    n.append(len(words))
+                    known.append(len(words) - len(other))
+                    b.append(sum(map(bases.get, words, repeat(0.0))))
+                    m.append(sum(map(models.get, words, repeat(0.0))))
+                    size.append(sum(map(len, words)))
                     rest.append(other)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
@@ -353,8 +369,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     parts = rows.mapInArrow(look_up, f"rid bigint, k {kind}, held_out boolean, n bigint, known bigint, base double, "
                                      "model double, size bigint, rest array<binary>")
     parts = stored(parts.withColumn("rest", F.transform("rest", lambda w: F.xxhash64(w))), "lm-texts")
-    rare = scored.where((F.col("c") == 0) | (F.col("c") < F.lit(hot * total)))
-    rare = rare.select("h", (F.col("c") > 0).cast("int").alias("w_known"), F.col("base").alias("w_base"), F.col("model").alias("w_model"))
+    rare = scored.where(~is_hot).select(
+        "h", (F.col("word_c") > 0).cast("int").alias("w_known"), F.col("base").alias("w_base"), F.col("model").alias("w_model"))
     found = parts.select("rid", F.explode("rest").alias("h")).join(rare, "h").groupBy("rid").agg(
         F.sum("w_known").alias("w_known"), F.sum("w_base").alias("w_base"), F.sum("w_model").alias("w_model"))
     out = parts.drop("rest").join(found, "rid", "left")
