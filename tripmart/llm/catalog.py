@@ -71,7 +71,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_bpe, op2_context_tree, op3_mixing, op4_token_files, op5_toxicity, op6_sharding, op7_quality, op8_host_rules,
+    pipeline, op1_bpe, op2_context_tree, op3_mixing, op4_token_files, op5_toxicity, op6_sharding, op7_quality, op8_host_rules,
     op9_embeddings, op10_minhash)}
 
 

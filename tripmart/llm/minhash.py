@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import stored
+from tripmart.llm.common import field, packed, stored
 from tripmart.llm.graph import components
 
 WORDS, LEAST, BANDS, ROWS = 5, 0.8, 24, 5
@@ -255,4 +255,4 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
     """The rows of ``docs`` that stay: one document (the smallest key) of each class."""
     gone = classes(docs, key, text, least).where("NOT kept").select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    return packed(docs).join(gone, field(key) == F.col("_gone"), "left_anti").select("row.*")

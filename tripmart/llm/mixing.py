@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import running_before, seeded, stored, unit
+from tripmart.llm.common import field, packed, running_before, seeded, stored, unit
 from tripmart.llm.rules import words_of
 
 WEIGHTS = (5, 2, 1)
@@ -159,10 +159,8 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = SEED,
         key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; rows taken 0 times go."""
-    found = copies(docs, weights, most, seed, key=key, text=text, source=source)
-    found = found.where("copies > 0").select(F.col(key).alias("_k"), F.col(source).alias("_o"), F.col("size").alias("_z"),
-                                             "copies").distinct()
-    size = F.size(words_of(F.coalesce(F.col(text), F.lit("")))).cast("bigint")
-    taken = docs.withColumn("_size", size).join(
-        found, F.col(key).eqNullSafe(F.col("_k")) & F.col(source).eqNullSafe(F.col("_o")) & (F.col("_size") == F.col("_z")))
-    return taken.withColumn("_copy", F.explode(F.expr("sequence(1L, copies)"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = copies(docs, weights, most, seed, key=key, text=text, source=source).where("copies > 0")
+    found = found.select(F.col(key).alias("k"), F.col(source).alias("o"), F.col("size").alias("z"), "copies").distinct()
+    size = F.size(words_of(F.coalesce(field(text), F.lit("")))).cast("bigint")
+    taken = packed(docs).join(found, field(key).eqNullSafe(F.col("k")) & field(source).eqNullSafe(F.col("o")) & (size == F.col("z")))
+    return taken.select("row", F.explode(F.expr("sequence(1L, copies)"))).select("row.*")

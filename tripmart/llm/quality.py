@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import fold, key_text, seeded, stored
+from tripmart.llm.common import field, fold, key_text, packed, seeded, stored
 
 SAMPLE, FOLDS, SEED = 2000, 5, 37
 FEATURES = ("symbols", "odd_ends", "bangs", "bars", "upper_words", "echoes", "variety", "dup_lines", "digits",
@@ -103,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return Model(mean, scale, w[:-1], float(w[-1]))
 
 
-def evidence_column(spark, model: Model, text: str = "text") -> Column:
+def evidence_column(spark, model: Model, text: str | Column = "text") -> Column:
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -112,7 +112,7 @@ def evidence_column(spark, model: Model, text: str = "text") -> Column:
             rows = [features(t) for t in texts]
             yield pd.Series(shared.value.evidence(np.array(rows)) if rows else [], dtype="float64")
 
-    return evidence(F.col(text))
+    return evidence(F.col(text) if isinstance(text, str) else text)
 
 
 def _strength(rate: Column, mean: Column, n: Column) -> list[Column]:
@@ -145,32 +145,29 @@ def sites(rows: DataFrame) -> DataFrame:
 
 def with_posterior(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
                    host: str = "source", path: str = "lang", folds: int = FOLDS) -> DataFrame:
-    """``docs`` with ``_evidence, _host_rate, _path_rate, _posterior``. Texts are read twice and never shuffled
-    unless the sites are too many for Spark's own broadcast limit."""
+    """The rows packed as ``row``, with ``evidence, host_rate, path_rate, posterior``. Texts are read
+    twice and never shuffled unless the sites are too many for Spark's own broadcast limit."""
+    spark = docs.sparkSession
     model = fit(docs, labels, key, text, folds=folds)
-    evidence = evidence_column(docs.sparkSession, model, text)
+    evidence = evidence_column(spark, model, text)
     rows = docs.select(F.col(host).alias("host"), F.col(path).alias("path"), evidence.alias("evidence"))
-    found = stored(sites(rows), "sites").select(
-        F.col("host").alias("_h"), F.col("path").alias("_p"), F.col("host_rate").alias("_host_rate"),
-        F.col("path_rate").alias("_path_rate"))
-    out = docs.withColumn("_evidence", evidence).join(
-        found, F.col(host).eqNullSafe(F.col("_h")) & F.col(path).eqNullSafe(F.col("_p")), "left").drop("_h", "_p")
-    odds = F.col("_path_rate") / (1 - F.col("_path_rate")) * F.exp("_evidence")
-    return out.withColumn("_posterior", odds / (1 + odds))
+    found = stored(sites(rows), "sites").select("host", "path", "host_rate", "path_rate")
+    every = packed(docs).withColumn("evidence", evidence_column(spark, model, field(text)))
+    out = every.join(found, field(host).eqNullSafe(F.col("host")) & field(path).eqNullSafe(F.col("path")), "left")
+    odds = F.col("path_rate") / (1 - F.col("path_rate")) * F.exp("evidence")
+    return out.withColumn("posterior", odds / (1 + odds)).drop("host", "path")
 
 
 def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
           path: str = "lang", least: float = 0.5, folds: int = FOLDS) -> DataFrame:
     """``key, held_out, evidence, host_rate, path_rate, score, kept`` per row."""
-    narrow = docs.select(F.col(key), F.col(text), F.col(host), F.col(path))
+    narrow = docs.select(key, text, host, path)
     out = with_posterior(narrow, labels, key, text, host, path, folds)
-    return out.select(F.col(key), (fold(key, folds) == 0).alias("held_out"), F.col("_evidence").alias("evidence"),
-                      F.col("_host_rate").alias("host_rate"), F.col("_path_rate").alias("path_rate"),
-                      F.col("_posterior").alias("score"), (F.col("_posterior") >= least).alias("kept"))
+    return out.select(field(key).alias(key), "evidence", "host_rate", "path_rate", F.col("posterior").alias("score"),
+                      (F.col("posterior") >= least).alias("kept")).withColumn("held_out", fold(key, folds) == 0)
 
 
 def keep(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
          path: str = "lang", least: float = 0.5, folds: int = FOLDS) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns."""
-    out = with_posterior(docs, labels, key, text, host, path, folds)
-    return out.where(F.col("_posterior") >= least).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return with_posterior(docs, labels, key, text, host, path, folds).where(F.col("posterior") >= least).select("row.*")

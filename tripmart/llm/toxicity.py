@@ -35,7 +35,9 @@ from tripmart.llm.common import fold, key_text, seeded, stored
 SENTENCE = re.compile(r"[^.!?\n]+")
 LETTERS = re.compile(r"[^\W\d_]+")
 BEGINNINGS = range(3, 8)
-SAMPLE, SIGNS, LEAST, FOLDS, SEED = 1500, 4000, 6, 5, 31
+SAMPLE, SIGNS, LEAST, FOLDS, SEED = 1500, 4000, 3, 5, 31
+#: A sign is this many times as frequent in toxic sample documents, and so many deviations above the clean ones.
+RATIO, STANDS_OUT = 5, 1.5
 
 
 def signs_of(word: str) -> list[str]:
@@ -111,6 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     chosen = None
     usable = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y"), key_text(key).alias("t")) \
         .where((fold(key, folds) != 0) & F.col("y").isin(0, 1)).distinct()
+    shares = {r.y: r.n for r in usable.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     for y, n in ((1, sample), (0, 2 * sample)):
         part = usable.where(F.col("y") == y).orderBy(seeded(seed, F.col("t")), "k").limit(n)
         chosen = part if chosen is None else chosen.unionByName(part)
@@ -139,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     z = (rate1 - rate0) / F.sqrt(rate1 * (1 - rate1) / n1 + rate0 * (1 - rate0) / n0)
     found = (rows.select("y", "text").mapInArrow(count, "sign string, toxic bigint, clean bigint")
              .groupBy("sign").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-             .where((F.col("toxic") >= min(least, max(1, n1 // 20))) & (rate1 > 3 * rate0)).withColumn("z", z).where("z > 2.5")
+             .where((F.col("toxic") >= min(least, max(1, n1 // 10))) & (rate1 > RATIO * rate0)).withColumn("z", z).where(F.col("z") > STANDS_OUT)
              .orderBy(F.desc("z"), "sign").limit(signs).collect())
     numbers = {r.sign: i for i, r in enumerate(found)}
     shared = docs.sparkSession.sparkContext.broadcast(numbers)
@@ -169,12 +172,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     kind = docs.schema[key].dataType.simpleString()
     data = rows.mapInArrow(bags, f"k {kind}, y int, plain bigint, flat array<int>, ends array<int>")
     data = data.orderBy("k", "plain").collect()
+    clean_weight = (shares[0] / n0) / (shares[1] / n1)
     return _train([r.y for r in data], [r.plain for r in data], [list(r.flat) for r in data],
-                  [list(r.ends) for r in data], [r.sign for r in found])
+                  [list(r.ends) for r in data], [r.sign for r in found], clean_weight)
 
 
-def _train(y, plain, flat, ends, names, rounds: int = 400, ridge: float = 0.3) -> Model:
-    """Noisy-or likelihood by Adam; documents of both labels weigh the same in sum."""
+def _train(y, plain, flat, ends, names, clean_weight: float = 1.0, rounds: int = 400, ridge: float = 0.03) -> Model:
+    """Noisy-or likelihood by Adam; clean documents weigh what their share among all labels asks for."""
     y, plain = np.array(y, float), np.array(plain, float)
     sign = np.array([i for f in flat for i in f], int)
     sentence, bag, n = [], [], 0
@@ -186,7 +190,7 @@ def _train(y, plain, flat, ends, names, rounds: int = 400, ridge: float = 0.3) -
             n, before = n + 1, s
     sentence, bag = np.array(sentence, int), np.array(bag, int)
     docs = len(y)
-    each = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * docs
+    each = np.where(y == 1, 1.0, clean_weight)
     w, b = np.full(len(names), 0.5), -4.0
     m, v, step = np.zeros(len(w) + 1), np.zeros(len(w) + 1), 0.1
     for t in range(1, rounds + 1):
@@ -250,3 +254,10 @@ def locate(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
 
     return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(
         work, f"k {kind}, start bigint, end bigint, score double, sentence string").withColumnRenamed("k", key)
+
+
+def keep(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", below: float = 0.5,
+         folds: int = FOLDS) -> DataFrame:
+    """The rows of ``docs`` that score less than ``below``, with their columns."""
+    model = fit(docs, labels, key, text, folds=folds)
+    return docs.where(score_column(docs.sparkSession, model, text) < below)
