@@ -3,9 +3,8 @@ from pyspark.sql import functions as F
 from tripmart import schemas as S
 from tripmart.operators import bronze, metrics
 
-ZONES = [("1", "EWR", "Newark Airport", "EWR"), ("2", "Queens", "Jamaica Bay", "Boro Zone"),
-         ("3", "Bronx", "Allerton/Pelham Gardens", "Boro Zone"),
-         ("4", "Manhattan", "Alphabet City", "Yellow Zone")]
+ZONES = [("11", "North", "Mill", "Outer"), ("12", "South", "Quay", "Inner"),
+         ("13", "South", "Hill/Dale", "Inner"), ("14", "East", "Port", "Outer")]
 
 
 def zones(spark, rows):
@@ -13,20 +12,17 @@ def zones(spark, rows):
 
 
 def test_normalize_trims_and_blanks_become_null(spark):
-    df = zones(spark, [("1", " Queens ", " Astoria ", " Boro Zone "), ("2", " ", "Astoria Park", None)])
-    out = bronze.normalize_zones(df)
-    assert out.filter(F.col("Borough") == "Queens").count() == 1
-    assert out.filter(F.col("Borough").isNull()).count() == 1
-    assert out.filter(F.col("service_zone").isNull()).count() == 1
-    assert out.filter(F.col("Zone") == "Astoria").count() == 1
+    df = zones(spark, [(" 11", "North  ", "  Mill", "Outer "), ("12", "", None, "   ")])
+    assert [tuple(r) for r in bronze.normalize_zones(df).orderBy("LocationID").collect()] == [
+        ("11", "North", "Mill", "Outer"), ("12", None, None, None)]
 
 
 def test_non_numeric_and_null_location_fail(spark):
-    df = zones(spark, ZONES + [("xyz", "Queens", "Astoria", "Boro Zone"), (None, "Q", "Z", "S")])
+    df = zones(spark, ZONES + [("1I", "North", "Typo", "Outer"), (None, "Q", "Z", "S")])
     checked = bronze.bronze_zones(df)
     assert any(c.startswith("chk_") for c in checked.columns)
     flags = {r.LocationID: r.chk_LocationID_numeric for r in checked.collect()}
-    assert flags["xyz"] is False and flags[None] is False and flags["1"] is True
+    assert flags["1I"] is False and flags[None] is False and flags["11"] is True
     assert checked.count() == 6  # failing rows are kept
 
 

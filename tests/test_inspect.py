@@ -10,12 +10,14 @@ def test_layer_comparison(spark):
     assert counts == {"a": 3, "b": 1}
     d = inspect.layer_row_delta(a, b, "a", "b").first()
     assert (d.rows_before, d.rows_after, d.row_delta) == (3, 1, -2)
-    diff = {(r.change, r.column) for r in inspect.layer_column_diff(a, b).collect()}
-    assert diff == {("added", "extra"), ("removed", "id")}
-    schema = [(r.position, r.column, r.type) for r in inspect.layer_schema(b).collect()]
-    assert schema == [(0, "keep", "string"), (1, "extra", "double")]
-    assert inspect.layer_sample(a, 2, ["keep"]).columns == ["keep"]
-    assert inspect.layer_sample(a, 2).count() == 2
+    diff = {(r.change, r.column, r.filled) for r in inspect.layer_column_diff(a, b).collect()}
+    assert diff == {("added", "extra", 1), ("removed", "id", 3)}
+    assert inspect.layer_column_diff(a, a).count() == 0
+    gaps = spark.createDataFrame([("x", None), (None, None), ("y", 2.0)], "keep string, `ex.tra` double")
+    schema = [tuple(r) for r in inspect.layer_schema(gaps).collect()]
+    assert schema == [(0, "keep", "string", 2), (1, "ex.tra", "double", 1)]
+    assert inspect.layer_sample(a, ["id"], 2, ["keep"]).columns == ["keep"]
+    assert [r.id for r in inspect.layer_sample(a.orderBy("keep", ascending=False), ["id"], 2).collect()] == [1, 2]
 
 
 def test_silver_overview_and_sample(spark):

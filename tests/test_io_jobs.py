@@ -25,7 +25,7 @@ def test_first_available_and_missing_preview(spark, tmp_path):
     sinks.write_zones_csv(z, path)
     got = readers.first_available(spark, [str(tmp_path / "nope"), path], readers.read_zones_csv)
     assert sorted(got.collect()) == sorted(z.collect())  # blanks survive the CSV round trip
-    with pytest.raises(FileNotFoundError, match="Tried"):
+    with pytest.raises(FileNotFoundError, match="none of these inputs"):
         readers.first_available(spark, [str(tmp_path / "nope")], readers.read_zones_csv)
     assert readers.read_preview_csv(spark, str(tmp_path / "absent")) is None
 
@@ -100,3 +100,117 @@ def test_read_bronze_splits(spark, tmp_path):
     assert not any(c.startswith("chk_") or c in ("dq_pass", "dq_status") for c in passed.columns)
     assert "dq_pass" in rejects.columns and len(bronze.check_columns(rejects)) == 31
     assert undecided.first().dq_pass is None
+
+
+# -- runs that find nothing, on a fresh base and over an older run ----------------
+
+def _zones(spark):
+    return spark.createDataFrame([("1", "A", "Z1", "S"), ("2", "B", "Z2", "S")], S.ZONE_SCHEMA)
+
+
+def _rows_left(spark, p):
+    """Rows that a reader would take for the run's, per output; 0 for a missing one."""
+    paths = {"pass": None, "curated": f"{p['silver']}/curated", "weekly": f"{p['silver']}/_run_summary_weekly",
+             "gold": p["gold"], "preview": f"{p['gold_preview']}/full_kpis", "summary": f"{p['gold_preview']}/run_summary"}
+    out = {}
+    for name, path in paths.items():
+        if name == "pass":
+            df = jobs.read_bronze(spark, p["bronze_trips"], "pass")
+        elif not sinks.exists(spark, path):
+            df = None
+        elif name == "preview":
+            df = spark.read.option("header", "true").schema("a string").csv(path)
+        elif name == "summary":
+            df = spark.read.schema("run_id string").json(path)
+        else:
+            df = spark.read.parquet(path)
+        out[name] = 0 if df is None else df.count()
+    return out
+
+
+@pytest.mark.parametrize("case", ["rejected", "empty"])
+@pytest.mark.parametrize("older", [False, True])
+def test_run_without_a_passing_trip(spark, tmp_path, case, older):
+    from tests.helpers import good_trip, trips
+
+    base = str(tmp_path / "base")
+    if older:
+        p = jobs.run_all(spark, trips(spark, [good_trip(), good_trip(total_amount=5.0)]), _zones(spark), base)
+        assert _rows_left(spark, p) == {"pass": 2, "curated": 2, "weekly": 1, "gold": 1, "preview": 1, "summary": 1}
+    bad = trips(spark, [good_trip(VendorID=3)] * 3 if case == "rejected" else [])
+    p = jobs.run_all(spark, bad, _zones(spark), base)
+    assert set(_rows_left(spark, p).values()) == {0}
+    summary = {r.metric: r.value for r in spark.read.parquet(f"{p['bronze_trips']}/_run_summary_all").collect()}
+    assert summary["row_count_total"] == ("3" if case == "rejected" else "0") and summary["row_count_pass"] == "0"
+    # and the next good run is complete again
+    p = jobs.run_all(spark, trips(spark, [good_trip()]), _zones(spark), base)
+    assert _rows_left(spark, p) == {"pass": 1, "curated": 1, "weekly": 1, "gold": 1, "preview": 1, "summary": 1}
+
+
+def test_drifted_columns_through_all_layers(spark, tmp_path):
+    """Both airport spellings, a dotted and a quoted extra column."""
+    from tests.helpers import good_trip, trips
+
+    raw = trips(spark, [good_trip(), good_trip(total_amount=9.0, airport_fee=1.0), good_trip(airport_fee=None)]).selectExpr(
+        "*", "2.5D AS Airport_fee", "'x' AS `fare.code`", "1 AS `it``s`")
+    p = jobs.run_all(spark, raw, _zones(spark), str(tmp_path / "base"))
+    passed = jobs.read_bronze(spark, p["bronze_trips"], "pass")
+    assert "Airport_fee" not in passed.columns and {"fare.code", "it`s"} <= set(passed.columns)
+    fees = sorted(r.airport_fee for r in spark.read.parquet(f"{p['silver']}/curated").collect())
+    assert fees == [1.0, 1.75]  # a NULL amount leaves the third trip undecided
+    undecided = jobs.read_bronze(spark, p["bronze_trips"], "indeterminate").collect()
+    assert [r.airport_fee for r in undecided] == [2.5]
+    metrics_ = {r.metric: r.value for r in spark.read.parquet(f"{p['bronze_trips']}/_run_summary_all").collect()}
+    assert metrics_["row_count_pass"] == "2" and metrics_["row_count_indeterminate"] == "1"
+
+
+def test_split_folders(spark, tmp_path):
+    from tests.helpers import good_trip, trips
+
+    base = str(tmp_path / "b")
+    jobs.run_bronze_trips(trips(spark, [good_trip(), good_trip(VendorID=3)]), base, split_folders=True)
+    passed = spark.read.parquet(f"{base}/pass")
+    assert passed.count() == 1 and passed.columns == [c for c, _ in S.TRIP_SPEC]
+    assert spark.read.parquet(f"{base}/_rejects").count() == 1
+    assert not sinks.exists(spark, f"{base}/_indeterminate")  # no row, nothing written
+
+
+def test_missing_layers_are_none(spark, tmp_path):
+    from tripmart.plans import previews
+
+    assert readers.read_nonempty(spark, str(tmp_path / "no")) is None
+    assert jobs.read_bronze(spark, str(tmp_path / "no")) is None
+    assert jobs.run_gold(spark, str(tmp_path / "no"), str(tmp_path / "g"), str(tmp_path / "p")) is None
+    assert previews.silver_preview(spark, str(tmp_path / "no")) == {} == previews.gold_preview(spark, str(tmp_path / "no"))
+
+
+def test_session_rules(spark):
+    from tripmart.session import clear_scratch, ensure_utc
+
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            ensure_utc(spark)
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"  # left as it was
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    path = scratch_path(spark, "gone")
+    spark.range(1).write.parquet(path)
+    assert sinks.exists(spark, path) and clear_scratch(spark) and not sinks.exists(spark, path)
+
+
+def test_fixed_values_are_pinned():
+    """The oracle takes names and types from ``schemas``; these are written out once more here."""
+    assert [c for c, _ in S.TRIP_SPEC] == (
+        "VendorID tpep_pickup_datetime tpep_dropoff_datetime passenger_count trip_distance RatecodeID "
+        "store_and_fwd_flag PULocationID DOLocationID payment_type fare_amount extra mta_tax tip_amount tolls_amount "
+        "improvement_surcharge total_amount congestion_surcharge airport_fee cbd_congestion_fee").split()
+    assert [t for _, t in S.TRIP_SPEC] == ("INT TIMESTAMP TIMESTAMP BIGINT DOUBLE BIGINT STRING INT INT BIGINT".split()
+                                           + ["DOUBLE"] * 10)
+    assert [t for _, t in S.SILVER_TYPES] == ("INT TIMESTAMP TIMESTAMP INT DOUBLE INT STRING INT INT INT".split()
+                                              + ["DOUBLE"] * 10)
+    assert (S.VALID_VENDORS, S.VALID_RATE_CODES) == ((1, 2, 6, 7), (1, 2, 3, 4, 5, 6, 99))
+    assert (S.VALID_PAYMENT_TYPES, S.VALID_STORE_FLAGS) == ((0, 1, 2, 3, 4, 5, 6), ("Y", "N"))
+    assert len(S.AMOUNT_COLUMNS) == 11 and S.MAX_TRIP_SECONDS == 86400
+    assert len(S.SILVER_ORDER) == 42 and len(set(S.SILVER_ORDER)) == 42 and len(S.KPI_ORDER) == 13
+    assert (S.PREVIEW_ROWS, S.SAMPLE_ROWS, S.TOP_ROWS, S.LAYER_SAMPLE_ROWS) == (500, 20, 10, 5000)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tripmart import schemas as S
 from tripmart.operators import silver
-from tripmart.operators.joins import broadcast_if_small
+from tripmart.operators.joins import broadcast_if_small, size_in_bytes
 from tests.helpers import good_trip, trips
 
 
@@ -21,18 +21,25 @@ def test_hot_ride_id_keeps_one_row(spark):
     df = trips(spark, hot + cold).repartition(8)
     out = silver.curate(df, _zones(spark))
     assert out.count() == 1 + 600
-    kept = out.filter(F.col("total_amount") == 12.8).collect()
+    kept = out.filter(F.col("total_amount") == 47.75).collect()
     assert len(kept) == 1 and kept[0].trip_distance == 0.0  # earliest drop-off, then distance
 
 
-def test_zone_lookup_without_broadcast_gives_same_rows(spark, capsys):
+def test_zone_lookup_without_broadcast_gives_same_rows(spark):
     df = trips(spark, [good_trip(PULocationID=1 + i % 40, DOLocationID=2 + i % 7, total_amount=1.0 + i)
                        for i in range(200)])
     zones = _zones(spark)
-    assert broadcast_if_small(silver.zone_dimension(zones), 5) is not None
+    dim = silver.zone_dimension(zones)
+    assert size_in_bytes(dim) > 29 * 64
+    assert "broadcast" in broadcast_if_small(dim)._jdf.queryExecution().logical().toString().lower()
+    assert broadcast_if_small(dim, 100) is dim
     small = silver.curate(df, zones)
-    big = silver.curate(df, zones, max_broadcast_rows=5)  # dimension "too large"
-    big.explain()
-    plan = capsys.readouterr().out
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = silver.curate(df, zones, max_broadcast_bytes=100)  # dimension "too large"
+        big.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = big._jdf.queryExecution().toString()
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))

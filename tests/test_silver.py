@@ -9,7 +9,7 @@ from tests.helpers import DROPOFF, PICKUP, good_trip, trips
 
 def test_standardize_renames_and_types(spark):
     df = trips(spark, [good_trip(store_and_fwd_flag="y", VendorID=1, passenger_count=2,
-                                 PULocationID=132, DOLocationID=138)])
+                                 PULocationID=40, DOLocationID=41)])
     out = silver.standardize_trips(df)
     assert out.columns[:20] == [n for n, _ in S.SILVER_TYPES]
     types = dict(out.dtypes)
@@ -34,16 +34,15 @@ def test_standardize_capitalised_and_both_airport_spellings(spark):
 
 
 def test_join_zones_adds_boroughs_and_drops_bad_ids(spark):
-    t = spark.createDataFrame([(132, 138, PICKUP, DROPOFF, 1.0), (999, 132, PICKUP, DROPOFF, 1.0)],
+    t = spark.createDataFrame([(40, 41, PICKUP, DROPOFF, 1.0), (77, 40, PICKUP, DROPOFF, 1.0)],
                               "pu_location_id int, do_location_id int, pickup_datetime timestamp_ntz, "
                               "dropoff_datetime timestamp_ntz, trip_distance double")
-    z = spark.createDataFrame([("132", "Queens", "Astoria", "Boro Zone"),
-                               ("138", "Queens", "Steinway", "Boro Zone"),
-                               ("xyz", "Queens", "Bad", "Boro Zone")], S.ZONE_SCHEMA)
+    z = spark.createDataFrame([("40", "North", "Mill", "Outer"), ("41", "South", "Quay", "Inner"),
+                               ("4O", "East", "Typo", "Outer")], S.ZONE_SCHEMA)
     rows = {r.pu_location_id: r for r in silver.join_zones(t, z).collect()}
-    assert rows[132].pu_borough == "Queens" and rows[132].do_borough == "Queens"
-    assert rows[132].pu_zone == "Astoria" and rows[132].do_zone == "Steinway"
-    assert rows[999].pu_borough is None and rows[999].do_zone == "Astoria"
+    assert rows[40].pu_borough == "North" and rows[40].do_borough == "South"
+    assert rows[40].pu_zone == "Mill" and rows[40].do_zone == "Quay"
+    assert rows[77].pu_borough is None and rows[77].do_zone == "Mill"
 
 
 def test_zone_dimension_one_row_per_id(spark):
@@ -54,15 +53,15 @@ def test_zone_dimension_one_row_per_id(spark):
 
 
 def test_derived_columns(spark):
-    t = spark.createDataFrame([("ride", PICKUP, DROPOFF, 5.0, 40.0)],
+    t = spark.createDataFrame([("ride", PICKUP, DROPOFF, 9.0, 54.0)],
                               "ride_id string, pickup_datetime timestamp, dropoff_datetime timestamp, "
                               "trip_distance double, total_amount double")
     r = silver.add_derived_columns(t).collect()[0]
-    assert r.pickup_week_id.startswith("2025-W")
-    assert abs(r.trip_minutes - 30.0) < 1e-9 and abs(r.revenue_per_mile - 8.0) < 1e-9
+    assert r.pickup_week_id == "2025-W11"
+    assert abs(r.trip_minutes - 36.0) < 1e-9 and abs(r.revenue_per_mile - 6.0) < 1e-9
     assert r.is_peak_hour is True and r.is_night is False and r.is_weekend is False
-    assert r.pickup_day_of_week == "Mon" and r.pickup_week_start == date(2025, 1, 6)
-    assert abs(r.trip_mph - 10.0) < 1e-9 and abs(r.revenue_per_minute - 40.0 / 30) < 1e-9
+    assert r.pickup_day_of_week == "Wed" and r.pickup_week_start == date(2025, 3, 10)
+    assert abs(r.trip_mph - 15.0) < 1e-9 and abs(r.revenue_per_minute - 1.5) < 1e-9
 
 
 def test_week_id_year_boundaries_and_zero_minutes(spark):
@@ -81,7 +80,7 @@ def test_week_id_year_boundaries_and_zero_minutes(spark):
 
 
 def test_finalize_dedups_without_vendor_column(spark):
-    df = spark.createDataFrame([(PICKUP, DROPOFF, 132, 138, 4.2, 25.0)] * 2,
+    df = spark.createDataFrame([(PICKUP, DROPOFF, 8, 9, 3.5, 19.25)] * 3,
                                "pickup_datetime timestamp, dropoff_datetime timestamp, "
                                "pu_location_id int, do_location_id int, trip_distance double, "
                                "total_amount double")
@@ -91,8 +90,8 @@ def test_finalize_dedups_without_vendor_column(spark):
 
 
 def test_dedup_keeps_first_by_conformed_columns(spark):
-    rows = [good_trip(tpep_dropoff_datetime=datetime(2025, 1, 6, 8, 0), trip_distance=9.0),
-            good_trip(tpep_dropoff_datetime=datetime(2025, 1, 6, 7, 30), trip_distance=1.0)]
+    rows = [good_trip(tpep_dropoff_datetime=datetime(2025, 3, 12, 18, 0), trip_distance=9.0),
+            good_trip(tpep_dropoff_datetime=datetime(2025, 3, 12, 17, 30), trip_distance=1.0)]
     z = spark.createDataFrame([("1", "A", "Z1", "S"), ("2", "B", "Z2", "S")], S.ZONE_SCHEMA)
     out = silver.curate(trips(spark, rows), z).collect()
     assert len(out) == 1 and out[0].trip_distance == 1.0  # earlier drop-off wins

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tripmart.operators import bronze, metrics
@@ -29,3 +30,28 @@ def test_incremental_bronze_equals_batch(spark, sf_small, tmp_path):
                 .filter(F.col("metric") != "domain_range_all")
                 .groupBy("metric").agg(F.sum("pass_count").alias("s")).collect()}
     assert streamed == batch
+
+
+def test_restart_counts_nothing_twice(spark, tmp_path):
+    """Two files of different size; the second run has no new file and other batch sizes."""
+    from tests.helpers import good_trip, trips
+
+    inp, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    a = trips(spark, [good_trip(total_amount=float(i)) for i in range(100)])
+    a.coalesce(1).write.parquet(f"{inp}/part=a")
+    trips(spark, [good_trip(VendorID=3)] * 50).coalesce(1).write.parquet(f"{inp}/part=b")
+    start_bronze_stream(spark, f"{inp}/*", a.schema, out, ckpt, max_files_per_trigger=1).awaitTermination(300)
+    once = {r.dq_status: r.rows for r in stream_totals(spark, out).collect()}
+    assert once == {"pass": 100, "reject": 50}
+    start_bronze_stream(spark, f"{inp}/*", a.schema, out, ckpt).awaitTermination(300)
+    assert {r.dq_status: r.rows for r in stream_totals(spark, out).collect()} == once
+    trips(spark, [good_trip(passenger_count=None)] * 7).coalesce(1).write.parquet(f"{inp}/part=c")
+    start_bronze_stream(spark, f"{inp}/*", a.schema, out, ckpt).awaitTermination(300)
+    assert {r.dq_status: r.rows for r in stream_totals(spark, out).collect()} == once | {"indeterminate": 7}
+
+
+def test_checkpoint_is_required(spark, tmp_path):
+    with pytest.raises(TypeError):
+        start_bronze_stream(spark, str(tmp_path), None, str(tmp_path))
+    with pytest.raises(ValueError, match="checkpoint"):
+        start_bronze_stream(spark, str(tmp_path), None, str(tmp_path), "")

@@ -114,15 +114,6 @@ def zone_checks(columns: Sequence[str], ident: Ident = quoted) -> list[tuple[str
             for chk, name, build in rules]
 
 
-def trip_null_like(c: Column, dtype: T.DataType) -> Column:
-    """NULL-like value of a trip column: NaN counts for floats, blanks for text."""
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return c.isNull() | F.isnan(c)
-    if isinstance(dtype, T.StringType):
-        return c.isNull() | (F.length(F.trim(c)) == 0)
-    return c.isNull()
-
-
 def zone_null_like(c: Column, dtype: T.DataType | None = None) -> Column:
     """NULL-like value of a zone column: NULL or the empty string."""
     return c.isNull() | (c == F.lit(""))

@@ -24,7 +24,3 @@ def count_true(pred: Column) -> Column:
     """Aggregate: rows where the predicate is TRUE (NULL is not counted)."""
     return F.count_if(pred)
 
-
-def count_false(pred: Column) -> Column:
-    """Aggregate: rows where the predicate is FALSE (NULL is not counted)."""
-    return F.count_if(~pred)

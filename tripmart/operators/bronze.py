@@ -38,7 +38,7 @@ def normalize_blanks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
-    return df.withColumns({c: blank_to_null(F.col(c)).cast("string") for c in present})
+    return df.withColumns({c: blank_to_null(F.col(quoted(c))).cast("string") for c in present})
 
 
 def _positional(df: DataFrame) -> tuple[DataFrame, dict[str, str], bool]:
@@ -69,7 +69,7 @@ def _add_checks(df: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
         checks += trip_domain_checks(dtypes, ident)
     names = [n for n, _ in checks]
     keep = [n for n in original if n not in names]
-    out = work.select(*[F.col(alias[n]) for n in keep], *[e.alias(n) for n, e in checks])
+    out = work.select(*[F.col(quoted(alias[n])) for n in keep], *[e.alias(n) for n, e in checks])
     if renamed:
         out = out.toDF(*keep, *names)
     return out
@@ -112,9 +112,24 @@ def clean_trips(raw: DataFrame) -> DataFrame:
     return out.toDF(*raw.columns) if renamed else out
 
 
+def one_airport_fee(df: DataFrame) -> DataFrame:
+    """Both spellings of the airport fee become one ``airport_fee``, the first that is not NULL;
+    with one spelling or none the frame is unchanged."""
+    names = df.columns
+    if not {"airport_fee", "Airport_fee"} <= set(names):
+        return df
+    inner = [f"__col{i}" for i in range(len(names))]
+    both = F.coalesce(inner[names.index("airport_fee")], inner[names.index("Airport_fee")])
+    kept = [(i, n) for i, n in enumerate(names) if n != "Airport_fee"]
+    return df.toDF(*inner).select(*[both.alias(n) if n == "airport_fee" else F.col(inner[i]).alias(n) for i, n in kept])
+
+
 def flag_trips(raw: DataFrame) -> DataFrame:
-    """Raw trips -> cleaned columns + 31 ``chk_*`` flags + ``dq_pass``."""
-    return with_dq_pass(add_trip_checks(clean_trips(raw)))
+    """Raw trips -> cleaned columns + 31 ``chk_*`` flags + ``dq_pass``.
+
+    The checks see both airport-fee spellings; the result has one, so it can be written.
+    """
+    return with_dq_pass(one_airport_fee(add_trip_checks(clean_trips(raw))))
 
 
 class Split(NamedTuple):

@@ -1,7 +1,6 @@
 """Overviews, samples and layer comparison.
 
-Layer comparison works on schemas (driver-side metadata, a few dozen names) and on
-distributed counts; no data row passes through the driver.
+Layer comparison is made of distributed counts; no data row passes through the driver.
 """
 
 from __future__ import annotations
@@ -10,9 +9,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tripmart import schemas as S
+from tripmart.functions.checks import quoted
 
 
 def silver_overview(curated: DataFrame) -> DataFrame:
@@ -39,10 +38,12 @@ def weekly_summary_sorted(weekly: DataFrame) -> DataFrame:
     return weekly.orderBy("pickup_week_start", "pickup_week_id")
 
 
-def layer_sample(df: DataFrame, n: int = S.LAYER_SAMPLE_ROWS,
+def layer_sample(df: DataFrame, order: Sequence[str], n: int = S.LAYER_SAMPLE_ROWS,
                  columns: Sequence[str] | None = None) -> DataFrame:
-    """Up to ``n`` rows of a layer, optionally only some columns (no order)."""
-    return (df.select(*columns) if columns else df).limit(n)
+    """The first ``n`` rows of a layer in ``order`` (which should be total), optionally only some
+    columns: the same rows on every run."""
+    rows = df.orderBy(*order).limit(n)
+    return rows.select(*columns) if columns else rows
 
 
 def layer_row_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
@@ -68,19 +69,25 @@ def layer_row_delta(before: DataFrame, after: DataFrame,
         (F.col("rows_after") - F.col("rows_before")).alias("row_delta"))
 
 
-def layer_column_diff(before: DataFrame, after: DataFrame) -> DataFrame:
-    """(change, column): columns ``added`` in ``after`` and ``removed`` from ``before``."""
-    b, a = set(before.columns), set(after.columns)
-    rows = [("added", c) for c in sorted(a - b)] + [("removed", c) for c in sorted(b - a)]
-    schema = T.StructType([T.StructField("change", T.StringType()),
-                           T.StructField("column", T.StringType())])
-    return before.sparkSession.createDataFrame(rows, schema)
+def layer_schema(df: DataFrame) -> DataFrame:
+    """(position, column, type, filled): a layer's columns and how many of its rows have a value,
+    from one aggregate over the layer."""
+    fields = df.schema.fields
+    counts = df.agg(*[F.count(F.col(quoted(f.name))).alias(f"n{i}") for i, f in enumerate(fields)])
+    rows = [F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"),
+                     F.lit(f.dataType.simpleString()).alias("type"), F.col(f"n{i}").alias("filled"))
+            for i, f in enumerate(fields)]
+    return counts.select(F.inline(F.array(*rows)))
 
 
-def layer_schema(df: DataFrame) -> DataFrame:
-    """(position, column, type) of a layer."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    schema = T.StructType([T.StructField("position", T.IntegerType()),
-                           T.StructField("column", T.StringType()),
-                           T.StructField("type", T.StringType())])
-    return df.sparkSession.createDataFrame(rows, schema)
+def layer_column_diff(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(change, column, filled): columns ``added`` in ``after`` and ``removed`` from ``before``, with
+    the rows of their layer that have a value."""
+    new = [c for c in after.columns if c not in before.columns]
+    old = [c for c in before.columns if c not in after.columns]
+    parts = [layer_schema(df.select(*[F.col(quoted(c)) for c in names])).select(
+                 F.lit(change).alias("change"), "column", "filled")
+             for change, df, names in (("added", after, new), ("removed", before, old)) if names]
+    if not parts:
+        return layer_schema(before).select(F.lit("").alias("change"), "column", "filled").limit(0)
+    return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tripmart import schemas as S
 from tripmart.operators.bronze import with_dq_pass
-from tripmart.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
+from tripmart.operators.joins import MAX_BROADCAST_BYTES, broadcast_if_small
 from tripmart.operators.silver import zone_dimension
 
 REF_CHECKS = [("PULocationID", "chk_PULocationID_ref_ok"),
@@ -21,9 +21,9 @@ REF_CHECKS = [("PULocationID", "chk_PULocationID_ref_ok"),
 
 
 def add_zone_ref_checks(trips: DataFrame, zones: DataFrame,
-                        max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                        max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Add the two referential flags; recompute ``dq_pass`` when the frame has one."""
-    ids = broadcast_if_small(zone_dimension(zones).select("location_id"), max_broadcast_rows)
+    ids = broadcast_if_small(zone_dimension(zones).select("location_id"), max_broadcast_bytes)
     out = trips
     for col, chk in REF_CHECKS:
         if col not in trips.columns:

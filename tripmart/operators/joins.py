@@ -1,23 +1,30 @@
-"""Dimension joins: a broadcast only behind a row-count check, a shuffle join beyond it."""
+"""Dimension joins: a broadcast only behind a check of the dimension's bytes, a shuffle join beyond it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension up to this many rows is shipped to every task; beyond it the join
-# falls back to a shuffle join (with AQE skew handling).
-MAX_BROADCAST_ROWS = 1_000_000
+# A dimension up to this many bytes in memory is shipped to every task; beyond it the join is a
+# shuffle join (with AQE skew handling). Both give the same rows.
+MAX_BROADCAST_BYTES = 64 << 20
+_ROW_BYTES, _FIELD_BYTES = 64, 8
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(dim)`` when it has at most ``max_rows`` rows, else ``dim`` unchanged.
+def size_in_bytes(dim: DataFrame) -> int:
+    """Bytes of ``dim`` in Spark's row format: a fixed part per row and field, and all text.
+    One aggregate over the dimension; the driver gets one number."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in dim.schema.fields
+             if f.dataType.typeName() in ("string", "binary")]
+    row = F.lit(_ROW_BYTES + _FIELD_BYTES * len(dim.columns))
+    for t in texts:
+        row = row + t
+    return dim.agg(F.sum(row.cast("bigint"))).first()[0] or 0
 
-    The probe counts at most ``max_rows + 1`` rows, so it stays cheap even when the
-    dimension turns out to be large.
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+
+def broadcast_if_small(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(dim)`` when it has at most ``max_bytes``, else ``dim`` unchanged."""
+    return F.broadcast(dim) if size_in_bytes(dim) <= max_bytes else dim
 
 
 def lookup(facts: DataFrame, dim: DataFrame, key: str, prefix: str,

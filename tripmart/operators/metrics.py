@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart import schemas as S
-from tripmart.functions.checks import trip_null_like, zone_null_like
+from tripmart.functions.checks import quoted, zone_null_like
 from tripmart.functions.logic import and_all, count_true
 from tripmart.operators.bronze import check_columns, domain_check_columns
 
@@ -58,7 +58,7 @@ def _spec_columns(df: DataFrame) -> list[str]:
 
 
 def _null_like_sql(name: str, dtype: T.DataType) -> str:
-    c = _q(name)
+    c = quoted(name)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return f"{c} IS NULL OR isnan({c})"
     if isinstance(dtype, T.StringType):
@@ -67,7 +67,7 @@ def _null_like_sql(name: str, dtype: T.DataType) -> str:
 
 
 def _and_sql(names: Sequence[str]) -> str:
-    return "(" + " AND ".join(_q(n) for n in names) + ")" if names else "TRUE"
+    return "(" + " AND ".join(quoted(n) for n in names) + ")" if names else "TRUE"
 
 
 def trip_metric_aggregates(flagged: DataFrame, parts: Sequence[str] = PARTS) -> dict[str, Column]:
@@ -78,7 +78,7 @@ def trip_metric_aggregates(flagged: DataFrame, parts: Sequence[str] = PARTS) ->
     checks = check_columns(flagged)
     sql: dict[str, str] = {_TOTAL: "count(1)"}
     if "counts" in parts:
-        verdict = _and_sql(checks)
+        verdict = quoted(S.DQ_PASS) if S.DQ_PASS in flagged.columns else _and_sql(checks)
         sql[_pass_col("rows")] = f"count_if({verdict})"
         sql[_null_col("rows")] = f"count_if({verdict} IS NULL)"
     if "nulls" in parts:
@@ -86,8 +86,8 @@ def trip_metric_aggregates(flagged: DataFrame, parts: Sequence[str] = PARTS) ->
             sql[_null_col(c)] = f"count_if({_null_like_sql(c, flagged.schema[c].dataType)})"
     if "checks" in parts:
         for c in checks:
-            sql[_pass_col(c)] = f"count_if({_q(c)})"
-            sql[_fail_col(c)] = f"count_if(NOT {_q(c)})"
+            sql[_pass_col(c)] = f"count_if({quoted(c)})"
+            sql[_fail_col(c)] = f"count_if(NOT {quoted(c)})"
     if "domain_range" in parts:
         sql[_pass_col("domain_range_all")] = f"count_if({_and_sql(domain_check_columns(flagged))})"
     return {name: F.expr(e) for name, e in sql.items()}
@@ -97,8 +97,9 @@ def named(aggs: dict[str, Column]) -> list[Column]:
     return [c.alias(n) for n, c in aggs.items()]
 
 
-def _q(name: str) -> str:
-    return f"`{name}`"
+def _text(value: str) -> str:
+    """SQL literal of a text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _sql_rate(p: str, total: str) -> str:
@@ -109,7 +110,7 @@ def _sql_rate(p: str, total: str) -> str:
 
 def _sql_row(metric: str, value: str = "NULL", p: str = "NULL", f: str = "NULL",
              rate: str = "NULL", category: str = "") -> str:
-    return (f"'{metric}', CAST({value} AS STRING), CAST({p} AS BIGINT), CAST({f} AS BIGINT), "
+    return (f"{_text(metric)}, CAST({value} AS STRING), CAST({p} AS BIGINT), CAST({f} AS BIGINT), "
             f"CAST({rate} AS STRING), '{category}'")
 
 
@@ -120,11 +121,11 @@ def trip_metric_rows(totals: DataFrame, flagged_columns: Sequence[str],
     ``flagged_columns`` are the columns of the flagged frame the totals came from.
     The unpivot is one ``stack`` expression. Output schema: ``schemas.METRIC_SCHEMA``.
     """
-    total = _q(_TOTAL)
+    total = quoted(_TOTAL)
     checks = [c for c in flagged_columns if c.startswith(S.CHECK_PREFIX)]
     rows: list[str] = []
     if "counts" in parts:
-        passed, undecided = _q(_pass_col("rows")), _q(_null_col("rows"))
+        passed, undecided = quoted(_pass_col("rows")), quoted(_null_col("rows"))
         rows += [
             _sql_row("row_count_total", total, category="counts"),
             _sql_row("row_count_pass", passed, category="counts"),
@@ -133,15 +134,15 @@ def trip_metric_rows(totals: DataFrame, flagged_columns: Sequence[str],
         ]
     if "nulls" in parts:
         for c in [c for c, _ in S.TRIP_SPEC if c in flagged_columns]:
-            share = f"CASE WHEN {total} > 0 THEN {_q(_null_col(c))} / {total} END"
+            share = f"CASE WHEN {total} > 0 THEN {quoted(_null_col(c))} / {total} END"
             rows.append(_sql_row(f"null_pct_{c}", share, category="nulls"))
     if "checks" in parts:
         for c in checks:
-            p, f = _q(_pass_col(c)), _q(_fail_col(c))
+            p, f = quoted(_pass_col(c)), quoted(_fail_col(c))
             category = "type" if c.endswith(S.TYPE_CHECK_SUFFIX) else "domain_range"
             rows.append(_sql_row(c, "NULL", p, f, _sql_rate(p, f"({p} + {f})"), category))
     if "domain_range" in parts:
-        p = _q(_pass_col("domain_range_all"))
+        p = quoted(_pass_col("domain_range_all"))
         rows.append(_sql_row("domain_range_all", "NULL", p, f"{total} - {p}",
                              _sql_rate(p, total), "domain_range"))
     if not rows:
@@ -207,11 +208,6 @@ def null_percentages(df: DataFrame, columns: Iterable[str],
                               for c in present], run_ts)
 
 
-def trip_null_percentages(df: DataFrame, run_ts: datetime | None = None) -> DataFrame:
-    """NULL shares of the expected trip columns (NaN and blank text count as NULL)."""
-    return null_percentages(df, [c for c, _ in S.TRIP_SPEC], trip_null_like, run_ts)
-
-
 def zone_metrics(checked: DataFrame, run_ts: datetime | None = None) -> tuple[DataFrame, DataFrame]:
     """Zone job metrics: (check summary, NULL percentages of the four columns)."""
     return (check_summary(checked, run_ts),

@@ -2,10 +2,12 @@
 de-duplicate by ``ride_id`` and enforce the 42-column curated order.
 
 The step functions follow the layer's logical order. ``curate`` composes them in the
-order that is cheapest at scale and gives the same rows: it keys and de-duplicates the
-20 conformed columns *before* the zone joins and the derived columns, so the one
-shuffle of the layer moves narrow rows; joins and derivations after it are narrow
-(broadcast) and fuse into the same whole-stage-codegen pipeline.
+order that is cheapest at scale and gives the same rows: ``conform`` keys and de-duplicates
+the 20 conformed columns *before* the zone joins and the derived columns, so the one
+shuffle of the layer moves narrow rows; ``enrich`` adds joins and derivations, which are narrow
+(broadcast) and fuse into the same whole-stage-codegen pipeline. Reports that need no zone take
+``add_derived_columns(conform(...))``, and the KPIs join the pick-up zone only. All calendar
+columns need a session in UTC; another zone is an error.
 """
 
 from __future__ import annotations
@@ -16,11 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart import schemas as S
+from tripmart.functions.checks import quoted
 from tripmart.functions.hashing import ride_id
 from tripmart.functions.temporal import in_hour_ranges, minutes_between, week_id, week_start
 from tripmart.operators.dedup import ascending, keep_first
-from tripmart.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small, lookup
+from tripmart.operators.bronze import one_airport_fee
+from tripmart.operators.joins import MAX_BROADCAST_BYTES, broadcast_if_small, lookup
 from tripmart.operators.metrics import _ts
+from tripmart.session import ensure_utc
 
 SILVER_NAMES = [n for n, _ in S.SILVER_TYPES]
 
@@ -45,15 +50,7 @@ def standardize_trips(df: DataFrame) -> DataFrame:
     range) becomes NULL instead of failing the job. The flag is upper-cased and
     trimmed. Columns outside the silver set pass through after the 20 silver ones.
     """
-    names = df.columns
-    if "airport_fee" in names and "Airport_fee" in names:
-        # Both spellings: rename by position, keep the first non-NULL.
-        lo, up = names.index("airport_fee"), names.index("Airport_fee")
-        tmp = ["__airport_lo" if i == lo else "__airport_up" if i == up else n
-               for i, n in enumerate(names)]
-        df = (df.toDF(*tmp)
-              .withColumn("airport_fee", F.coalesce("__airport_lo", "__airport_up"))
-              .drop("__airport_lo", "__airport_up"))
+    df = one_airport_fee(df)
     renames = {src: dst for src, dst in S.SILVER_RENAMES.items()
                if src in df.columns and src != dst}
     if renames:
@@ -63,11 +60,11 @@ def standardize_trips(df: DataFrame) -> DataFrame:
         if name not in df.columns:
             c = F.lit(None).cast(sql_type)
         else:
-            c = F.col(name).try_cast(sql_type)
+            c = F.col(quoted(name)).try_cast(sql_type)
             if name == "store_and_fwd_flag":
                 c = F.upper(F.trim(c))
         cols.append(c.alias(name))
-    extras = [c for c in df.columns if c not in SILVER_NAMES]
+    extras = [F.col(quoted(c)) for c in df.columns if c not in SILVER_NAMES]
     return df.select(*cols, *extras)
 
 
@@ -89,16 +86,18 @@ def zone_dimension(zones: DataFrame) -> DataFrame:
     )
 
 
-def join_zones(trips: DataFrame, zones: DataFrame,
-               max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Left-join the zone lookup twice: pick-up -> ``pu_*``, drop-off -> ``do_*``."""
-    dim = broadcast_if_small(zone_dimension(zones), max_broadcast_rows)
-    with_pu = lookup(trips, dim, "pu_location_id", "pu")
-    return lookup(with_pu, dim, "do_location_id", "do")
+def join_zones(trips: DataFrame, zones: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+               sides: tuple[str, ...] = ("pu", "do")) -> DataFrame:
+    """Left-join the zone lookup: pick-up -> ``pu_*``, drop-off -> ``do_*``. One size check for all sides."""
+    dim = broadcast_if_small(zone_dimension(zones), max_broadcast_bytes)
+    for side in sides:
+        trips = lookup(trips, dim, f"{side}_location_id", side)
+    return trips
 
 
 def add_derived_columns(df: DataFrame) -> DataFrame:
     """Calendar, duration, flag and ratio columns of a conformed trip."""
+    ensure_utc(df.sparkSession)
     pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
     hour = F.col("pickup_hour")
     minutes = F.col("trip_minutes")
@@ -136,6 +135,7 @@ def fill_missing(df: DataFrame, names: list[str]) -> DataFrame:
 
 def with_ride_id(df: DataFrame) -> DataFrame:
     """``ride_id`` = SHA-256 of vendor, pick-up time, week id, locations and total."""
+    ensure_utc(df.sparkSession)
     if "pickup_week_id" not in df.columns:
         df = df.withColumn("pickup_week_id", week_id(F.col("pickup_datetime")))
     return df.withColumn("ride_id", ride_id(
@@ -156,19 +156,32 @@ def finalize(df: DataFrame) -> DataFrame:
     return fill_missing(deduped, S.SILVER_ORDER).select(*S.SILVER_ORDER)
 
 
-def curate(pass_trips: DataFrame, zones: DataFrame,
-           max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Bronze pass trips + bronze zones -> curated silver trips (42 columns)."""
+def conform(pass_trips: DataFrame) -> DataFrame:
+    """Bronze pass trips -> one row per ``ride_id`` with the 20 conformed columns."""
+    ensure_utc(pass_trips.sparkSession)
     conformed = standardize_trips(pass_trips).select(*SILVER_NAMES)
     # The exchange carries the 32-byte digest instead of its 64-character hex text and
     # no week id; both are rebuilt after it (the same values, one-to-one).
     keyed = conformed.withColumn("__ride_key", F.unhex(ride_id(
         F.col("vendor_id"), F.col("pickup_datetime"), week_id(F.col("pickup_datetime")),
         F.col("pu_location_id"), F.col("do_location_id"), F.col("total_amount"))))
-    deduped = (dedup_rides(keyed, "__ride_key")
-               .withColumn("ride_id", F.lower(F.hex("__ride_key"))).drop("__ride_key"))
-    enriched = add_derived_columns(join_zones(deduped, zones, max_broadcast_rows))
-    return enriched.select(*S.SILVER_ORDER)
+    # The key holds vendor, locations and total, so these are equal in a group and need no tie-break
+    # (the pick-up time does: the key cuts it to seconds).
+    ties = [n for n in SILVER_NAMES if n not in ("vendor_id", "pu_location_id", "do_location_id", "total_amount")]
+    return (keep_first(keyed, ["__ride_key"], ascending(ties))
+            .withColumn("ride_id", F.lower(F.hex("__ride_key"))).drop("__ride_key"))
+
+
+def enrich(conformed: DataFrame, zones: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+           sides: tuple[str, ...] = ("pu", "do")) -> DataFrame:
+    """Conformed trips with the zones of the given sides and all derived columns."""
+    return add_derived_columns(join_zones(conformed, zones, max_broadcast_bytes, sides))
+
+
+def curate(pass_trips: DataFrame, zones: DataFrame,
+           max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Bronze pass trips + bronze zones -> curated silver trips (42 columns)."""
+    return enrich(conform(pass_trips), zones, max_broadcast_bytes).select(*S.SILVER_ORDER)
 
 
 def weekly_summary(curated: DataFrame, run_ts: datetime | None = None) -> DataFrame:

@@ -17,10 +17,10 @@ from pyspark.sql import types as T
 from tripmart import schemas as S
 from tripmart.operators import bronze, gold, inspect, integrity, metrics, silver
 from tripmart.operators.joins import broadcast_if_small, orphans
-from tripmart.session import ensure_utc
+from tripmart.plans import jobs, previews
+from tripmart.session import scratch_path
 from tripmart.sources import fixtures as fx
-from tripmart.plans import jobs
-from tripmart.sources import readers
+from tripmart.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,16 +49,34 @@ def trips_pass(spark: SparkSession, sf: str) -> DataFrame:
     return bronze.split_flagged(trips_flagged(spark, sf)).passed
 
 
+def trips_conformed(spark: SparkSession, sf: str) -> DataFrame:
+    """De-duplicated conformed trips: what every report without zones starts from."""
+    return silver.conform(trips_pass(spark, sf))
+
+
+def trips_reported(spark: SparkSession, sf: str) -> DataFrame:
+    return silver.add_derived_columns(trips_conformed(spark, sf))
+
+
 def curated(spark: SparkSession, sf: str) -> DataFrame:
     return silver.curate(trips_pass(spark, sf), zones_bronze(spark, sf))
 
 
+def kpi_input(spark: SparkSession, sf: str) -> DataFrame:
+    """The KPIs need the pick-up zone only."""
+    return silver.enrich(trips_conformed(spark, sf), zones_bronze(spark, sf), sides=("pu",))
+
+
 def kpis(spark: SparkSession, sf: str, ordered: bool = False) -> DataFrame:
-    return gold.weekly_kpis(curated(spark, sf), ordered=ordered)
+    return gold.weekly_kpis(kpi_input(spark, sf), ordered=ordered)
 
 
 def weekly(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.weekly_summary(curated(spark, sf)).drop("run_ts")
+    return silver.weekly_summary(trips_reported(spark, sf)).drop("run_ts")
+
+
+def text_flagged(spark: SparkSession, sf: str) -> DataFrame:
+    return bronze.flag_trips(fx.raw_trips_text(spark, sf))
 
 
 # ---------------------------------------------------------------------------
@@ -92,28 +110,87 @@ def _slice(column: str) -> Query:
 
 def _orphans(key: str) -> Query:
     def q(spark: SparkSession, sf: str) -> DataFrame:
-        dim = broadcast_if_small(silver.zone_dimension(zones_bronze(spark, sf)))
-        lost = orphans(curated(spark, sf), dim, key)
-        return lost.groupBy(key).agg(F.count(F.lit(1)).alias("orphan_trips"))
+        dim = broadcast_if_small(silver.zone_dimension(zones_bronze(spark, sf)).select("location_id"))
+        return orphans(trips_conformed(spark, sf), dim, key).groupBy(key).agg(F.count(F.lit(1)).alias("orphan_trips"))
     return q
 
 
-def _kpis_derived_flags(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.weekly_kpis(curated(spark, sf).drop("is_peak_hour", "is_night"), ordered=False)
+def _kpis_derived_flags(spark: SparkSession, sf: str, *also: str) -> DataFrame:
+    return gold.weekly_kpis(kpi_input(spark, sf).drop("is_peak_hour", "is_night", *also), ordered=False)
 
 
 def _layer_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """(layer, rows) for raw, bronze pass, curated and gold in two passes instead of four:
-    raw and pass rows from one aggregate over the flagged trips; curated and KPI rows from
-    the KPI aggregate (every curated trip falls into exactly one KPI group)."""
-    bronze_counts = trips_flagged(spark, sf).agg(
-        F.count(F.lit(1)).alias("raw"), F.count_if(F.col(S.DQ_PASS)).alias("bronze_pass"))
-    gold_counts = kpis(spark, sf).agg(
-        F.coalesce(F.sum("weekly_trips"), F.lit(0)).cast("bigint").alias("silver_curated"),
-        F.count(F.lit(1)).alias("gold_kpis"))
-    return (bronze_counts.selectExpr("stack(2, 'raw', raw, 'bronze_pass', bronze_pass) AS (layer, rows)")
-            .unionByName(gold_counts.selectExpr(
-                "stack(2, 'silver_curated', silver_curated, 'gold_kpis', gold_kpis) AS (layer, rows)")))
+    return inspect.layer_row_counts({
+        "raw": trips_raw(spark, sf), "bronze_pass": trips_pass(spark, sf),
+        "silver_curated": trips_conformed(spark, sf), "gold_kpis": kpis(spark, sf)})
+
+
+def _without(*columns: str) -> Query:
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        return metrics.trip_metrics(bronze.flag_trips(fx.raw_trips_text(spark, sf).drop(*columns)))
+    return q
+
+
+def _all_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Zone and trip metrics in one table (P23, U1)."""
+    summary, nulls = metrics.zone_metrics(zones_bronze(spark, sf))
+    return (metrics.unify(summary, "zone_counts").unionByName(metrics.unify(nulls, "zone_nulls"))
+            .unionByName(metrics.unify(_summary_all(spark, sf), "trips")))
+
+
+# -- queries over what the jobs wrote -----------------------------------------
+
+def _zone_job(folder: str) -> Query:
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        base = scratch_path(spark, "zone-job")
+        jobs.run_bronze_zones(zones_raw(spark, sf), base)
+        return spark.read.parquet(f"{base}/{folder}")
+    return q
+
+
+def _trip_job(spark: SparkSession, sf: str) -> DataFrame:
+    """All five metric tables of one run of the trip job."""
+    base = scratch_path(spark, "trip-job")
+    jobs.run_bronze_trips(trips_raw(spark, sf), base)
+    out = None
+    for name in (*S.RUN_SUMMARY_DIRS, S.RUN_SUMMARY_ALL_DIR):
+        part = spark.read.parquet(f"{base}/{name}").withColumn("output", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _silver_job(spark: SparkSession, sf: str) -> str:
+    base = scratch_path(spark, "silver-job")
+    jobs.run_bronze_zones(zones_raw(spark, sf), f"{base}/zones")
+    jobs.run_bronze_trips(trips_raw(spark, sf), f"{base}/trips")
+    jobs.run_silver(spark, f"{base}/trips", f"{base}/zones/{S.ZONES_DIR}", f"{base}/silver")
+    return f"{base}/silver"
+
+
+def _silver_report(name: str) -> Query:
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        return previews.silver_preview(spark, _silver_job(spark, sf))[name]
+    return q
+
+
+def _gold_report(name: str) -> Query:
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        path = scratch_path(spark, "gold-report")
+        sinks.write_gold(kpis(spark, sf), path)
+        return _rounded_means(previews.gold_preview(spark, path)[name])
+    return q
+
+
+def _empty_writes(spark: SparkSession, sf: str) -> DataFrame:
+    """What the trip job writes for all trips, for passing ones only and for rejected ones only."""
+    parts = bronze.split_flagged(trips_flagged(spark, sf))
+    own = trips_raw(spark, sf).columns
+    out = None
+    for name, raw in (("all", trips_raw(spark, sf)), ("passing", parts.passed.select(*own)),
+                      ("rejected", parts.rejects.select(*own))):
+        part = jobs.bronze_outcomes(raw).withColumn("input", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _summary_all(spark: SparkSession, sf: str) -> DataFrame:
@@ -158,6 +235,12 @@ _QUERIES: dict[str, Query] = {
     "trip_check_metrics": _metric("checks"),
     "domain_range_all": _metric("domain_range"),
     "summary_all": _summary_all,
+    "all_metrics": _all_metrics,
+    # all-text input, with junk in every column and NaN distances; columns missing
+    "trip_type_checks_text": lambda s, sf: bronze.add_type_checks(bronze.clean_trips(fx.raw_trips_text(s, sf))),
+    "trip_domain_checks_text": lambda s, sf: bronze.add_domain_checks(bronze.clean_trips(fx.raw_trips_text(s, sf))),
+    "summary_all_text": _without(),
+    "summary_all_missing_columns": _without("VendorID", "cbd_congestion_fee"),
     # silver: P25-P41, J1-J3, D1, D2
     "trips_standardized": lambda s, sf: silver.standardize_trips(trips_pass(s, sf)),
     "zone_dimension": lambda s, sf: silver.zone_dimension(zones_bronze(s, sf)),
@@ -179,13 +262,14 @@ _QUERIES: dict[str, Query] = {
     "weekly_summary": weekly,
     "weekly_kpis": lambda s, sf: kpis(s, sf, ordered=True),
     "weekly_kpis_derived_flags": _kpis_derived_flags,
+    "weekly_kpis_derived_hour": lambda s, sf: _kpis_derived_flags(s, sf, "pickup_hour"),
     # previews: P48, O2, O3
     **{f"slice_{c}": _slice(c) for c in S.KPI_SLICES},
     "full_kpis_500": lambda s, sf: gold.kpi_preview(kpis(s, sf)),
     # A10, D3
     "run_summary": lambda s, sf: gold.run_totals(kpis(s, sf)),
     # A11, A12, O4-O7
-    "silver_kpi_overview": lambda s, sf: inspect.silver_overview(curated(s, sf)),
+    "silver_kpi_overview": lambda s, sf: inspect.silver_overview(trips_reported(s, sf)),
     "gold_kpi_overview": lambda s, sf: _rounded_means(gold.kpi_overview(kpis(s, sf))),
     "top_week_boroughs": lambda s, sf: gold.top_week_boroughs(kpis(s, sf)),
     "silver_sample": lambda s, sf: inspect.silver_sample(curated(s, sf)),
@@ -194,11 +278,11 @@ _QUERIES: dict[str, Query] = {
     # layer comparison: N1-N5
     "layer_row_counts": _layer_counts,
     "layer_row_delta": lambda s, sf: inspect.layer_row_delta(
-        trips_pass(s, sf), curated(s, sf), "bronze_pass", "silver_curated"),
+        trips_pass(s, sf), trips_conformed(s, sf), "bronze_pass", "silver_curated"),
     "layer_column_diff": lambda s, sf: inspect.layer_column_diff(
         trips_pass(s, sf), curated(s, sf)),
     "layer_schema": lambda s, sf: inspect.layer_schema(curated(s, sf)),
-    "layer_sample": lambda s, sf: inspect.layer_sample(curated(s, sf)),
+    "layer_sample": lambda s, sf: inspect.layer_sample(curated(s, sf), ["ride_id"]),
     # sources and sinks: K1-K9, S2-S7, O8, A5
     "parquet_roundtrip": lambda s, sf: readers.roundtrip_parquet(trips_pass(s, sf)),
     "partitioned_gold_roundtrip": lambda s, sf: readers.roundtrip_gold(kpis(s, sf)),
@@ -208,12 +292,26 @@ _QUERIES: dict[str, Query] = {
     "zones_csv_scan": lambda s, sf: readers.roundtrip_zones_csv(zones_raw(s, sf)),
     "first_available_source": lambda s, sf: readers.first_available_zones(zones_raw(s, sf)),
     "write_outcomes": lambda s, sf: jobs.bronze_outcomes(trips_raw(s, sf)),
+    "empty_write_skipped": _empty_writes,
+    # written layers: K2, K7-K9, S4, and the reports over them
+    "zone_job_checked": _zone_job(S.ZONES_DIR),
+    "zone_job_summary": _zone_job(S.ZONE_SUMMARY_DIR),
+    "zone_job_nulls": _zone_job(S.ZONE_NULLS_DIR),
+    "trip_job_metrics": _trip_job,
+    "silver_job_curated": lambda s, sf: s.read.parquet(f"{_silver_job(s, sf)}/{S.CURATED_DIR}"),
+    "silver_job_weekly": _silver_report("weekly"),
+    "silver_job_overview": _silver_report("overview"),
+    "silver_job_sample": _silver_report("sample"),
+    "gold_job_overview": _gold_report("overview"),
+    "gold_job_top": _gold_report("top"),
+    "gold_job_sample": _gold_report("sample"),
 }
 
 
 def _wrap(q: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ensure_utc(spark)
+        """The registered queries put the session in UTC, which the pipeline asks for."""
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         return for_compare(q(spark, sf_dir))
     run.__name__ = getattr(q, "__name__", "query")
     return run

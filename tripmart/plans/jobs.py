@@ -47,17 +47,19 @@ def run_bronze_zones(raw_zones: DataFrame, out_base: str,
     checked = bronze.bronze_zones(raw_zones)
     summary, nulls = metrics.zone_metrics(checked, run_ts)
     return {
-        "full_dq_checked": write_if_rows(sinks.single_file(checked), f"{out_base}/full_dq_checked"),
-        "run_summary_parquet": write_if_schema(summary, f"{out_base}/run_summary_parquet"),
-        "null_summary_parquet": write_if_schema(nulls, f"{out_base}/null_summary_parquet"),
+        S.ZONES_DIR: write_if_rows(checked, f"{out_base}/{S.ZONES_DIR}"),
+        S.ZONE_SUMMARY_DIR: write_if_schema(summary, f"{out_base}/{S.ZONE_SUMMARY_DIR}"),
+        S.ZONE_NULLS_DIR: write_if_schema(nulls, f"{out_base}/{S.ZONE_NULLS_DIR}"),
     }
 
 
-def run_bronze_trips(raw: DataFrame, out_base: str,
-                     run_ts: datetime | None = None) -> DataFrame:
+def run_bronze_trips(raw: DataFrame, out_base: str, run_ts: datetime | None = None,
+                     split_folders: bool = False) -> DataFrame:
     """Raw trips -> ``trips/dq_status=*`` + ``_run_summary_*`` tables, one scan.
 
-    Returns the unified metric table (``METRIC_SCHEMA``).
+    Returns the unified metric table (``METRIC_SCHEMA``). With ``split_folders`` the splits are also
+    written as folders of their own: ``pass`` (without flags), ``_rejects`` and ``_indeterminate``.
+    Without a raw row no trips are written, and those of an older run are emptied.
     """
     spark = raw.sparkSession
     ensure_utc(spark)
@@ -66,40 +68,45 @@ def run_bronze_trips(raw: DataFrame, out_base: str,
     aggs = metrics.trip_metric_aggregates(flagged)
     labelled = flagged.withColumn(S.DQ_STATUS, bronze.dq_status())
     obs = Observation("bronze_trip_metrics")
-    if not labelled.isEmpty():
-        (labelled.observe(obs, *metrics.named(aggs))
-         .write.mode("overwrite").partitionBy(S.DQ_STATUS).parquet(f"{out_base}/{TRIPS_DIR}"))
-        values = obs.get
-    else:
+    path = f"{out_base}/{TRIPS_DIR}"
+    if labelled.isEmpty():
+        sinks.replace_by_empty(spark, path, labelled.schema)
         values = {}
+    else:
+        with sinks.few_partition_values(spark):  # three statuses: no sort of the trips by status
+            labelled.observe(obs, *metrics.named(aggs)).write.mode("overwrite").partitionBy(S.DQ_STATUS).parquet(path)
+        values = obs.get
+    if split_folders:
+        for status, folder in S.SPLIT_DIRS.items():
+            part = read_bronze(spark, out_base, status)
+            if part is not None:
+                write_if_rows(part, f"{out_base}/{folder}")
     totals = _totals_frame(spark, aggs, values)
-    parts = {
-        "_run_summary_counts": ("counts",),
-        "_run_summary_nulls": ("nulls",),
-        "_run_summary_checks": ("checks",),
-        "_run_summary_domain_range": ("domain_range",),
-    }
-    frames = {name: metrics.trip_metric_rows(totals, flagged.columns, p, run_ts)
-              for name, p in parts.items()}
     all_rows = None
-    for name, frame in frames.items():
+    for name, part in S.RUN_SUMMARY_DIRS.items():
+        frame = metrics.trip_metric_rows(totals, flagged.columns, (part,), run_ts)
         write_if_schema(frame, f"{out_base}/{name}")
         all_rows = frame if all_rows is None else all_rows.unionByName(frame)
-    write_if_schema(all_rows, f"{out_base}/_run_summary_all")
-    return spark.read.parquet(f"{out_base}/_run_summary_all")
+    write_if_schema(all_rows, f"{out_base}/{S.RUN_SUMMARY_ALL_DIR}")
+    return spark.read.parquet(f"{out_base}/{S.RUN_SUMMARY_ALL_DIR}")
 
 
-def bronze_outcomes(raw: DataFrame) -> DataFrame:
-    """Run the bronze trip job into the shared folder and report what it wrote:
-    (output, written, rows) per ``dq_status``, read back from the written table."""
+def bronze_outcomes(raw: DataFrame, split_folders: bool = True) -> DataFrame:
+    """Run the bronze trip job into the shared folder and report what it wrote: (output, written,
+    rows) per split folder. ``written`` is looked up in the file system, rows are read back."""
     from tripmart.session import scratch_path
 
-    base = scratch_path(raw.sparkSession, "bronze-job")
-    run_bronze_trips(raw, base)
-    return (raw.sparkSession.read.parquet(f"{base}/{TRIPS_DIR}")
-            .groupBy(F.col(S.DQ_STATUS).alias("output"))
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .select("output", (F.col("rows") > 0).alias("written"), "rows"))
+    spark = raw.sparkSession
+    base = scratch_path(spark, "bronze-job")
+    run_bronze_trips(raw, base, split_folders=split_folders)
+    out = None
+    for folder in S.SPLIT_DIRS.values():
+        there = sinks.exists(spark, f"{base}/{folder}")
+        rows = spark.read.parquet(f"{base}/{folder}") if there else spark.range(0)
+        part = rows.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(folder).alias("output"), F.lit(there).alias("written"), "rows")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _totals_frame(spark: SparkSession, aggs: dict, values: dict) -> DataFrame:
@@ -110,8 +117,11 @@ def _totals_frame(spark: SparkSession, aggs: dict, values: dict) -> DataFrame:
     return spark.createDataFrame([row], schema)
 
 
-def read_bronze(spark: SparkSession, base: str, status: str = "pass") -> DataFrame:
-    """One bronze split; the pass split comes without the flags (partition pruning)."""
+def read_bronze(spark: SparkSession, base: str, status: str = "pass") -> DataFrame | None:
+    """One bronze split (partition pruning), or None if no trips were ever written. The pass split
+    comes without the flags."""
+    if not sinks.exists(spark, f"{base}/{TRIPS_DIR}"):
+        return None
     df = spark.read.parquet(f"{base}/{TRIPS_DIR}").where(F.col(S.DQ_STATUS) == status)
     if status == "pass":
         drop = [c for c in df.columns if c.startswith(S.CHECK_PREFIX)] + [S.DQ_PASS, S.DQ_STATUS]
@@ -123,22 +133,33 @@ def read_bronze(spark: SparkSession, base: str, status: str = "pass") -> DataFra
 # Silver
 # ---------------------------------------------------------------------------
 
+def _curated_schema() -> T.StructType:
+    return T.StructType([T.StructField(n, T._parse_datatype_string(silver.CURATED_TYPES[n])) for n in S.SILVER_ORDER])
+
+
 def run_silver(spark: SparkSession, bronze_base: str, zones_path: str, out_base: str,
                run_ts: datetime | None = None) -> dict[str, bool]:
-    """Bronze pass + bronze zones -> ``curated`` + ``_run_summary_weekly``."""
+    """Bronze pass + bronze zones -> ``curated`` + ``_run_summary_weekly``.
+
+    Without a passing trip nothing is written, and an older run's tables are emptied.
+    """
     ensure_utc(spark)
     run_ts = run_ts or metrics.now_utc()
+    curated_path, weekly_path = f"{out_base}/{S.CURATED_DIR}", f"{out_base}/{S.WEEKLY_DIR}"
     passed = read_bronze(spark, bronze_base, "pass")
-    if passed.isEmpty():  # curated is empty exactly when its input is
-        return {"curated": False, "_run_summary_weekly": False}
-    zones = spark.read.parquet(zones_path)
-    curated = silver.curate(passed, zones)
-    curated.write.mode("overwrite").parquet(f"{out_base}/curated")
-    written = spark.read.parquet(f"{out_base}/curated")
+    if passed is None or passed.isEmpty():  # curated is empty exactly when its input is
+        sinks.replace_by_empty(spark, curated_path, _curated_schema())
+        empty = spark.createDataFrame([], _curated_schema())
+        sinks.replace_by_empty(spark, weekly_path, silver.weekly_summary(empty, run_ts).schema)
+        return {S.CURATED_DIR: False, S.WEEKLY_DIR: False}
+    zones = readers.read_nonempty(spark, zones_path)
+    if zones is None:  # no zone at all: every lookup finds nothing
+        zones = spark.createDataFrame([], S.ZONE_SCHEMA)
+    silver.curate(passed, zones).write.mode("overwrite").parquet(curated_path)
     # A non-empty curated table has at least one week: no emptiness probe needed.
-    sinks.single_file(silver.weekly_summary(written, run_ts)).write.mode("overwrite").parquet(
-        f"{out_base}/_run_summary_weekly")
-    return {"curated": True, "_run_summary_weekly": True}
+    sinks.single_file(silver.weekly_summary(spark.read.parquet(curated_path), run_ts)).write.mode(
+        "overwrite").parquet(weekly_path)
+    return {S.CURATED_DIR: True, S.WEEKLY_DIR: True}
 
 
 # ---------------------------------------------------------------------------
@@ -149,46 +170,57 @@ def run_gold(spark: SparkSession, silver_curated: str, gold_path: str, preview_b
              run_id: str | None = None) -> DataFrame | None:
     """Curated silver -> gold KPIs (partitioned by week), 6 CSV previews, JSON summary.
 
-    Returns the run summary frame, or None when silver holds no row.
+    Returns the run summary as written, or None when silver is missing or holds no row; then an older
+    run's outputs are emptied.
     """
     ensure_utc(spark)
     run_id = run_id or datetime.now().strftime("%Y%m%d_%H%M%S")
+    previews = {S.FULL_PREVIEW: gold.kpi_preview} | {
+        c: (lambda kpis, c=c: gold.kpi_slice(kpis, c)) for c in S.KPI_SLICES}
+    run_ts = metrics.now_utc().isoformat().replace("+00:00", "Z")  # ISO instant
+    summary_path = f"{preview_base}/run_summary"
     silver_df = readers.read_nonempty(spark, silver_curated)
     if silver_df is None:
+        none = gold.weekly_kpis(spark.createDataFrame([], _curated_schema()), ordered=False)
+        sinks.replace_by_empty(spark, gold_path, none.schema)
+        for name, make in previews.items():
+            sinks.replace_by_empty(spark, f"{preview_base}/{name}", make(none).schema, "csv")
+        sinks.replace_by_empty(spark, summary_path, gold.run_summary(none, "", "", "", "").schema, "json")
         return None
     # The KPI table is small (weeks x boroughs): aggregate once, keep it for the gold
     # write and the seven small outputs instead of re-listing every week partition.
     kpis = gold.weekly_kpis(silver_df, ordered=False).persist()
     try:
         sinks.write_gold(kpis, gold_path)
-        sinks.write_csv_preview(gold.kpi_preview(kpis), f"{preview_base}/full_kpis")
-        for c in S.KPI_SLICES:
-            sinks.write_csv_preview(gold.kpi_slice(kpis, c), f"{preview_base}/{c}")
-        run_ts = metrics.now_utc().isoformat().replace("+00:00", "Z")  # ISO instant
-        summary = gold.run_summary(kpis, run_id, run_ts, silver_curated, gold_path)
-        sinks.write_json(summary, f"{preview_base}/run_summary")
+        for name, make in previews.items():
+            sinks.write_csv_preview(make(kpis), f"{preview_base}/{name}")
+        sinks.write_json(gold.run_summary(kpis, run_id, run_ts, silver_curated, gold_path), summary_path)
     finally:
         kpis.unpersist()
-    return summary
+    return spark.read.json(summary_path)
 
 
 # ---------------------------------------------------------------------------
 # All layers
 # ---------------------------------------------------------------------------
 
-def run_all(spark: SparkSession, raw_trips: DataFrame, raw_zones: DataFrame,
-            out_base: str) -> dict[str, str]:
-    """Bronze (zones, trips) -> silver -> gold under ``out_base``; returns the paths."""
+def run_all(spark: SparkSession, raw_trips: DataFrame, raw_zones: DataFrame, out_base: str,
+            trips_name: str = "trips", zones_name: str = "zones") -> dict[str, str]:
+    """Bronze (zones, trips) -> silver -> gold under ``out_base``; returns the paths.
+
+    A layer without rows is skipped, and so are those above it; none of them leaves an older run's
+    table readable as current.
+    """
     run_ts = metrics.now_utc()
     p = {
-        "bronze_zones": f"{out_base}/bronze/taxi_zone",
-        "bronze_trips": f"{out_base}/bronze/yellow_tripdata",
-        "silver": f"{out_base}/silver/yellow_tripdata",
-        "gold": f"{out_base}/gold/yellow_tripdata",
-        "gold_preview": f"{out_base}/gold_preview/yellow_tripdata",
+        "bronze_zones": f"{out_base}/bronze/{zones_name}",
+        "bronze_trips": f"{out_base}/bronze/{trips_name}",
+        "silver": f"{out_base}/silver/{trips_name}",
+        "gold": f"{out_base}/gold/{trips_name}",
+        "gold_preview": f"{out_base}/gold_preview/{trips_name}",
     }
     run_bronze_zones(raw_zones, p["bronze_zones"], run_ts)
     run_bronze_trips(raw_trips, p["bronze_trips"], run_ts)
-    run_silver(spark, p["bronze_trips"], f"{p['bronze_zones']}/full_dq_checked", p["silver"], run_ts)
-    run_gold(spark, f"{p['silver']}/curated", p["gold"], p["gold_preview"])
+    run_silver(spark, p["bronze_trips"], f"{p['bronze_zones']}/{S.ZONES_DIR}", p["silver"], run_ts)
+    run_gold(spark, f"{p['silver']}/{S.CURATED_DIR}", p["gold"], p["gold_preview"])
     return p

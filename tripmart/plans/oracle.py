@@ -235,7 +235,8 @@ def _share(part: str) -> str:
     return f"CASE WHEN n > 0 THEN CAST({part} AS DOUBLE) / n END"
 
 
-def metric_rows(parts: tuple[str, ...]) -> str:
+def _metric_parts(parts: tuple[str, ...], columns: list[str], null_like) -> tuple[list[str], list[str]]:
+    """The metric rows' SELECTs over ``agg``, and its aggregates."""
     aggs = ["count(*) AS n", "count(*) FILTER (WHERE dq_pass) AS n_pass",
             "count(*) FILTER (WHERE dq_pass IS NULL) AS n_undecided"]
     rows = []
@@ -244,10 +245,10 @@ def metric_rows(parts: tuple[str, ...]) -> str:
                  _metric_row("row_count_pass", "n_pass", category="counts"),
                  _metric_row("row_count_reject", "n - n_pass", category="counts"),
                  _metric_row("row_count_indeterminate", "n_undecided", category="counts")]
-    present = [c for c, _ in S.TRIP_SPEC if c in RAW_COLUMNS]
+    present = [c for c, _ in S.TRIP_SPEC if c in columns]
     if "nulls" in parts:
         for i, c in enumerate(present):
-            aggs.append(f"count(*) FILTER (WHERE {_null_like(c)}) AS nn{i}")
+            aggs.append(f"count(*) FILTER (WHERE {null_like(c)}) AS nn{i}")
             rows.append(_metric_row(f"null_pct_{c}", _share(f"nn{i}"), category="nulls"))
     if "checks" in parts:
         for i, c in enumerate(ALL_CHECKS):
@@ -259,6 +260,11 @@ def metric_rows(parts: tuple[str, ...]) -> str:
         aggs.append(f"count(*) FILTER (WHERE {' AND '.join(DOMAIN_CHECKS)}) AS dr")
         rows.append(_metric_row("domain_range_all", "NULL", "dr", "n - dr", _rate("dr", "n"),
                                 "domain_range"))
+    return rows, aggs
+
+
+def metric_rows(parts: tuple[str, ...]) -> str:
+    rows, aggs = _metric_parts(parts, RAW_COLUMNS, _null_like)
     agg = f"agg AS (SELECT {', '.join(aggs)} FROM trip_flagged)"
     body = ",\n".join(f"{name} AS (\n{sql}\n)" for name, sql in CTES)
     return f"WITH {body},\n{agg}\n" + "\nUNION ALL\n".join(rows)
@@ -295,6 +301,164 @@ def _type_only() -> str:
     return _with("SELECT * FROM trip_type_checked")
 
 
+# ---------------------------------------------------------------------------
+# All-text trips, and trips with columns missing
+# ---------------------------------------------------------------------------
+
+def _text_ctes(missing: tuple[str, ...] = ()) -> list[tuple[str, str]]:
+    """trips_text, text_clean, text_flagged: every column is text, with junk by residue."""
+    def cell(i: int, c: str) -> str:
+        nan = "WHEN h%103=5 THEN 'NaN' " if c == "trip_distance" else ""
+        return f"CASE WHEN h%101={i} THEN 'x' {nan}ELSE CAST({c} AS VARCHAR) END AS {c}"
+
+    cols = ", ".join(f"{cell(i, c)}" for i, c in enumerate(RAW_COLUMNS))
+    kept = [c for c in RAW_COLUMNS if c not in missing]
+    types = dict(S.TRIP_SPEC) | {"Airport_fee": "DOUBLE"}
+
+    def typed(c: str) -> str:
+        return f"TRY_CAST({c} AS {_DUCK_TYPES[types[c]]})"
+
+    def rule(name: str, needs: list[str], sql: str) -> str:
+        return f"({sql}) AS {name}" if all(n in kept for n in needs) else f"TRUE AS {name}"
+
+    type_flags = [f"({c} IS NULL OR {typed(c)} IS NOT NULL) AS chk_{c}_type_ok" if c in kept else f"TRUE AS chk_{c}_type_ok"
+                  for c, _ in S.TRIP_SPEC]
+    up, down = "tpep_pickup_datetime", "tpep_dropoff_datetime"
+    amounts = " AND ".join(f"{typed(c)} >= 0" for c in S.AMOUNT_COLUMNS if c in kept)
+    domain_flags = [
+        rule("chk_VendorID_domain_ok", ["VendorID"], f"{typed('VendorID')} IN (1, 2, 6, 7)"),
+        rule("chk_passenger_count_ge1", ["passenger_count"], f"{typed('passenger_count')} >= 1"),
+        rule("chk_trip_distance_ge0", ["trip_distance"], f"{typed('trip_distance')} >= 0"),
+        rule("chk_RatecodeID_domain_ok", ["RatecodeID"], f"{typed('RatecodeID')} IN (1, 2, 3, 4, 5, 6, 99)"),
+        rule("chk_store_and_fwd_flag_domain_ok", ["store_and_fwd_flag"],
+             "store_and_fwd_flag IS NULL OR upper(store_and_fwd_flag) IN ('Y', 'N')"),
+        rule("chk_PULocationID_pos", ["PULocationID"], f"{typed('PULocationID')} > 0"),
+        rule("chk_DOLocationID_pos", ["DOLocationID"], f"{typed('DOLocationID')} > 0"),
+        rule("chk_payment_type_domain_ok", ["payment_type"], f"{typed('payment_type')} IN (0, 1, 2, 3, 4, 5, 6)"),
+        f"({amounts}) AS chk_amounts_nonneg_ok",
+        rule("chk_times_order_ok", [up, down], f"{typed(down)} >= {typed(up)}"),
+        rule("chk_duration_lt_24h", [up, down], f"epoch({typed(down)}) - epoch({typed(up)}) < 86400"),
+    ]
+    flags = type_flags + domain_flags
+    return [
+        ("text_rows", f"SELECT h, {cols} FROM t"),
+        ("trips_text", f"SELECT {', '.join(kept)} FROM text_rows UNION ALL SELECT {', '.join(kept)} FROM text_rows WHERE h%50=0"),
+        ("text_clean", "SELECT * REPLACE (nullif(trim(store_and_fwd_flag), '') AS store_and_fwd_flag) FROM trips_text"),
+        ("text_type_checked", f"SELECT *, {', '.join(type_flags)} FROM text_clean"),
+        ("text_domain_checked", f"SELECT *, {', '.join(domain_flags)} FROM text_clean"),
+        ("text_checked", f"SELECT *, {', '.join(flags)} FROM text_clean"),
+        ("text_flagged", f"SELECT *, ({' AND '.join(ALL_CHECKS)}) AS dq_pass FROM text_checked"),
+    ]
+
+
+def _text_with(final: str, missing: tuple[str, ...] = ()) -> str:
+    body = ",\n".join(f"{name} AS (\n{sql}\n)" for name, sql in [*CTES[:3], *_text_ctes(missing)])
+    return f"WITH {body}\n{final}"
+
+
+def _text_metrics(missing: tuple[str, ...] = ()) -> str:
+    rows, aggs = _metric_parts(("counts", "nulls", "checks", "domain_range"),
+                               [c for c in RAW_COLUMNS if c not in missing],
+                               lambda c: f"({c} IS NULL OR length(trim({c})) = 0)")
+    body = ",\n".join(f"{name} AS (\n{sql}\n)" for name, sql in [*CTES[:3], *_text_ctes(missing)])
+    return f"WITH {body},\nagg AS (SELECT {', '.join(aggs)} FROM text_flagged)\n" + "\nUNION ALL\n".join(rows)
+
+
+_OUTPUTS = """(VALUES ('pass'), ('_rejects'), ('_indeterminate')) AS o(output)"""
+_STATUS = "CASE WHEN dq_pass THEN 'pass' WHEN NOT dq_pass THEN '_rejects' ELSE '_indeterminate' END"
+
+
+def _outcomes(where: str = "TRUE") -> str:
+    return (f"SELECT o.output, count(f.output) > 0 AS written, count(f.output) AS rows FROM {_OUTPUTS} "
+            f"LEFT JOIN (SELECT {_STATUS} AS output FROM trip_flagged WHERE {where}) f ON f.output = o.output GROUP BY 1")
+
+
+def _filled(layer: str, columns: list[str], extra: str = "") -> str:
+    return " UNION ALL ".join(f"SELECT {extra}'{c}' AS \"column\", count({c}) AS filled FROM {layer}" for c in columns)
+
+
+_SPARK_TYPES = {"INT": "int", "DOUBLE": "double", "TIMESTAMP": "timestamp", "STRING": "string"}
+# Spark's type names of the derived curated columns, written down here on purpose.
+_DERIVED = {"ride_id": "string", "pickup_date": "date", "pickup_hour": "int", "pickup_day_of_week": "string",
+            "pickup_year": "int", "pickup_week_of_year": "int", "pickup_week_start": "date", "pickup_week_id": "string",
+            "trip_minutes": "double", "trip_hours": "double", "pu_borough": "string", "pu_zone": "string",
+            "pu_service_zone": "string", "do_borough": "string", "do_zone": "string", "do_service_zone": "string",
+            "revenue_per_mile": "double", "revenue_per_minute": "double", "trip_mph": "double", "is_peak_hour": "boolean",
+            "is_night": "boolean", "is_weekend": "boolean"}
+
+
+def _layer_schema() -> str:
+    types = {n: _SPARK_TYPES[t] for n, t in S.SILVER_TYPES} | _DERIVED
+    return _with(" UNION ALL ".join(
+        f"SELECT {i} AS position, '{c}' AS \"column\", '{types[c]}' AS type, count({c}) AS filled FROM curated"
+        for i, c in enumerate(S.SILVER_ORDER)))
+
+
+def _column_diff() -> str:
+    added = [c for c in S.SILVER_ORDER if c not in RAW_COLUMNS]
+    removed = [c for c in RAW_COLUMNS if c not in S.SILVER_ORDER]
+    return _with(_filled("curated", added, "'added' AS change, ") + " UNION ALL "
+                 + _filled("trip_pass", removed, "'removed' AS change, "))
+
+
+def _more() -> dict[str, str]:
+    """Queries over written layers, all-text input and missing columns."""
+    trip_rows = metric_rows(("counts", "nulls", "checks", "domain_range"))
+    body, select = trip_rows.rsplit("FROM trip_flagged)\n", 1)
+    zone_checks = " AND ".join(["chk_LocationID_numeric", "chk_Borough_not_null", "chk_Zone_not_null", "chk_service_zone_not_null"])
+    zone_nulls = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL OR {c} = '') AS zn{i}" for i, c in enumerate(S.ZONE_COLUMNS))
+    simple = [("row_count_total", "n", "zone_counts"), ("row_count_pass", "p", "zone_counts"), ("row_count_reject", "n - p", "zone_counts")]
+    simple += [(f"null_pct_{c}", _share(f"zn{i}"), "zone_nulls") for i, c in enumerate(S.ZONE_COLUMNS)]
+    zone_rows = "\nUNION ALL\n".join(
+        f"SELECT '{m}' AS metric, CAST({v} AS VARCHAR) AS value, CAST(NULL AS BIGINT) AS pass_count, "
+        f"CAST(NULL AS BIGINT) AS fail_count, CAST(NULL AS VARCHAR) AS pass_rate, '{c}' AS category FROM zagg" for m, v, c in simple)
+    per_table = {name: part for name, part in S.RUN_SUMMARY_DIRS.items()}
+    job = [f"SELECT *, '_run_summary_all' AS output FROM m"]
+    job += [f"SELECT *, '{name}' AS output FROM m WHERE " + {
+        "counts": "category = 'counts'", "nulls": "category = 'nulls'",
+        "checks": "category IN ('type', 'domain_range') AND metric <> 'domain_range_all'",
+        "domain_range": "metric = 'domain_range_all'"}[part] for name, part in per_table.items()]
+    kpi_means = ("SELECT count(*) AS num_week_borough_combinations, CAST(sum(weekly_trips) AS BIGINT) AS total_trips, "
+                 "sum(weekly_revenue) AS total_revenue, round(avg(avg_trip_distance_miles), 6) AS mean_avg_distance_miles, "
+                 "round(avg(avg_trip_time_minutes), 6) AS mean_avg_time_minutes, round(avg(peak_hour_pct), 6) AS mean_peak_hour_pct, "
+                 "round(avg(night_trip_pct), 6) AS mean_night_trip_pct, "
+                 "round(avg(avg_revenue_per_mile), 6) AS mean_revenue_per_mile FROM kpis")
+    return {
+        "trip_type_checks_text": _text_with("SELECT * FROM text_type_checked"),
+        "trip_domain_checks_text": _text_with("SELECT * FROM text_domain_checked"),
+        "summary_all_text": _text_metrics(),
+        "summary_all_missing_columns": _text_metrics(("VendorID", "cbd_congestion_fee")),
+        "all_metrics": f"{body}FROM trip_flagged),\nzagg AS (SELECT count(*) AS n, count(*) FILTER (WHERE {zone_checks}) AS p, "
+                       f"{zone_nulls} FROM zones_checked)\n{select}\nUNION ALL\n{zone_rows}",
+        "trip_job_metrics": f"{body}FROM trip_flagged),\nm AS ({select})\n" + "\nUNION ALL\n".join(job),
+        "weekly_kpis_derived_hour": _with(_kpi_sql(
+            "curated", "hour(pickup_datetime) IN (7, 8, 17, 18)",
+            "(hour(pickup_datetime) BETWEEN 22 AND 23) OR (hour(pickup_datetime) BETWEEN 0 AND 5)")),
+        "write_outcomes": _with(_outcomes()),
+        "empty_write_skipped": _with(" UNION ALL ".join(
+            f"SELECT *, '{name}' AS input FROM ({_outcomes(where)})" for name, where in
+            (("all", "TRUE"), ("passing", "dq_pass"), ("rejected", "NOT dq_pass")))),
+        "zone_job_checked": _with("SELECT * FROM zones_checked"),
+        "zone_job_summary": _zone_summary(),
+        "zone_job_nulls": _zone_nulls(),
+        "silver_job_curated": _with("SELECT * FROM curated"),
+        "silver_job_weekly": _with("SELECT * FROM weekly"),
+        "silver_job_overview": _with(
+            "SELECT count(*) AS row_count, sum(total_amount) AS total_revenue, sum(trip_distance) AS total_miles, "
+            "avg(trip_distance) AS avg_trip_distance, avg(trip_minutes) AS avg_trip_minutes, "
+            "avg(CASE WHEN is_peak_hour THEN 1 ELSE 0 END) AS peak_hour_pct, "
+            "avg(CASE WHEN is_night THEN 1 ELSE 0 END) AS night_trip_pct FROM curated"),
+        "silver_job_sample": _with("SELECT * FROM curated ORDER BY pickup_datetime, ride_id LIMIT 20"),
+        "gold_job_overview": _with(kpi_means),
+        "gold_job_top": _with("SELECT pickup_week_id, pu_borough, weekly_trips, weekly_revenue FROM kpis "
+                              "ORDER BY weekly_trips DESC, pickup_week_id, pu_borough, pickup_week_start LIMIT 10"),
+        "gold_job_sample": _with("SELECT * FROM kpis ORDER BY pickup_week_start, pu_borough, pickup_week_id LIMIT 20"),
+        "layer_schema": _layer_schema(),
+        "layer_column_diff": _column_diff(),
+        "layer_sample": _with("SELECT * FROM curated ORDER BY ride_id LIMIT 5000"),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {
         "trips_raw": _with("SELECT * FROM trips_raw"),
@@ -394,11 +558,7 @@ def oracle_sql() -> dict[str, str]:
             "(SELECT pickup_week_id, sum(weekly_trips) AS t FROM kpis GROUP BY pickup_week_id)"),
         "zones_csv_scan": _with("SELECT * FROM zones_raw"),
         "first_available_source": _with("SELECT * FROM zones_raw"),
-        "write_outcomes": _with(
-            "SELECT CASE WHEN dq_pass THEN 'pass' WHEN NOT dq_pass THEN 'reject' "
-            "ELSE 'indeterminate' END AS output, count(*) > 0 AS written, count(*) AS rows "
-            "FROM trip_flagged GROUP BY 1"),
     }
     for c in S.KPI_SLICES:
         q[f"slice_{c}"] = _slice(c)
-    return q
+    return q | _more()

@@ -150,6 +150,22 @@ SAMPLE_ROWS: int = 20
 TOP_ROWS: int = 10
 LAYER_SAMPLE_ROWS: int = 5000
 
+# Folders of the layers' outputs: zone job, trip job, silver, previews.
+ZONES_DIR: str = "full_dq_checked"
+ZONE_SUMMARY_DIR: str = "run_summary_parquet"
+ZONE_NULLS_DIR: str = "null_summary_parquet"
+SPLIT_DIRS: dict[str, str] = {"pass": "pass", "reject": "_rejects", "indeterminate": "_indeterminate"}
+RUN_SUMMARY_DIRS: dict[str, str] = {
+    "_run_summary_counts": "counts",
+    "_run_summary_nulls": "nulls",
+    "_run_summary_checks": "checks",
+    "_run_summary_domain_range": "domain_range",
+}
+RUN_SUMMARY_ALL_DIR: str = "_run_summary_all"
+CURATED_DIR: str = "curated"
+WEEKLY_DIR: str = "_run_summary_weekly"
+FULL_PREVIEW: str = "full_kpis"
+
 # Pass rate text format; a check that saw no decided row has rate 1.0.
 PASS_RATE_FORMAT: str = "%.6f"
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -40,16 +42,20 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """All calendar logic of the pipeline is defined in UTC."""
-    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """All calendar logic of the pipeline is defined in UTC: another session zone is an error.
+
+    The caller's session is never changed; set ``spark.sql.session.timeZone`` to ``UTC`` first.
+    """
+    zone = spark.conf.get("spark.sql.session.timeZone", None)
+    if zone not in ("UTC", "Etc/UTC", "Z", "GMT", "+00:00"):
+        raise ValueError(f"this pipeline needs spark.sql.session.timeZone=UTC, the session has {zone}")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (a local test run) is a folder created and
-    registered as the checkpoint directory.
+    Only a local session that names none gets a temporary folder, which goes when Python ends; on
+    any other master executors would not see each other's files, so that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -59,12 +65,31 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(d)
             d = sc.getCheckpointDir() or d
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tripmart-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared folder for one output."""
+    """A fresh sub-folder of the shared folder for one output.
+
+    Results that are read lazily need their files until they are used, so nothing is removed here;
+    a long-lived session calls :func:`clear_scratch` when it is done with earlier results.
+    """
     return os.path.join(shared_dir(spark), "tripmart", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Deletes a folder on any Hadoop file system; False when there was none."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True))
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Deletes every scratch output of this session."""
+    return delete_path(spark, os.path.join(shared_dir(spark), "tripmart"))

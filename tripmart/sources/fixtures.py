@@ -79,6 +79,24 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
         f"inline(array_repeat(struct({', '.join(TRIP_COLUMNS)}), {copies}))")
 
 
+# Text trips: column i holds the junk text 'x' where h % 101 = i; a distance is NaN where h % 103 = 5.
+TEXT_JUNK = 101
+
+
+def _as_text(i: int, name: str) -> str:
+    nan = "WHEN h%103=5 THEN 'NaN' " if name == "trip_distance" else ""
+    return f"CASE WHEN h%{TEXT_JUNK}={i} THEN 'x' {nan}ELSE CAST({name} AS STRING) END AS {name}"
+
+
+def text_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """The same raw trips with all 20 columns as text, with junk in every column."""
+    trips = (lineitem.select(*LINEITEM_COLUMNS)
+             .selectExpr("*", _HASH).selectExpr(*_BASE).selectExpr(*_TRIP)
+             .selectExpr("h", *[_as_text(i, c) for i, c in enumerate(TRIP_COLUMNS)]))
+    copies = "CASE WHEN h%50=0 THEN 2 ELSE 1 END"
+    return trips.selectExpr(f"inline(array_repeat(struct({', '.join(TRIP_COLUMNS)}), {copies}))")
+
+
 def zones_from_nation_region(nation: DataFrame, region: DataFrame) -> DataFrame:
     """Zone lookup (four text columns) from nations and regions.
 
@@ -110,6 +128,10 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_from_lineitem(read_table(spark, sf_dir, "lineitem"))
 
 
+def raw_trips_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_trips_from_lineitem(read_table(spark, sf_dir, "lineitem"))
+
+
 def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones_from_nation_region(read_table(spark, sf_dir, "nation"),
                                     read_table(spark, sf_dir, "region"))

@@ -13,11 +13,6 @@ from tripmart.session import scratch_path
 from tripmart.sources import sinks
 
 
-def read_trips(spark: SparkSession, path: str) -> DataFrame:
-    """Raw trips: Parquet, schema from the files."""
-    return spark.read.parquet(path)
-
-
 def read_zones_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw zone lookup: CSV with a header, four text columns (no inference)."""
     return spark.read.option("header", "true").schema(S.ZONE_SCHEMA).csv(path)
@@ -32,12 +27,13 @@ def first_available(spark: SparkSession, candidates: Sequence[str],
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
-    tried = "\n".join(f" - {p}" for p in candidates)
-    raise FileNotFoundError(f"Input file not found. Tried:\n{tried}")
+    raise FileNotFoundError("none of these inputs exists: " + ", ".join(candidates))
 
 
 def read_nonempty(spark: SparkSession, path: str) -> DataFrame | None:
-    """Parquet layer, or None when it holds no row (callers stop early)."""
+    """Parquet layer, or None when it is missing or holds no row (callers stop early)."""
+    if not sinks.exists(spark, path):
+        return None
     df = spark.read.parquet(path)
     return None if df.isEmpty() else df
 

@@ -1,22 +1,59 @@
 """Writers of the three layers.
 
-Fact tables keep their parallelism (one file per task); only the small metric and
-preview tables are written as a single file.
+Fact and dimension tables keep their parallelism (one file per task); only the small metric
+and preview tables are written as a single file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def single_file(df: DataFrame) -> DataFrame:
-    """One output file: only for tables whose size does not grow with the facts."""
-    return df.coalesce(1)
+    """One output file: only for tables whose size does not grow with the facts.
+
+    The rows meet behind an exchange, so whatever computes them keeps its own parallelism
+    (``coalesce(1)`` would pull the whole stage into one task).
+    """
+    return df.repartition(1)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Is there a folder or file at ``path`` (on any Hadoop file system)?"""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target))
+
+
+def replace_by_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> None:
+    """An older run's output becomes an empty table of the same schema; nothing is made anew."""
+    if exists(spark, path):
+        spark.createDataFrame([], schema).write.mode("overwrite").option("header", "true").format(fmt).save(path)
+
+
+@contextmanager
+def few_partition_values(spark: SparkSession, most: int = 8) -> Iterator[None]:
+    """Inside, a partitioned write keeps a file per value open instead of sorting all rows by value."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, "0")
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def write_if_rows(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
-    """Overwrite ``path`` with ``df`` when it has at least one row; report whether it did."""
+    """Overwrite ``path`` with ``df`` when it has at least one row; report whether it did.
+
+    Without rows nothing is written on a fresh path, and an older run's table is emptied, so it
+    can't be taken for this run's.
+    """
     if df.isEmpty():
+        replace_by_empty(df.sparkSession, path, df.schema, fmt)
         return False
     df.write.mode("overwrite").format(fmt).save(path)
     return True
@@ -47,7 +84,7 @@ def write_csv_preview(df: DataFrame, path: str) -> None:
 
 def write_zones_csv(zones: DataFrame, path: str) -> None:
     """Zone lookup as CSV with a header, keeping leading and trailing blanks."""
-    (single_file(zones).write.mode("overwrite")
+    (zones.write.mode("overwrite")
      .option("header", "true")
      .option("ignoreLeadingWhiteSpace", "false")
      .option("ignoreTrailingWhiteSpace", "false")

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripmart import schemas as S
 from tripmart.operators import bronze, metrics
-from tripmart.session import ensure_utc, scratch_path
+from tripmart.session import ensure_utc
 
 
 def _process_batch(out_base: str):
@@ -41,17 +41,23 @@ def _process_batch(out_base: str):
 
 
 def start_bronze_stream(spark: SparkSession, input_dir: str, raw_schema: T.StructType,
-                        out_base: str, checkpoint: str | None = None,
+                        out_base: str, checkpoint: str,
                         available_now: bool = True, max_files_per_trigger: int | None = None
                         ) -> StreamingQuery:
-    """Start the incremental bronze query; ``available_now`` drains what is there and stops."""
+    """Start the incremental bronze query; ``available_now`` drains what is there and stops.
+
+    ``checkpoint`` belongs to ``out_base``: a restart must name the same folder, or batches would be
+    numbered from 0 again and files counted twice.
+    """
+    if not checkpoint:
+        raise ValueError("a bronze stream needs the checkpoint folder that belongs to its output")
     ensure_utc(spark)
     reader = spark.readStream.schema(raw_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.parquet(input_dir)
     writer = (stream.writeStream.foreachBatch(_process_batch(out_base))
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "bronze-stream")))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
