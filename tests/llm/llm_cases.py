@@ -41,7 +41,7 @@ def words(text):
 
 
 def bag(text, n=5):
-    w = (text or "").lower().split()
+    w = words((text or "").lower())
     return Counter(tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))) if w else Counter()
 
 

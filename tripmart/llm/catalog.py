@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, embeddings, lm, minhash, mixing, quality, rules, sharding, tokenfile, toxicity
-from tripmart.llm.common import table
+from tripmart.llm import bpe, embeddings, lm, minhash, mixing, oracle, quality, rules, sharding, tokenfile, toxicity
+from tripmart.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,9 +75,16 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op9_embeddings, op10_minhash)}
 
 
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {name: _shipped(q) for name, q in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +20,25 @@ WORDS = re.compile(WORD_PATTERN)
 SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application: they need not find it on a path
+    of their own."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).parent.parent
+    folder = tempfile.mkdtemp(prefix="tripmart-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/{package.name}_code.zip", "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(f"{folder}/{package.name}_code.zip")
+    _SHIPPED.add(sc.applicationId)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the cluster's shared folder and read back: the lineage is cut by
     files that every executor can read, so a lost executor costs no more than the running job."""
