@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.bpe import SPLIT, UNCOMMON, byte_letters, read_file
-from tripmart.llm.common import running_before, scratch_path, seeded
+from tripmart.llm.common import running_before, scratch_path, seeded, unit
 
 END_ID = 2
 SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES, BLOCK_BYTES, SEED, LEVEL = 1000, 16_384, 65_536, 1 << 20, 41, 3
@@ -40,8 +41,9 @@ CACHE = 150_000
 
 
 class LibraryEncoder(dict):
-    """Whole texts to ids (little-endian 32 bit) by the tokenizers library. Parts between white
-    space are looked up and split as the file says; only unknown ones go to the library's model."""
+    """Whole texts to ids (32 bit, in the machine's order, which the format takes to be little-endian)
+    by the tokenizers library. Texts are split as the file says; pieces are looked up, and only unknown
+    ones go to the library's model."""
 
     def __init__(self, raw: bytes):
         import regex
@@ -51,25 +53,21 @@ class LibraryEncoder(dict):
         self.library = Tokenizer.from_str(raw.decode("utf-8"))
         self.library.no_truncation()
         self.library.no_padding()
-        self.model = self.library.model
+        self.tokenize = self.library.model.tokenize
         self.special = re.compile("|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()) or "(?!)")
         self.split, self.letters, self.older = regex.compile(SPLIT).findall, byte_letters(), {}
 
     def __missing__(self, chunk: str) -> bytes:
+        if not chunk.isalpha():
+            if chunk[:-1].isalpha():  # letters and one other character
+                return self[chunk[:-1]] + self[chunk[-1]]
+            pieces = self.split(chunk)
+            if len(pieces) != 1:
+                return b"".join(map(self.__getitem__, pieces))
         made = self.older.get(chunk)
         if made is None:
-            if chunk.isalpha():
-                pieces = (chunk,)
-            elif chunk[:-1].isalpha():
-                pieces = (chunk[:-1], chunk[-1])
-            else:
-                pieces = self.split(chunk)
-            tokenize, ids = self.model.tokenize, []
-            for p in pieces:
-                if not p.isascii():
-                    p = "".join(map(self.letters.__getitem__, p.encode("utf-8")))
-                ids += [t.id for t in tokenize(p)]
-            made = np.array(ids, "<u4").tobytes()
+            piece = chunk if chunk.isascii() else "".join(map(self.letters.__getitem__, chunk.encode("utf-8")))
+            made = array("I", [t.id for t in self.tokenize(piece)]).tobytes()
         if len(chunk) <= 64:
             if len(self) >= CACHE:
                 self.older = dict(self)
@@ -103,8 +101,9 @@ def train_dictionary(docs: DataFrame, raw: bytes, text: str = "text", key: str =
     if they are too few to train on."""
     import zstandard
 
-    short = docs.where(F.octet_length(text).between(64, SAMPLE_BYTES))
-    rows = short.select(F.col(text), seeded(SEED, F.col(key)).alias("h")).orderBy("h", text).limit(SAMPLE).collect()
+    short = docs.where(F.octet_length(text).between(64, SAMPLE_BYTES)).select(F.col(text).alias("t"), seeded(SEED, F.col(key)).alias("h"))
+    part = 1.5 * SAMPLE / max(1, docs.count())  # so that tasks don't send a whole sample each
+    rows = short.where(unit(F.col("h")) < part).orderBy("h", "t").limit(SAMPLE).select("t").collect()
     encoder = LibraryEncoder(raw)
     samples = [encoder.encode(r[0]) for r in rows]
     if len(samples) < 20:
