@@ -66,7 +66,11 @@ def per_check_counts(spark, sf: str) -> None:
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    scratch = tempfile.mkdtemp(prefix="bench-", dir="/tmp")
+    with tempfile.TemporaryDirectory(prefix="bench-") as scratch:  # local run: goes with its end
+        run(sf, cpus, scratch)
+
+
+def run(sf: str, cpus: int, scratch: str) -> None:
     spark = local_session(cores=cpus, shuffle_partitions=max(8, cpus), driver_memory="16g",
                           event_log_dir=None)
     spark.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))
