@@ -1,0 +1,153 @@
+"""BagMinHash near-duplicates against all pairs."""
+
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from llm_cases import bag, docs, empty, jaccard, rows
+from tripmart.llm import minhash
+from tripmart.llm.catalog import op10_minhash
+
+
+def expected(texts):
+    """key -> smallest key of its class, by exact similarities of all pairs that share a shingle."""
+    bags = {k: bag(t) for k, t in texts.items()}
+    holders, parent = defaultdict(list), {k: k for k in texts}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for k, b in bags.items():
+        for s in b or [None]:
+            holders[s].append(k)
+    for own in holders.values():
+        for i, a in enumerate(own):
+            for b in own[i + 1:]:
+                ra, rb = root(a), root(b)
+                if ra != rb and (jaccard(bags[a], bags[b]) >= 0.8 or not bags[a] and not bags[b]):
+                    parent[max(ra, rb)] = min(ra, rb)
+    return {k: root(k) for k in texts}
+
+
+def words(rng, n):
+    return [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+
+
+def test_query_equals_all_pairs(spark, sf_small):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
+    got = op10_minhash(spark, sf_small).collect()
+    want = expected(texts)
+    assert {r.doc_id: r.class_id for r in got} == want
+    assert all(r.kept == (r.class_id == r.doc_id) for r in got)
+
+
+def pair_of_signatures(shingles, a, b, size):
+    doc = np.repeat([0, 1], len(shingles))
+    return minhash.signatures(2, doc, np.tile(shingles, 2), np.concatenate([a, b]), size)
+
+
+def test_agreement_is_the_weighted_similarity():
+    """Bags with counts: the share of equal components is near the weighted similarity."""
+    rng = np.random.default_rng(3)
+    for n, shift in ((40, 4), (300, 60), (8, 2)):
+        shingles = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        a = rng.integers(1, 12, len(shingles))
+        b = np.maximum(1, a + rng.integers(-shift // 2, shift // 2 + 1, len(shingles)) % 5)
+        exact = np.minimum(a, b).sum() / np.maximum(a, b).sum()
+        hits = np.equal(*pair_of_signatures(shingles, a, b, 4000)).mean()
+        assert abs(hits - exact) < 4 * np.sqrt(exact * (1 - exact) / 4000) + 0.005
+
+
+def test_a_signature_does_not_depend_on_the_others():
+    texts = ["a b c d e f g", "x " * 50, "", "one", "p q r s t u v w x y z " * 9]
+    doc, shingle, count = minhash.bags(texts)
+    together = minhash.signatures(len(texts), doc, shingle, count)
+    for i, t in enumerate(texts):
+        assert (minhash.signatures(1, *minhash.bags([t]))[0] == together[i]).all()
+    assert (together[2] == 0).all()
+
+
+def test_bags_and_similarities():
+    texts = ["a b c d e f", "a b c d e f", "a b c d e f g", "a b c d e f h", "a a a a a a a a", "A a a\na a\ta", "x", "y", "x y", "", " ", "é è",
+             "w1 " * 3000, None]
+    doc, shingle, count = minhash.bags(texts)
+    for i, t in enumerate(texts):
+        assert sorted(count[doc == i]) == sorted(bag(t).values())
+    for hub in range(len(texts)):
+        got = minhash.similarities(hub, len(texts), doc, shingle, count)
+        for i, t in enumerate(texts):
+            want = jaccard(bag(texts[hub]), bag(t)) if bag(texts[hub]) or bag(t) else 1.0
+            assert got[i] == pytest.approx(want), (texts[hub], t)
+
+
+def test_links_across_classes():
+    rng = random.Random(1)
+    base = words(rng, 60)
+    texts = [" ".join(base[:40 + i % 21] + words(rng, i % 3)) for i in range(60)]
+    near = {(x, y) for x in range(60) for y in range(x) if jaccard(bag(texts[x]), bag(texts[y])) >= 0.8}
+    assert 10 < len(near) < 1700
+    got = minhash.links_across(texts, list(range(60)), [True] * 60, 0.8)
+    assert {(max(p), min(p)) for p in got} <= near
+    sets = minhash._Joined(60), minhash._Joined(60)
+    for x, y in got:
+        assert sets[0].join(x, y)  # none in vain
+    for x, y in near:
+        sets[1].join(x, y)
+    assert [sets[0].root(i) for i in range(60)] == [sets[1].root(i) for i in range(60)]
+    sides = [i < 30 for i in range(60)]
+    assert all(sides[x] != sides[y] for x, y in minhash.links_across(texts, list(range(60)), sides, 0.8))
+
+
+def test_stars_chains_and_groups_around_the_threshold(spark):
+    """A star of near copies that are not near each other, a chain, and a large group of copies."""
+    rng = random.Random(4)
+    base, texts, key = words(rng, 200), {}, 0
+    for i in range(60):  # each differs from the middle in two spots; two of them differ in four
+        own = list(base)
+        for j in rng.sample(range(5, 195), 2):
+            own[j] = f"x{key}"
+        texts[key := key + 1] = " ".join(own)
+    texts[500] = " ".join(base)
+    chain = words(rng, 120)
+    for i in range(8):
+        chain = chain[:-3] + words(rng, 3)
+        texts[600 + i] = " ".join(chain)
+    for i in range(40):
+        texts[700 + i] = " ".join(base[:100] + ["same"] * 30)
+    for i in range(30):
+        texts[800 + i] = " ".join(words(rng, rng.randint(1, 60)))
+    texts |= {900: "a b", 901: "a b", 902: "a  B", 903: "", 904: None}
+    data = [(k, t, "en", "s", 1, "r", "s", "k", "z", "h", 1) for k, t in texts.items()]
+    got = {r.doc_id: r.class_id for r in minhash.classes(docs(spark, data)).collect()}
+    assert got == expected(texts)
+
+
+def test_blocks_of_a_large_band(spark, monkeypatch):
+    """With tiny blocks and groups the classes are the same."""
+    rng = random.Random(8)
+    base = words(rng, 90)
+    texts = {i: " ".join(base[:60 + i % 9 * 3] + words(rng, i % 4)) for i in range(60)}
+    data = [(k, t, "en", "s", 1, "r", "s", "k", "z", "h", 1) for k, t in texts.items()]
+    monkeypatch.setattr(minhash, "BLOCK", 7)
+    monkeypatch.setattr(minhash, "GROUP", 5)
+    monkeypatch.setattr(minhash, "SLICE", 500)
+    got = {r.doc_id: r.class_id for r in minhash.classes(docs(spark, data)).collect()}
+    assert got == expected(texts)
+
+
+def test_edges(spark):
+    table = docs(spark)
+    got = minhash.classes(table).collect()
+    assert len(got) == len(rows())
+    by = {r.doc_id: r for r in got}
+    assert by[1].class_id == by[6].class_id == 1 and not by[6].kept
+    assert by[2].class_id == by[3].class_id == by[4].class_id == 2
+    assert by[None].class_id is None and by[None].kept
+    left = minhash.dedup(table)
+    assert left.columns == table.columns
+    assert Counter(r.doc_id for r in left.collect()) == Counter(r.doc_id for r in got if r.kept)
+    assert minhash.classes(empty(spark)).count() == 0 and minhash.dedup(empty(spark)).count() == 0
