@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import bpe, embeddings, lm, minhash, mixing, oracle, quality, rules, sharding, tokenfile, toxicity
-from tripmart.llm.common import ship, table
+from tripmart.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,7 +36,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenfile.fresh_path(spark)
     tokenfile.write(table(spark, sf_dir, "documents"), path, tokenizer_file())
-    return tokenfile.read(spark, path).select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+    return tokenfile.read(spark, path, with_ids=False).select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,15 +75,15 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op9_embeddings, op10_minhash)}
 
 
-def _shipped(query: Query) -> Query:
+def _prepared(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship(spark)
+        prepare(spark)
         return query(spark, sf_dir)
     return run
 
 
 def queries() -> dict[str, Query]:
-    return {name: _shipped(q) for name, q in QUERIES.items()}
+    return {name: _prepared(q) for name, q in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

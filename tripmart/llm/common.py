@@ -39,6 +39,17 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """What the registered queries and the pipeline's stages ask of the session: the package on the
+    workers, and Arrow batches of 1,000 rows, as texts are long and a batch is held several times over
+    (10,000 texts of 100 KB would be 1 GB)."""
+    ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the cluster's shared folder and read back: the lineage is cut by
     files that every executor can read, so a lost executor costs no more than the running job."""

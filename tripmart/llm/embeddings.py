@@ -55,23 +55,16 @@ class Search:
     count: int
 
 
-def calibrate(angle: float, signs: int, least_count: int, recall: float, lists: int | None = None) -> Search:
-    """The fewest lists that give ``recall`` at ``angle`` (radians) with ``least_count`` collisions.
-    A place on a line differs by about a normal number with the chord as deviation; the window is
-    one and a half of that."""
+def calibrate(angle: float, signs: int, count: int, recall: float) -> Search:
+    """The fewest lists in which a pair at ``angle`` (radians) collides ``count`` times with chance
+    ``recall``. A place on a line differs by about a normal number with the chord as deviation; the
+    window is one and a half of that."""
     chord = 2 * math.sin(angle / 2)
     p = (1 - angle / math.pi) ** signs * _normal(1.5)
-    n = lists or least_count
-    while True:
-        q = [math.comb(n, i) * p ** i * (1 - p) ** (n - i) for i in range(min(n, 64) + 1)]
-        if lists is None and sum(q[:least_count]) > 1 - recall:
-            n += 1
-            continue
-        count = least_count
-        if lists is not None:
-            while count > 1 and sum(q[:count]) > 1 - recall:
-                count -= 1
-        return Search(signs, 1.5 * chord, n, count)
+    lists = count
+    while sum(math.comb(lists, i) * p ** i * (1 - p) ** (lists - i) for i in range(count)) > 1 - recall:
+        lists += 1
+    return Search(signs, 1.5 * chord, lists, count)
 
 
 def _unit(vector: np.ndarray) -> bytes | None:
@@ -111,11 +104,10 @@ def _lines(size: int, lists: int, signs: int, seed: int) -> tuple[np.ndarray, np
     rng = np.random.default_rng([seed, size])
     lines = rng.standard_normal((lists, size))
     lines *= math.sqrt(size) / np.linalg.norm(lines, axis=1, keepdims=True)
-    return lines, rng.standard_normal((64, 24, size))[np.arange(lists) % 64, :signs] if lists <= 64 else \
-        rng.standard_normal((lists, 24, size))[:, :signs]
+    return lines, rng.standard_normal((lists, signs, size))
 
 
-def places(points: DataFrame, near: Search, most_lists: int, seed: int, both_sides: bool) -> DataFrame:
+def places(points: DataFrame, near: Search, seed: int, both_sides: bool) -> DataFrame:
     """``grp, list, cell, bin, x, id, side``: each point in each list. A bin is as wide as the window, so
     the points within it of a query are in its own bin and the two beside it; with ``both_sides``
     a point is listed in all three, otherwise in its own bin and the one below (for unordered pairs)."""
@@ -130,20 +122,17 @@ def places(points: DataFrame, near: Search, most_lists: int, seed: int, both_sid
                     here = np.array([i for i, u in enumerate(units) if len(u) == size])
                     x = np.frombuffer(b"".join(units[i] for i in here), np.float64).reshape(len(here), -1)
                     if size not in made:
-                        made[size] = _lines(x.shape[1], most_lists, near.signs, seed)
+                        made[size] = _lines(x.shape[1], near.lists, near.signs, seed)
                     lines, sign_lines = made[size]
-                    lines, sign_lines = lines[:near.lists], sign_lines[:near.lists]
                     place = x @ lines.T
                     cell = np.zeros(place.shape, np.int64)
                     for s in range(near.signs):
                         cell = cell << 1 | (x @ sign_lines[:, s].T > 0)
-                    n = place.size
                     who = np.repeat(here, near.lists)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(groups[who], pa.string()), pa.array(np.tile(np.arange(near.lists), len(here)), pa.int64()),
                          pa.array(cell.ravel()), pa.array(np.floor(place.ravel() / near.window).astype(np.int64)),
                          pa.array(place.ravel()), pa.array(ids[who])], ["grp", "list", "cell", "own_bin", "x", "id"])
-                    assert n == len(who)
 
     rows = points.select("id", "grp", "unit").mapInArrow(
         work, "grp string, list bigint, cell bigint, own_bin bigint, x double, id bigint")
@@ -267,7 +256,7 @@ def link(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", lab
     single = stored(classes.join(member.select("id"), "id", "left_anti"), "vec-singles")
 
     # single vectors among each other
-    listed = stored(places(single, near, near.lists, seed, False), "vec-lists")
+    listed = stored(places(single, near, seed, False), "vec-lists")
     pairs = angles(colliding(listed, listed, near.window, near.count, True), single)
     pairs = pairs.where(F.col("cos") >= least).select("a", "b")
 
@@ -276,8 +265,8 @@ def link(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", lab
     grouped = classes.select(F.col("id").alias("ball"), "grp")
     centre = ball.select("ball", "unit").join(grouped, "ball").select((-F.col("ball") - 1).alias("id"), "grp", "unit")
     around = single.select("id", "grp", "unit").unionByName(centre)
-    queries = places(centre, far, far.lists, seed + 1, False)
-    met = colliding(queries, places(around, far, far.lists, seed + 1, True), far.window, far.count, False)
+    queries = places(centre, far, seed + 1, False)
+    met = colliding(queries, places(around, far, seed + 1, True), far.window, far.count, False)
     met = stored(angles(met, around.unionByName(centre).distinct()), "vec-pivot-pairs")
     met = met.withColumn("a", -F.col("a") - 1).withColumn("other", F.when(F.col("b") < 0, -F.col("b") - 1).otherwise(F.col("b"))) \
         .withColumn("is_ball", F.col("b") < 0)
