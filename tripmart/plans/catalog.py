@@ -30,7 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ---------------------------------------------------------------------------
 
 def trips_raw(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.raw_trips(spark, sf)
+    return fx.raw_trips(spark, sf, deal=True)
 
 
 def zones_raw(spark: SparkSession, sf: str) -> DataFrame:

@@ -69,7 +69,7 @@ def run_bronze_trips(raw: DataFrame, out_base: str, run_ts: datetime | None = No
     labelled = flagged.withColumn(S.DQ_STATUS, bronze.dq_status())
     obs = Observation("bronze_trip_metrics")
     path = f"{out_base}/{TRIPS_DIR}"
-    if labelled.isEmpty():
+    if raw.isEmpty():  # cheaper than asking the flagged rows
         sinks.replace_by_empty(spark, path, labelled.schema)
         values = {}
     else:

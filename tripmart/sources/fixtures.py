@@ -126,17 +126,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns the mapping needs, dealt out before it if the file has few splits."""
-    return spread(read_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS))
-
-
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips_from_lineitem(_lineitem(spark, sf_dir))
+def raw_trips(spark: SparkSession, sf_dir: str, deal: bool = False) -> DataFrame:
+    """Raw trips; with ``deal`` the line items are dealt out first if their file has few splits (worth
+    it for a query that computes much per row, not for a job that scans several times)."""
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    return trips_from_lineitem(spread(lineitem.select(*LINEITEM_COLUMNS)) if deal else lineitem)
 
 
 def raw_trips_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_trips_from_lineitem(_lineitem(spark, sf_dir))
+    return text_trips_from_lineitem(read_table(spark, sf_dir, "lineitem"))
 
 
 def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
