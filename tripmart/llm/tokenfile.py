@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -38,6 +39,8 @@ from tripmart.llm.common import running_before, scratch_path, seeded, unit
 END_ID = 2
 SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES, BLOCK_BYTES, SEED, LEVEL = 1000, 16_384, 65_536, 1 << 20, 41, 3
 CACHE = 150_000
+#: ASCII letters that str.split() takes for white space and the tokenizer file does not.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 class LibraryEncoder(dict):
@@ -76,13 +79,12 @@ class LibraryEncoder(dict):
         return made
 
     def encode(self, text: str) -> bytes:
-        if UNCOMMON.search(text) or "<|" in text and self.special.search(text):
+        plain = text.isascii()
+        odd = any(c in text for c in SEPARATORS) if plain else UNCOMMON.search(text)
+        if odd or "<|" in text and self.special.search(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if not text.isascii():
-            import unicodedata
-
-            if not unicodedata.is_normalized("NFC", text):
-                text = unicodedata.normalize("NFC", text)
+        if not plain and not unicodedata.is_normalized("NFC", text):
+            text = unicodedata.normalize("NFC", text)
         return b"".join(map(self.__getitem__, text.lower().split()))
 
 
@@ -190,10 +192,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
     running_before(parts, "part", "ids").withColumnRenamed("before", "first_id").write.parquet(f"{path}/parts")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """``key, start, ids (binary, little-endian 32 bit), n_tokens, ids_crc32`` of every document."""
-    blocks = spark.read.parquet(f"{path}/blocks")
-    return _unpack(spark, path, blocks)
+def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """``key, start, n_tokens, ids_crc32`` of every document, and its ``ids`` (binary, little-endian
+    32 bit) unless only the digests are asked for."""
+    return _unpack(spark, path, spark.read.parquet(f"{path}/blocks"), with_ids=with_ids)
 
 
 def fetch(spark: SparkSession, path: str, keys: list) -> DataFrame:
@@ -206,7 +208,7 @@ def fetch(spark: SparkSession, path: str, keys: list) -> DataFrame:
     return _unpack(spark, path, blocks.where(hit), set(keys))
 
 
-def _unpack(spark: SparkSession, path: str, blocks: DataFrame, only: set | None = None) -> DataFrame:
+def _unpack(spark: SparkSession, path: str, blocks: DataFrame, only: set | None = None, with_ids: bool = True) -> DataFrame:
     dictionary = spark.read.parquet(f"{path}/dictionary").first()
     shared = spark.sparkContext.broadcast(bytes(dictionary.bytes))
     parts = spark.read.parquet(f"{path}/parts").select(F.col("part").alias("p"), "first_id")
@@ -231,15 +233,17 @@ def _unpack(spark: SparkSession, path: str, blocks: DataFrame, only: set | None
                         ids = decompress(data[a:b])
                         if len(ids) != 4 * n:
                             raise ValueError(f"document {k} has {len(ids) // 4} ids, the index says {n}")
-                        for column, value in zip(out, (k, at, ids, n, zlib.crc32(ids))):
+                        for column, value in zip(out, (k, at, n, zlib.crc32(ids), ids if with_ids else None)):
                             column.append(value)
                     at += n
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], batch.column(1).type.value_type), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()),
-                     pa.array(out[3], pa.int64()), pa.array(out[4], pa.int64())], ["key", "start", "ids", "n_tokens", "ids_crc32"])
+                columns = [pa.array(out[0], batch.column(1).type.value_type), *(pa.array(c, pa.int64()) for c in out[1:4])]
+                if with_ids:
+                    columns.append(pa.array(out[4], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
+    names = ["key", "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
     return blocks.select("first", "keys", "counts", "offsets", "payload", "dictionary").mapInArrow(
-        unpack, f"key {kind}, start bigint, ids binary, n_tokens bigint, ids_crc32 bigint")
+        unpack, f"key {kind}, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids binary" * with_ids)
 
 
 def fresh_path(spark: SparkSession) -> str:
