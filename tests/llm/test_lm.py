@@ -158,3 +158,82 @@ def test_edges(spark):
     held = [k for k in range(100) if zlib.crc32(str(k).encode()) % 7 == 2][:3]
     none = lm.score(docs(spark, [(k, "ab cd", "en", "a", 1, "r", "s", "k", "z", "h", 1) for k in held])).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 and r.bits_per_byte == pytest.approx(8.0) for r in none)
+
+
+class Whole(Plain):
+    """The recursion over contexts that run across words, none pruned."""
+
+    def __init__(self, streams, depth):
+        self.depth, self.seen, self.longer = depth, defaultdict(lambda: [0, 0]), defaultdict(set)
+        for data, c in streams.items():
+            for i in range(depth, len(data)):
+                for d in range(depth + 1):
+                    path = 1
+                    for k in range(7, -1, -1):
+                        bit = data[i] >> k & 1
+                        self.seen[data[i - d:i], path][bit] += c
+                        path = path << 1 | bit
+        for context, path in self.seen:
+            if context:
+                self.longer[context[1:], path].add(context)
+        self.known = {}
+
+    def leaf(self, context):
+        return len(context) == self.depth
+
+    def weighted(self, context, path):
+        if (context, path) not in self.known:
+            self.known[context, path] = super().weighted(context, path)
+        return self.known[context, path]
+
+    def score(self, data):
+        total = 0.0
+        for i in range(self.depth, len(data)):
+            path = 1
+            for k in range(7, -1, -1):
+                bit = data[i] >> k & 1
+                one = self.one(data[i - self.depth:i], path)
+                total += math.log10(one if bit else 1 - one)
+                path = path << 1 | bit
+        return total
+
+
+def stream(text, depth):
+    return b"\n" * (depth - 1) + b" " + b" ".join([*text.encode().lower().split(), b"\n", b""])
+
+
+def held(key):
+    return zlib.crc32(str(key).encode()) % 7 == 2
+
+
+TEXTS = ["the cat sat at the mat", "that hat, the cat", "Thé thé mât été", "", "a banana a cabana", "zzz catnap hat the", "the cat"] * 4
+
+
+@pytest.mark.parametrize("depth", [3, 6])
+def test_scores_equal_recursion_across_words(spark, depth):
+    table = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").repartition(3)
+    plain = Whole(Counter(stream(t, depth) for k, t in enumerate(TEXTS) if not held(k)), depth)
+    assert 0 < sum(map(held, range(len(TEXTS)))) < len(TEXTS)
+    for r in lm.score(table, depth=depth).collect():
+        assert r.score == pytest.approx(plain.score(stream(TEXTS[r.doc_id], depth)), rel=1e-5)
+
+
+def test_rare_contexts_are_kept(spark):
+    """A word that is less than three millionths of the bytes still is learned: its chances equal the recursion's."""
+    keys = [k for k in range(100) if held(k)][:1]
+    table = [(101 + i, t) for i, t in enumerate(["qzxwvkj qzxwvkj", *["aa " * 100_000] * 20])]
+    table = [(k, t) for k, t in table if not held(k)] + [(keys[0], "qzxwvkj")]
+    assert table[0][1].startswith("q") and sum(len(t) for _, t in table) * 3e-6 > 2
+    got = {r.doc_id: r for r in lm.score(spark.createDataFrame(table, "doc_id long, text string")).collect()}
+    streams = Counter()
+    for _, t in table[:-1]:
+        data = stream(t, 6)
+        for i in range(6, len(data)) if len(data) < 1000 else ():
+            streams[data[i - 6:i + 1]] += 1
+        if len(data) >= 1000:  # all its grams, counted
+            for i in (*range(6, 15), *range(len(data) - 15, len(data))):
+                streams[data[i - 6:i + 1]] += 1
+            streams[b"aa aa a"] += (n := len(data) - 30) // 3
+            streams[b"a aa aa"] += n // 3
+            streams[b" aa aa "] += n // 3
+    assert got[keys[0]].score == pytest.approx(Whole(streams, 6).score(stream("qzxwvkj", 6)), rel=1e-4)
