@@ -218,6 +218,15 @@ def test_scores_equal_recursion_across_words(spark, depth):
         assert r.score == pytest.approx(plain.score(stream(TEXTS[r.doc_id], depth)), rel=1e-5)
 
 
+def test_order_of_words_counts(spark):
+    train = [(k, "the cat sat at the mat and that was that") for k in range(60)]
+    keys = [k for k in range(100, 200) if held(k)][:2]
+    table = spark.createDataFrame([*train, (keys[0], "the cat sat at the mat"), (keys[1], "mat the at sat cat the")],
+                                  "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm.score(table).collect()}
+    assert got[keys[0]] > got[keys[1]] + 1
+
+
 def test_rare_contexts_are_kept(spark):
     """A word that is less than three millionths of the bytes still is learned: its chances equal the recursion's."""
     keys = [k for k in range(100) if held(k)][:1]
