@@ -88,3 +88,16 @@ def test_edges(spark):
     assert all(r.score < 1e-12 and r.predicted == 0 for r in none)
     kept = toxicity.keep(docs(spark), labels.limit(0))
     assert kept.columns == docs(spark).columns and kept.count() == len(rows())
+
+
+def test_clean_text_of_any_length_is_kept(spark):
+    """Some toxic labels stand on documents without a sign; a long clean text still is no toxic one."""
+    table, _ = planted()
+    table = [(k, t, int(y or k % 50 == 1)) for k, t, y in table]
+    texts, labels = frames(spark, table)
+    long = spark.createDataFrame([(-1, "worda goes by. " * 20_000), (-2, "worda goes by. " * 20_000 + "vile nasty vile")],
+                                 "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.score(texts.union(long), labels).where("doc_id < 0").collect()}
+    assert got[-1].predicted == 0 and got[-1].score < 0.1
+    assert got[-2].predicted == 1
+    assert [r.doc_id for r in toxicity.keep(texts.union(long), labels).where("doc_id < 0").collect()] == [-1]

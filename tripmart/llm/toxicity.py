@@ -1,9 +1,10 @@
 """Toxicity by multiple-instance learning: documents are labelled, sentences are scored.
 
 A sentence's chance of being toxic is logistic in its signs; a document's is the noisy-or of its
-sentences (toxic if any sentence is). Both are trained together from document labels alone, so the
-weight of a toxic document goes to the sentences that explain it, and these are the offending
-sentences that :func:`locate` returns.
+sentences with signs (toxic if any is) and of one noise term a document, which stands for labels that no
+sign explains; sentences without signs add nothing, so a clean text scores the same at any length. All are
+trained together from document labels alone, so the weight of a toxic document goes to the
+sentences that explain it, and these are the offending sentences that :func:`locate` returns.
 
 Signs are words (letters, lower case) and word beginnings of 3 to 7 letters. Candidates are counted
 over the training sample by Spark; those that occur in ``least`` toxic sample documents and stand out
@@ -11,7 +12,7 @@ against the clean ones are kept, the strongest ``signs`` of them at most. The sa
 ``sample`` toxic and twice as many clean documents at most, those with the smallest seeded numbers.
 Only labels are learned from whose crc32(key as text) mod ``folds`` is not 0.
 
-Cases: a null or empty text, or one without letters, scores like one sentence without signs; null
+Cases: a null or empty text, or one without letters, scores like any text without signs; null
 labels and labels of unknown documents are not used; repeated rows are scored each; without labels
 of both kinds every score is 0; an empty table gives no rows; other columns are not read.
 """
@@ -59,8 +60,11 @@ def sentences(text: str | None) -> list[tuple[int, int, set[str]]]:
 
 @dataclass
 class Model:
+    """``noise``: the chance of a toxic label without any sign; None: sentences without signs have the bias's
+    chance each, and documents none of their own."""
     bias: float
     weights: dict[str, float]
+    noise: float | None = None
 
 
 class _Weights(dict):
@@ -87,7 +91,8 @@ def _soft(z: float) -> float:
 class Scorer:
     def __init__(self, model: Model):
         self.model, self.words = model, _Weights(model.weights)
-        self.plain = _soft(model.bias)
+        self.plain = _soft(model.bias) if model.noise is None else 0.0
+        self.start = 0.0 if model.noise is None else -math.log1p(-model.noise)
 
     def text(self, text: str | None) -> float:
         lower = (text or "").lower()
@@ -97,8 +102,8 @@ class Scorer:
         parts = SENTENCE.findall(lower)
         if not kinds:
             n = max(1, sum(1 for p in parts if LETTERS.search(p)))
-            return -math.expm1(-n * self.plain)
-        total = 0.0
+            return -math.expm1(-self.start - n * self.plain)
+        total = self.start
         for p in parts:
             found = set(LETTERS.findall(p))
             if found:
@@ -137,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     sizes = {r.y: r.n for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
-        return Model(-50.0, {})
+        return Model(-50.0, {}, 0.0)
     rate1, rate0 = (F.col("toxic") + 0.5) / (n1 + 1), (F.col("clean") + 0.5) / (n0 + 1)
     z = (rate1 - rate0) / F.sqrt(rate1 * (1 - rate1) / n1 + rate0 * (1 - rate0) / n0)
     found = (rows.select("y", "text").mapInArrow(count, "sign string, toxic bigint, clean bigint")
@@ -152,34 +157,31 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                plain, flat, ends = [], [], []
+                flat, ends = [], []
                 for t in part.column(2).to_pylist():
-                    empty, ids, stops = 0, [], []
+                    ids, stops = [], []
                     for _, _, words in sentences(t):
                         own = [known[s] for w in words for s in signs_of(w) if s in known]
                         if own:
                             ids += own
                             stops.append(len(ids))
-                        else:
-                            empty += 1
-                    plain.append(empty)
                     flat.append(ids)
                     ends.append(stops)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(plain, pa.int64()), pa.array(flat, pa.list_(pa.int32())),
-                     pa.array(ends, pa.list_(pa.int32()))], ["k", "y", "plain", "flat", "ends"])
+                    [part.column(0), part.column(1), pa.array(flat, pa.list_(pa.int32())),
+                     pa.array(ends, pa.list_(pa.int32()))], ["k", "y", "flat", "ends"])
 
     kind = docs.schema[key].dataType.simpleString()
-    data = rows.mapInArrow(bags, f"k {kind}, y int, plain bigint, flat array<int>, ends array<int>")
-    data = data.orderBy("k", "plain").collect()
+    data = rows.mapInArrow(bags, f"k {kind}, y int, flat array<int>, ends array<int>")
+    data = data.orderBy("k", "flat", "ends").collect()
     clean_weight = (shares[0] / n0) / (shares[1] / n1)
-    return _train([r.y for r in data], [r.plain for r in data], [list(r.flat) for r in data],
-                  [list(r.ends) for r in data], [r.sign for r in found], clean_weight)
+    return _train([r.y for r in data], [list(r.flat) for r in data], [list(r.ends) for r in data],
+                  [r.sign for r in found], clean_weight)
 
 
-def _train(y, plain, flat, ends, names, clean_weight: float = 1.0, rounds: int = 400, ridge: float = 0.03) -> Model:
+def _train(y, flat, ends, names, clean_weight: float = 1.0, rounds: int = 400, ridge: float = 0.03) -> Model:
     """Noisy-or likelihood by Adam; clean documents weigh what their share among all labels asks for."""
-    y, plain = np.array(y, float), np.array(plain, float)
+    y = np.array(y, float)
     sign = np.array([i for f in flat for i in f], int)
     sentence, bag, n = [], [], 0
     for d, stops in enumerate(ends):
@@ -191,21 +193,21 @@ def _train(y, plain, flat, ends, names, clean_weight: float = 1.0, rounds: int =
     sentence, bag = np.array(sentence, int), np.array(bag, int)
     docs = len(y)
     each = np.where(y == 1, 1.0, clean_weight)
-    w, b = np.full(len(names), 0.5), -4.0
-    m, v, step = np.zeros(len(w) + 1), np.zeros(len(w) + 1), 0.1
+    w, b, c = np.full(len(names), 0.5), -4.0, -4.0  # c: the noise term's logit
+    m, v, step = np.zeros(len(w) + 2), np.zeros(len(w) + 2), 0.1
     for t in range(1, rounds + 1):
         z = b + np.bincount(sentence, w[sign], n) if len(sign) else np.zeros(0)
-        p, p0 = 1 / (1 + np.exp(-np.clip(z, -40, 40))), 1 / (1 + math.exp(-b))
-        hazard = np.bincount(bag, np.logaddexp(0, z), docs) + plain * math.log1p(math.exp(b))
+        p, noise = 1 / (1 + np.exp(-np.clip(z, -40, 40))), 1 / (1 + math.exp(-c))
+        hazard = np.bincount(bag, np.logaddexp(0, z), docs) + math.log1p(math.exp(c))
         clean = np.exp(-hazard)
         pull = np.where(y == 1, -clean / np.maximum(1 - clean, 1e-9), 1.0) * each
         gz = pull[bag] * p
         grad = np.bincount(sign, gz[sentence], len(w)) if len(sign) else np.zeros(len(w))
-        grad = np.append(grad + ridge * w, gz.sum() + (pull * plain).sum() * p0 + 0.01 * (b + 8))
+        grad = np.append(grad + ridge * w, [gz.sum() + 0.01 * (b + 8), pull.sum() * noise + 0.01 * (c + 8)])
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         move = step * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-        w, b = np.maximum(0.0, w - move[:-1]), b - move[-1]
-    return Model(float(b), {s: float(x) for s, x in zip(names, w) if x > 1e-3})
+        w, b, c = np.maximum(0.0, w - move[:-2]), b - move[-2], c - move[-1]
+    return Model(float(b), {s: float(x) for s, x in zip(names, w) if x > 1e-3}, float(1 / (1 + math.exp(-c))))
 
 
 def score_column(spark, model: Model, text: str = "text") -> Column:
