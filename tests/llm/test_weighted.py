@@ -1,0 +1,138 @@
+"""Consistent weighted samples against a plain computation of the same draws."""
+
+import hashlib
+import math
+import random
+from collections import Counter
+
+import xxhash
+from llm_cases import SCHEMA, docs, empty, rows, words
+from tripmart.llm import weighted
+from tripmart.llm.catalog import op13_weighted_sampling
+
+MASK = (1 << 64) - 1
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def chained(seed, *values):
+    """The hash of several columns: each is hashed with the hash so far as its seed."""
+    h = seed
+    for v, size in values:
+        data = v.encode() if size == 0 else (v & ((1 << 8 * size) - 1)).to_bytes(size, "little")
+        h = xxhash.xxh64_intdigest(data, h)
+    return h
+
+
+def bag(text):
+    return Counter(words((text or "").lower()))
+
+
+def plain(text, samples=64, seed=13):
+    """The fingerprint of one text, sample by sample."""
+    counts = bag(text)
+    if not counts:
+        return ""
+    out = []
+    for i in range(samples):
+        best = None
+        for word, weight in counts.items():
+            term = chained(42, (word, 0))
+            one, two = (chained(42, (term, 8), (2 * i + j, 4), (seed, 4)) for j in (0, 1))
+            u = lambda x, at, n: ((x >> at & ((1 << n) - 1)) + 0.5) / (1 << n)
+            r, c, b = -math.log(u(one, 43, 21) * u(one, 22, 21)), -math.log(u(two, 32, 32) * u(two, 0, 32)), u(one, 0, 22)
+            t = math.floor(math.log(weight) / r + b)
+            value = math.floor((math.log(c) - r * (t - b + 1)) * (1 << 24))
+            name = chained(42, (term, 8), (t, 8), (seed, 4)) & 0xFFFFFFFF
+            best = min(best, (value, name)) if best else (value, name)
+        out.append(f"{best[1] & 0xFFFF:04x}")
+    return "".join(out)
+
+
+def like(a, b):
+    if not a or not b:
+        return float(a == b)
+    return sum(a[i:i + 4] == b[i:i + 4] for i in range(0, len(a), 4)) / (len(a) // 4)
+
+
+def expected(table):
+    """{(key, text): (n, edited sha, fp, efp, near_edited, near_next)} for rows with distinct keys."""
+    order = sorted(table, key=lambda r: (r[0] is not None, r[0] or 0))
+    out = {}
+    for i, (key, text) in enumerate(order):
+        t, after = text or "", order[(i + 1) % len(order)][1] or ""
+        half = len(t) // 2
+        e = t[:len(t) - half] + after[:half]
+        fp, efp = plain(t), plain(e)
+        out[key] = (len(t), hashlib.sha256(e.encode()).hexdigest(), fp, efp, like(fp, efp), like(fp, plain(after)))
+    return out
+
+
+def test_query_equals_plain_reading(spark):
+    rng = random.Random(9)
+    vocabulary = ["the", "of", "Ähre", "漢", "𝄞x", "w1", "w2", "w3", "w4", "LONG" * 9]
+    data = [(k, " ".join(rng.choices(vocabulary, k=rng.choice([0, 1, 2, 9, 60]))) if k % 9 else None)
+            for k in rng.sample(range(-50, 400), 60)] + [(None, "a text without a key"), (1000, " \n\t "), (1001, " \n\t ")]
+    frame = docs(spark, [(*d, "en", "a", 1, "r", "s", "k", "z", "h", 1) for d in data])
+    got = {r.doc_id: tuple(r)[1:] for r in weighted.compare(frame).collect()}
+    assert got == expected(data)
+
+
+def test_likeness_estimates_jaccard(spark, sf_small):
+    table = spark.read.parquet(f"{sf_small}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in table.collect()}
+    got = op13_weighted_sampling(spark, sf_small).collect()
+    assert len(got) == len(texts) and all(len(r.fingerprint) in (0, 256) for r in got)
+    order = sorted(texts)
+    errors = {"edited": [], "next": []}
+    for r in got:
+        t, after = texts[r.doc_id], texts[order[(order.index(r.doc_id) + 1) % len(order)]]
+        half = len(t) // 2
+        e = t[:len(t) - half] + after[:half]
+        assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(e.encode()).hexdigest()
+        for name, other, near in (("edited", e, r.near_edited), ("next", after, r.near_next)):
+            a, b = bag(t), bag(other)
+            whole = sum((a | b).values())
+            j = sum((a & b).values()) / whole if whole else 1.0
+            errors[name].append((near - j, math.sqrt(j * (1 - j) / 64)))
+    for pairs in errors.values():
+        assert abs(sum(e for e, _ in pairs)) / len(pairs) < 0.015  # no bias
+        assert all(abs(e) <= 5 * s + 0.02 for e, s in pairs)
+
+
+def test_collision_rate_of_weights(spark):
+    """Counts matter: one common word of very different weight, exact shares, over many samples."""
+    texts = ["a " * 30 + "b " * 10, "a " * 10 + "b " * 30, "a " * 1000]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    samples = 128
+    got = {r.doc_id: r.fp for r in weighted.fingerprints(frame, samples=samples).collect()}
+
+    def share(a, b):
+        lanes = lambda fp: [(x & MASK) >> s & 0xFFFF for x in fp for s in (48, 32, 16, 0)]
+        return sum(x == y for x, y in zip(lanes(got[a]), lanes(got[b]))) / samples
+
+    assert abs(share(0, 1) - 20 / 60) < 0.16 and abs(share(0, 2) - 30 / 1010) < 0.08
+
+
+def test_edges(spark):
+    got = weighted.compare(docs(spark), samples=8).collect()
+    assert len(got) == len(rows()) and got[0].__fields__ == [
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, []).append(tuple(r))
+    assert len(by[6]) == 2 and len(set(by[6])) == 1  # equal rows are one document
+    assert by[1][0][3] == by[6][0][3] != "" and by[2][0][3] == by[3][0][3] == by[4][0][3] == ""  # equal texts, no words
+    assert by[2][0][6] == 1.0 and by[4][0][6] == 0.0  # followed by another empty text, by words
+    assert weighted.compare(empty(spark), samples=4).count() == 0
+    alone = weighted.compare(docs(spark, [rows()[0]]), samples=4).first()
+    assert alone.near_next == 1.0 and weighted.compare(spark.createDataFrame([(None,) * 11], SCHEMA), samples=4).first().near_edited == 1.0
+
+
+def test_repeated_keys_follow_in_a_fixed_order(spark):
+    data = [(1, f"text number {i}") for i in range(40)] + [(1, "hot hot")] * 60 + [(2, "last one")]
+    frame = lambda n: spark.createDataFrame(data, "doc_id long, text string").repartition(n)
+    one, two = ([tuple(r) for r in weighted.compare(frame(n), samples=4).collect()] for n in (1, 7))
+    assert sorted(one) == sorted(two) and len(one) == 101

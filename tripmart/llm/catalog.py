@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, embeddings, lm, minhash, mixing, oracle, quality, rules, sharding, tokenfile, toxicity
+from tripmart.llm import (bpe, embeddings, fim, importance, lm, minhash, mixing, oracle, quality, rules, sharding, tokenfile,
+                          toxicity, weighted)
 from tripmart.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,13 +67,25 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.transform(table(spark, sf_dir, "documents"), with_output=False)
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted.compare(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     pipeline, op1_bpe, op2_context_tree, op3_mixing, op4_token_files, op5_toxicity, op6_sharding, op7_quality, op8_host_rules,
-    op9_embeddings, op10_minhash)}
+    op9_embeddings, op10_minhash, op11_fim, op12_importance, op13_weighted_sampling)}
 
 
 def _prepared(query: Query) -> Query:

@@ -1,7 +1,7 @@
 """DuckDB SQL of the operators that SQL can express, written from their definitions.
 
 The others are held against brute force, exact round trips or held-out labels in ``tests/llm``: the
-tokenizer (1, 4), model training (2, 5, 7) and dependent rounding (3). Projections, signatures and bands
+tokenizer (1, 4), model training (2, 5, 7), dependent rounding (3) and weighted samples (13). Projections, signatures and bands
 only find candidates, so 9 and 10 are stated as what they must find: all pairs.
 """
 
@@ -109,4 +109,74 @@ reach AS (
 SELECT doc_id, min(other) AS class_id, doc_id = min(other) AS kept FROM reach GROUP BY doc_id
 """
 
-SQL = {"op6_sharding": OP6, "op8_host_rules": OP8, "op9_embeddings": OP9, "op10_minhash": OP10}
+OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+u AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS l, CAST('0x' || substr(x, 1, 8) AS BIGINT) AS h1,
+    CAST('0x' || substr(x, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(x, 17, 8) AS BIGINT) AS h3,
+    CAST('0x' || substr(x, 25, 8) AS BIGINT) AS h4
+  FROM d),
+c AS (
+  SELECT *, least(h1 % (len(l) + 1), h2 % (len(l) + 1)) AS a, greatest(h1 % (len(l) + 1), h2 % (len(l) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+      WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM u),
+p AS (
+  SELECT *, coalesce(array_to_string(l[1:a], ''), '') AS pre, coalesce(array_to_string(l[a + 1:b], ''), '') AS mid,
+    coalesce(array_to_string(l[b + 1:], ''), '') AS suf
+  FROM c)
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+OP12 = r"""
+WITH RECURSIVE steps AS (
+  SELECT i AS byte, CAST(i AS BIGINT) AS value, 0 AS k FROM range(256) t(i)
+  UNION ALL
+  SELECT byte, CASE WHEN value % 2 = 1 THEN xor(value >> 1, 3988292384) ELSE value >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(value ORDER BY byte) AS tbl FROM steps WHERE k = 8),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+m AS (
+  SELECT unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS f
+  FROM benchmark),
+own AS (SELECT rid, unnest(w) AS f FROM d),
+names AS (
+  SELECT f, hex(encode(f)) AS hx, octet_length(encode(f)) AS bytes
+  FROM (SELECT f FROM own UNION SELECT f FROM m)),
+bucket AS (
+  SELECT f, xor(list_reduce(list_transform(range(0, bytes), lambda i: CAST('0x' || substr(hx, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)),
+      lambda a, b: xor(a >> 8, tbl[CAST((xor(a, b) & 255) + 1 AS BIGINT)]), CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS b
+  FROM names, crc),
+s AS (SELECT b, count(*) AS s FROM own JOIN bucket USING (f) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM m JOIN bucket USING (f) GROUP BY b),
+gain AS (
+  SELECT i AS b, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000) AS DOUBLE)
+    / CAST((coalesce(s, 0) + 1) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM range(10000) r(i) LEFT JOIN s ON s.b = i LEFT JOIN t ON t.b = i),
+weights AS (
+  SELECT rid, CAST(floor(sum(gain) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS weight
+  FROM own JOIN bucket USING (f) JOIN gain USING (b) GROUP BY rid),
+scores AS (
+  SELECT d.rid, doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)
+      AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN weights USING (rid)),
+ranked AS (
+  SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, count(*) OVER () AS n
+  FROM scores WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN CAST(rank AS BIGINT) END AS rank
+FROM scores LEFT JOIN ranked USING (rid)
+"""
+
+SQL = {"op11_fim": OP11, "op12_importance": OP12, "op6_sharding": OP6, "op8_host_rules": OP8, "op9_embeddings": OP9, "op10_minhash": OP10}
