@@ -30,7 +30,7 @@ def bag(text):
     return Counter(words((text or "").lower()))
 
 
-def plain(text, samples=64, seed=13):
+def plain(text, samples=32, seed=13):
     """The fingerprint of one text, sample by sample."""
     counts = bag(text)
     if not counts:
@@ -40,14 +40,15 @@ def plain(text, samples=64, seed=13):
         best = None
         for word, weight in counts.items():
             term = chained(42, (word, 0))
-            one, two = (chained(42, (term, 8), (2 * i + j, 4), (seed, 4)) for j in (0, 1))
-            u = lambda x, at, n: ((x >> at & ((1 << n) - 1)) + 0.5) / (1 << n)
+            x = term ^ (i // 4) << 48
+            one, two = (chained(42, (x ^ (seed << 16 | 2 * (i % 4) + j), 8)) for j in (0, 1))
+            u = lambda h, at, n: ((h >> at & ((1 << n) - 1)) + 0.5) / (1 << n)
             r, c, b = -math.log(u(one, 43, 21) * u(one, 22, 21)), -math.log(u(two, 32, 32) * u(two, 0, 32)), u(one, 0, 22)
             t = math.floor(math.log(weight) / r + b)
             value = math.floor((math.log(c) - r * (t - b + 1)) * (1 << 24))
-            name = chained(42, (term, 8), (t, 8), (seed, 4)) & 0xFFFFFFFF
+            name = (one ^ t) & 0xFFFF
             best = min(best, (value, name)) if best else (value, name)
-        out.append(f"{best[1] & 0xFFFF:04x}")
+        out.append(f"{best[1]:04x}")
     return "".join(out)
 
 
@@ -84,7 +85,7 @@ def test_likeness_estimates_jaccard(spark, sf_small):
     table = spark.read.parquet(f"{sf_small}/documents.parquet")
     texts = {r.doc_id: r.text or "" for r in table.collect()}
     got = op13_weighted_sampling(spark, sf_small).collect()
-    assert len(got) == len(texts) and all(len(r.fingerprint) in (0, 256) for r in got)
+    assert len(got) == len(texts) and all(len(r.fingerprint) in (0, 128) for r in got)
     order = sorted(texts)
     errors = {"edited": [], "next": []}
     for r in got:
@@ -96,7 +97,7 @@ def test_likeness_estimates_jaccard(spark, sf_small):
             a, b = bag(t), bag(other)
             whole = sum((a | b).values())
             j = sum((a & b).values()) / whole if whole else 1.0
-            errors[name].append((near - j, math.sqrt(j * (1 - j) / 64)))
+            errors[name].append((near - j, math.sqrt(j * (1 - j) / 32)))
     for pairs in errors.values():
         assert abs(sum(e for e, _ in pairs)) / len(pairs) < 0.015  # no bias
         assert all(abs(e) <= 5 * s + 0.02 for e, s in pairs)

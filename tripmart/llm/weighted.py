@@ -5,7 +5,7 @@ sample i a term draws r and c from Gamma(2, 1) and b from the unit interval, all
 With t = floor(ln(weight) / r + b), the term's value is c / exp(r (t - b + 1)); the term with the
 least value is the sample, together with its t. Two bags share a sample with the chance of their generalised Jaccard
 similarity, sum of the smaller weights over sum of the larger, so the share of equal samples
-estimates it. A fingerprint keeps 16 bits of each of 64 samples: 256 hex digits.
+estimates it. A fingerprint keeps 16 bits of each of 32 samples: 128 hex digits.
 
 Everything is built-in expressions. A sample is the least of 64-bit numbers (value in the high half, the sample's
 hash in the low half), so all samples of a text are plain ``min`` aggregates.
@@ -31,9 +31,11 @@ from pyspark.sql import functions as F
 from tripmart.llm.common import SPACE_PATTERN, key_text, stored
 from tripmart.operators.dedup import keep_first
 
-SAMPLES = 64
+SAMPLES = 32
 SEED = 13
 BITS = 16
+#: Samples of a group: as many as their bits fill a bigint.
+LANES = 4
 #: Values are kept in steps of 2^-24 of their logarithm (some -110 to 10): 31 bits.
 STEPS = 1 << 24
 
@@ -44,16 +46,17 @@ def _uniform(bits: Column, shift: int, width: int) -> Column:
     return (part + F.lit(0.5)) / F.lit(float(1 << width))
 
 
-def sample_value(term: Column, weight: Column, i: int, seed: int = SEED) -> Column:
-    """Sample ``i`` of one weighted term as a number to be minimised: value, then hash of (term, t)."""
-    one, two = (F.xxhash64(term, F.lit(2 * i + j), F.lit(seed)) for j in (0, 1))
+def sample_value(term: Column, log_weight: Column, j: int, seed: int = SEED) -> Column:
+    """Sample ``j`` of a group for one weighted term (its hash mixed with the group's number), as a number to be
+    minimised: value, then 16 bits of (term, t)."""
+    one, two = (F.xxhash64(term.bitwiseXOR(F.lit(seed << 16 | 2 * j + i))) for i in (0, 1))
     r = -F.log(_uniform(one, 43, 21) * _uniform(one, 22, 21))
     c = -F.log(_uniform(two, 32, 32) * _uniform(two, 0, 32))
     b = _uniform(one, 0, 22)
-    t = F.floor(F.log(weight) / r + b)
+    t = F.floor(log_weight / r + b)
     value = F.floor((F.log(c) - r * (t - b + F.lit(1.0))) * F.lit(float(STEPS)))
-    name = F.xxhash64(term, t, F.lit(seed)).bitwiseAND(F.lit(0xFFFFFFFF))
-    return F.shiftleft(value.cast("bigint"), 32).bitwiseOR(name)
+    # The low bits of the hash hardly move b, so they name the term; t tells its samples apart.
+    return F.shiftleft(value, 32).bitwiseOR(one.bitwiseXOR(t).bitwiseAND(F.lit((1 << BITS) - 1)))
 
 
 def word_hashes(text: Column) -> Column:
@@ -75,28 +78,33 @@ def terms_of(texts: DataFrame, by: list[str], text: str = "text") -> DataFrame:
 
 
 def signatures(terms: DataFrame, by: list[str], samples: int = SAMPLES, seed: int = SEED) -> DataFrame:
-    """``by, fp``: the samples' 16 bits, four to a bigint; null for rows without terms."""
-    weight = F.col("weight").cast("double")
-    held = terms.groupBy(*by).agg(*[F.min(sample_value(F.col("term"), weight, i, seed)).alias(f"s{i}") for i in range(samples)])
-    packs = []
-    for at in range(0, samples, 4):
-        pack = F.lit(0).cast("bigint")
-        for j in range(4):
-            pack = F.shiftleft(pack, BITS).bitwiseOR(F.col(f"s{at + j}").bitwiseAND(F.lit((1 << BITS) - 1)))
-        packs.append(pack)
-    return held.select(*by, F.when(F.col("s0").isNotNull(), F.array(*packs)).alias("fp"))
+    """``by, fp``: the samples' 16 bits, four to a bigint; null for rows without terms.
+
+    Each term becomes a row per group of four samples, so the generated code holds four samples, whatever their number, and
+    stays small enough to be compiled; the rows of a text stay in their task.
+    """
+    groups = F.sequence(F.lit(0), F.lit(samples // LANES - 1))
+    each = terms.select(*by, "term", F.log("weight").alias("_lw"), F.explode(groups).alias("_g"))
+    each = each.select(*by, "_g", "_lw", F.col("term").bitwiseXOR(F.shiftleft(F.col("_g").cast("bigint"), 48)).alias("_x"))
+    held = each.groupBy(*by, "_g").agg(*[F.min(sample_value(F.col("_x"), F.col("_lw"), j, seed)).alias(f"s{j}") for j in range(LANES)])
+    pack = F.lit(0).cast("bigint")
+    for j in range(LANES):
+        pack = F.shiftleft(pack, BITS).bitwiseOR(F.col(f"s{j}").bitwiseAND(F.lit((1 << BITS) - 1)))
+    packs = held.select(*by, "_g", pack.alias("_p"))
+    packs = packs.groupBy(*by).agg(*[F.max(F.when(F.col("_g") == i, F.col("_p"))).alias(f"p{i}") for i in range(samples // LANES)])
+    return packs.select(*by, F.when(F.col("p0").isNotNull(), F.array(*[f"p{i}" for i in range(samples // LANES)])).alias("fp"))
 
 
 def fingerprint_text(fp: Column, samples: int = SAMPLES) -> Column:
     """Hex digits of a fingerprint; empty for a text without words."""
-    return F.coalesce(F.lower(F.concat(*[F.lpad(F.hex(F.get(fp, F.lit(i))), 16, "0") for i in range(samples // 4)])), F.lit(""))
+    return F.coalesce(F.lower(F.concat(*[F.lpad(F.hex(F.get(fp, F.lit(i))), 16, "0") for i in range(samples // LANES)])), F.lit(""))
 
 
 def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
     """Share of equal samples: each 16-bit lane of the differences is folded into its lowest bit, and the lanes that
     differ are counted four at a time."""
     differ = F.lit(0)
-    for i in range(samples // 4):
+    for i in range(samples // LANES):
         x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
         for shift in (8, 4, 2, 1):
             x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
