@@ -1,0 +1,83 @@
+"""Files that differ in types, columns and headers."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tripmart import schemas as S
+from tripmart.operators import bronze
+from tripmart.sources import drift, readers
+
+
+def test_common_type():
+    i, b, d, f = T.IntegerType(), T.LongType(), T.DoubleType(), T.FloatType()
+    assert drift.common_type([i, i]) == i and drift.common_type([i, b]) == b == drift.common_type([T.NullType(), b])
+    assert drift.common_type([b, d]) == d == drift.common_type([f, i]) == drift.common_type([T.DecimalType(9, 2), i])
+    assert drift.common_type([T.DateType(), T.TimestampType()]) == T.TimestampType()
+    assert drift.common_type([T.StringType(), i]) == T.StringType() == drift.common_type([T.BooleanType(), i])
+    assert drift.common_type([T.NullType()]) == T.StringType()
+
+
+def test_types_and_columns_drift(spark, tmp_path):
+    base = str(tmp_path / "in")
+    spark.sql("SELECT 1 AS VendorID, 2 AS passenger_count, 1.5D AS airport_fee").write.parquet(f"{base}/01")
+    spark.sql("SELECT 3000000000L AS VendorID, 2.5D AS passenger_count, 0.75D AS cbd_congestion_fee").write.parquet(f"{base}/02")
+    spark.sql("SELECT 5 AS VendorID, 6 AS passenger_count, 2.5D AS Airport_fee, 'x' AS `a.b`").write.parquet(f"{base}/03")
+    paths = [f"{base}/{i}" for i in ("01", "02", "03")]
+    files = spark.read.parquet(*paths).inputFiles()
+    assert len(drift.parquet_groups(spark, files)) == 3  # the first and third differ by a column of their own
+    got = drift.read_parquet(spark, *paths)
+    assert [(f.name, f.dataType.simpleString()) for f in got.schema] == [
+        ("VendorID", "bigint"), ("passenger_count", "double"), ("airport_fee", "double"), ("cbd_congestion_fee", "double"), ("a.b", "string")]
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == [
+        (1, 2.0, 1.5, None, None), (5, 6.0, 2.5, None, "x"), (3000000000, 2.5, None, 0.75, None)]
+    flagged = bronze.flag_trips(got)
+    assert flagged.count() == 3 and "chk_VendorID_type_ok" in flagged.columns
+
+
+def test_agreeing_files_are_one_scan(spark, tmp_path):
+    base = str(tmp_path / "in")
+    for i in range(6):
+        spark.range(i, i + 2).selectExpr("id", *([f"'{i}' AS extra"] if i % 2 else [])).write.parquet(f"{base}/{i}")
+    paths = [f"{base}/{i}" for i in range(6)]
+    assert len(drift.parquet_groups(spark, spark.read.parquet(*paths).inputFiles())) == 1
+    got = drift.read_parquet(spark, *paths)
+    assert got.count() == 12 and got.where("extra = '3'").count() == 2
+
+
+def test_filters_reach_every_scan(spark, tmp_path):
+    base = str(tmp_path / "in")
+    spark.sql("SELECT 1 AS k, 'a' AS t, 2 AS other").write.parquet(f"{base}/1")
+    spark.sql("SELECT 2L AS k, 'b' AS t, 3 AS other").write.parquet(f"{base}/2")
+    df = drift.read_parquet(spark, f"{base}/1", f"{base}/2").where("t = 'b'").select("k")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedFilters: [IsNotNull(t), EqualTo(t,b)]") == 2 and "other" not in plan
+    assert [tuple(r) for r in df.collect()] == [(2,)]
+
+
+def _lines(path, *lines):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+
+
+def test_csv_by_header_name(spark, tmp_path):
+    base = tmp_path / "zones"
+    _lines(base / "1.csv", "LocationID,Borough,Zone,service_zone", "1, A,Z1,S", "2,B")
+    _lines(base / "2.csv", "﻿borough ,note,\"LocationID\",Zone", "C,n,3,\"Z,3\"", "D,n,4,Z4,too,many")
+    _lines(base / "3.csv", "service_zone,Borough,LocationID,Zone")  # a header alone
+    got = readers.read_zones_csv(spark, str(base), corrupt="bad")
+    assert got.columns == [*S.ZONE_COLUMNS, "bad"]
+    rows = sorted(map(tuple, got.collect()))
+    assert rows == [("1", " A", "Z1", "S", None), ("2", "B", None, None, "2,B"), ("3", "C", "Z,3", None, None),
+                    ("4", "D", "Z4", None, "D,n,4,Z4,too,many")]
+    assert got.where(F.col("bad").isNotNull()).count() == 2
+    assert readers.read_zones_csv(spark, str(base)).columns == S.ZONE_COLUMNS
+    assert readers.read_zones_csv(spark, str(base)).select("Zone").count() == 4  # a narrow query judges lines no other way
+
+
+def test_csv_without_rows_or_path(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "x.csv").write_text("")
+    assert readers.read_zones_csv(spark, str(tmp_path / "empty")).count() == 0
+    with pytest.raises(FileNotFoundError):
+        readers.first_available(spark, [str(tmp_path / "no")], readers.read_zones_csv)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -159,6 +159,35 @@ def trip_metrics(flagged: DataFrame, parts: Sequence[str] = PARTS,
     return trip_metric_rows(totals, flagged.columns, parts, run_ts)
 
 
+# ---------------------------------------------------------------------------
+# Metrics across runs: counts as a state that adds up
+# ---------------------------------------------------------------------------
+
+STATE_SCHEMA = T.StructType([T.StructField("run_id", T.StringType()), T.StructField("name", T.StringType()),
+                             T.StructField("n", T.LongType())])
+
+
+def state_of(spark: SparkSession, run_id: str, aggs: Iterable[str], values: dict) -> DataFrame:
+    """One run's counts as (run_id, name, n) rows: some 100 a run, whatever its size."""
+    return spark.createDataFrame([(run_id, name, int(values.get(name) or 0)) for name in aggs], STATE_SCHEMA)
+
+
+def merged_metrics(state: DataFrame, parts: Sequence[str] = PARTS, run_ts: datetime | None = None) -> DataFrame:
+    """The long metric table of all runs together: counts add up, shares and rates follow from the sums.
+
+    A column or check that only some runs had counts as absent from the others' rows, so its share is of all rows and its rate of
+    the rows that decided it. A run id that occurs again (a replayed batch) replaces its earlier rows' counts: they are equal.
+    """
+    once = state.groupBy("run_id", "name").agg(F.max("n").alias("n"))
+    names = sorted(r.name for r in once.select("name").distinct().collect())  # as many as there are metrics
+    if not names:
+        return state.sparkSession.createDataFrame([], S.METRIC_SCHEMA)
+    totals = once.agg(*[F.coalesce(F.sum(F.when(F.col("name") == n, F.col("n"))), F.lit(0)).alias(n) for n in names])
+    checks = [n.removeprefix(_pass_col("")) for n in names if n.startswith(_pass_col(S.CHECK_PREFIX))]
+    columns = [c for c, _ in S.TRIP_SPEC if _null_col(c) in names]
+    return trip_metric_rows(totals, [*columns, *checks], parts, run_ts)
+
+
 # ---------------------------------------------------------------------------
 # (metric, value, run_ts) tables: zone summary and plain NULL percentages
 # ---------------------------------------------------------------------------

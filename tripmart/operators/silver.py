@@ -156,20 +156,33 @@ def finalize(df: DataFrame) -> DataFrame:
     return fill_missing(deduped, S.SILVER_ORDER).select(*S.SILVER_ORDER)
 
 
-def conform(pass_trips: DataFrame) -> DataFrame:
-    """Bronze pass trips -> one row per ``ride_id`` with the 20 conformed columns."""
+#: The ride id as 32 bytes: half of what its hex text takes in the exchange.
+RIDE_KEY = "__ride_key"
+
+
+def keyed(pass_trips: DataFrame) -> DataFrame:
+    """The 20 conformed columns and the ride key."""
     ensure_utc(pass_trips.sparkSession)
     conformed = standardize_trips(pass_trips).select(*SILVER_NAMES)
     # The exchange carries the 32-byte digest instead of its 64-character hex text and
     # no week id; both are rebuilt after it (the same values, one-to-one).
-    keyed = conformed.withColumn("__ride_key", F.unhex(ride_id(
+    return conformed.withColumn(RIDE_KEY, F.unhex(ride_id(
         F.col("vendor_id"), F.col("pickup_datetime"), week_id(F.col("pickup_datetime")),
         F.col("pu_location_id"), F.col("do_location_id"), F.col("total_amount"))))
+
+
+def first_rides(rides: DataFrame) -> DataFrame:
+    """One row per ride key, the first by the conformed columns, with the ``ride_id`` as text."""
     # The key holds vendor, locations and total, so these are equal in a group and need no tie-break
     # (the pick-up time does: the key cuts it to seconds).
     ties = [n for n in SILVER_NAMES if n not in ("vendor_id", "pu_location_id", "do_location_id", "total_amount")]
-    return (keep_first(keyed, ["__ride_key"], ascending(ties))
-            .withColumn("ride_id", F.lower(F.hex("__ride_key"))).drop("__ride_key"))
+    return (keep_first(rides, [RIDE_KEY], ascending(ties))
+            .withColumn("ride_id", F.lower(F.hex(RIDE_KEY))).drop(RIDE_KEY))
+
+
+def conform(pass_trips: DataFrame) -> DataFrame:
+    """Bronze pass trips -> one row per ``ride_id`` with the 20 conformed columns."""
+    return first_rides(keyed(pass_trips))
 
 
 def enrich(conformed: DataFrame, zones: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,

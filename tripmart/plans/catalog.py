@@ -9,6 +9,7 @@ the SQL oracle row by row.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +18,10 @@ from pyspark.sql import types as T
 from tripmart import schemas as S
 from tripmart.operators import bronze, gold, inspect, integrity, metrics, silver
 from tripmart.operators.joins import broadcast_if_small, orphans
-from tripmart.plans import jobs, previews
+from tripmart.plans import increments, jobs, previews
 from tripmart.session import scratch_path
 from tripmart.sources import fixtures as fx
-from tripmart.sources import readers, sinks
+from tripmart.sources import drift, readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -193,6 +194,85 @@ def _empty_writes(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+# -- inputs that drift, increments, metrics across runs -----------------------
+
+def _drifted(spark: SparkSession, sf: str) -> DataFrame:
+    paths = fx.write_drifted_trips(trips_raw(spark, sf), scratch_path(spark, "drifted"))
+    return drift.read_parquet(spark, *paths)
+
+
+def _zones_reordered(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "zones-reordered")
+    fx.write_drifted_zones(zones_raw(spark, sf), path)
+    return readers.read_zones_csv(spark, path, corrupt="bad_line")
+
+
+def _two_inputs(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Two inputs that share trips: the second touches every other week only."""
+    day, week = F.dayofmonth("tpep_pickup_datetime"), F.weekofyear("tpep_pickup_datetime")
+    trips = trips_raw(spark, sf)
+    return [trips.where(day <= 20), trips.where((day >= 15) & (week % 2 == 1))]
+
+
+def _increments(spark: SparkSession, sf: str) -> str:
+    base = scratch_path(spark, "increments")
+    for i, trips in enumerate(_two_inputs(spark, sf)):
+        increments.run(spark, trips, zones_raw(spark, sf), base, f"run{i}")
+    return base
+
+
+def _merged_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics of three runs over parts of the trips, added up."""
+    base = scratch_path(spark, "metric-runs")
+    hour = F.hour("tpep_pickup_datetime")
+    for i in range(3):
+        jobs.run_bronze_trips(trips_raw(spark, sf).where(hour % 3 == i), f"{base}/run{i}", run_id=f"run{i}")
+    return metrics.merged_metrics(spark.read.parquet(*[f"{base}/run{i}/{S.METRIC_STATE_DIR}" for i in range(3)]))
+
+
+# -- the whole gold job --------------------------------------------------------
+
+STAMP = datetime(2025, 2, 3, 4, 5, 6, tzinfo=timezone.utc)
+
+
+def _gold_job(spark: SparkSession, silver_df: DataFrame | None) -> tuple[str, DataFrame | None]:
+    base = scratch_path(spark, "gold-job")
+    if silver_df is not None:
+        silver_df.write.parquet(f"{base}/curated")
+    return base, jobs.run_gold(spark, f"{base}/curated", f"{base}/gold", f"{base}/preview", "run-7", STAMP)
+
+
+def _gold_job_previews(spark: SparkSession, sf: str) -> DataFrame:
+    """All six preview files of one gold job, read back and put as (preview, week, borough, column, value)."""
+    base, _ = _gold_job(spark, curated(spark, sf))
+    out = None
+    for name in (S.FULL_PREVIEW, *S.KPI_SLICES):
+        rows = readers.read_preview_csv(spark, f"{base}/preview/{name}")
+        values = [c for c in rows.columns if c not in ("pickup_week_id", "pickup_week_start", "pu_borough")]
+        part = rows.select(F.lit(name).alias("preview"), "pickup_week_id", "pu_borough", F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in values])))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _gold_job_summary(spark: SparkSession, sf: str) -> DataFrame:
+    base, summary = _gold_job(spark, curated(spark, sf))
+    return summary.withColumns({c: F.replace(c, F.lit(base), F.lit("")) for c in ("silver_path", "gold_path")}).withColumnRenamed(
+        "run_ts", "stamp")
+
+
+def _gold_job_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """What a gold job over no silver trip, and over no silver layer, gives back and writes."""
+    out = None
+    for name, silver_df in (("empty", curated(spark, sf).limit(0)), ("missing", None)):
+        base, summary = _gold_job(spark, silver_df)
+        written = [sinks.exists(spark, f"{base}/{p}") for p in ("gold", "preview")]
+        part = kpis(spark, sf).agg(F.count(F.lit(1)).alias("full_kpis")).select(
+            F.lit(name).alias("case"), F.lit(summary is not None).alias("summary"), F.lit(any(written)).alias("written"), "full_kpis")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _summary_all(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.trip_metrics(trips_flagged(spark, sf))
 
@@ -305,6 +385,21 @@ _QUERIES: dict[str, Query] = {
     "gold_job_overview": _gold_report("overview"),
     "gold_job_top": _gold_report("top"),
     "gold_job_sample": _gold_report("sample"),
+    # S1 and S2 over files that differ
+    "trips_raw_drifted": _drifted,
+    "trip_flagged_drifted": lambda s, sf: bronze.flag_trips(_drifted(s, sf)),
+    "zones_csv_reordered": _zones_reordered,
+    # K4, K9, A8, A9, D1 over two overlapping runs
+    "increment_curated": lambda s, sf: increments.read_curated(s, f"{_increments(s, sf)}/silver"),
+    "increment_gold": lambda s, sf: readers.read_gold(s, f"{_increments(s, sf)}/gold"),
+    # A1, A3, A6, A7 over three runs
+    "trip_metrics_merged": _merged_metrics,
+    # K5, K6, S5: the whole gold job; A5; P24
+    "gold_job_previews": _gold_job_previews,
+    "gold_job_summary": _gold_job_summary,
+    "gold_job_empty": _gold_job_empty,
+    "null_pct_no_columns": lambda s, sf: metrics.null_percentages(zones_bronze(s, sf), ["no_such_column"]),
+    "trip_totals_stamped": lambda s, sf: metrics.trip_metrics(trips_flagged(s, sf), ("counts",), STAMP).withColumnRenamed("run_ts", "stamp"),
 }
 
 

@@ -54,12 +54,13 @@ def run_bronze_zones(raw_zones: DataFrame, out_base: str,
 
 
 def run_bronze_trips(raw: DataFrame, out_base: str, run_ts: datetime | None = None,
-                     split_folders: bool = False) -> DataFrame:
+                     split_folders: bool = False, run_id: str | None = None) -> DataFrame:
     """Raw trips -> ``trips/dq_status=*`` + ``_run_summary_*`` tables, one scan.
 
     Returns the unified metric table (``METRIC_SCHEMA``). With ``split_folders`` the splits are also
     written as folders of their own: ``pass`` (without flags), ``_rejects`` and ``_indeterminate``.
-    Without a raw row no trips are written, and those of an older run are emptied.
+    Without a raw row no trips are written, and those of an older run are emptied. The counts are kept as
+    ``_metric_state`` rows of ``run_id`` (the run's time if not given), which :func:`metrics.merged_metrics` adds up over runs.
     """
     spark = raw.sparkSession
     ensure_utc(spark)
@@ -81,6 +82,8 @@ def run_bronze_trips(raw: DataFrame, out_base: str, run_ts: datetime | None = No
             part = read_bronze(spark, out_base, status)
             if part is not None:
                 write_if_rows(part, f"{out_base}/{folder}")
+    state = metrics.state_of(spark, run_id or run_ts.isoformat(), aggs, values)
+    write_if_schema(state, f"{out_base}/{S.METRIC_STATE_DIR}")
     totals = _totals_frame(spark, aggs, values)
     all_rows = None
     for name, part in S.RUN_SUMMARY_DIRS.items():
@@ -133,7 +136,7 @@ def read_bronze(spark: SparkSession, base: str, status: str = "pass") -> DataFra
 # Silver
 # ---------------------------------------------------------------------------
 
-def _curated_schema() -> T.StructType:
+def curated_schema() -> T.StructType:
     return T.StructType([T.StructField(n, T._parse_datatype_string(silver.CURATED_TYPES[n])) for n in S.SILVER_ORDER])
 
 
@@ -148,8 +151,8 @@ def run_silver(spark: SparkSession, bronze_base: str, zones_path: str, out_base:
     curated_path, weekly_path = f"{out_base}/{S.CURATED_DIR}", f"{out_base}/{S.WEEKLY_DIR}"
     passed = read_bronze(spark, bronze_base, "pass")
     if passed is None or passed.isEmpty():  # curated is empty exactly when its input is
-        sinks.replace_by_empty(spark, curated_path, _curated_schema())
-        empty = spark.createDataFrame([], _curated_schema())
+        sinks.replace_by_empty(spark, curated_path, curated_schema())
+        empty = spark.createDataFrame([], curated_schema())
         sinks.replace_by_empty(spark, weekly_path, silver.weekly_summary(empty, run_ts).schema)
         return {S.CURATED_DIR: False, S.WEEKLY_DIR: False}
     zones = readers.read_nonempty(spark, zones_path)
@@ -167,7 +170,7 @@ def run_silver(spark: SparkSession, bronze_base: str, zones_path: str, out_base:
 # ---------------------------------------------------------------------------
 
 def run_gold(spark: SparkSession, silver_curated: str, gold_path: str, preview_base: str,
-             run_id: str | None = None) -> DataFrame | None:
+             run_id: str | None = None, run_ts: datetime | None = None) -> DataFrame | None:
     """Curated silver -> gold KPIs (partitioned by week), 6 CSV previews, JSON summary.
 
     Returns the run summary as written, or None when silver is missing or holds no row; then an older
@@ -177,11 +180,11 @@ def run_gold(spark: SparkSession, silver_curated: str, gold_path: str, preview_b
     run_id = run_id or datetime.now().strftime("%Y%m%d_%H%M%S")
     previews = {S.FULL_PREVIEW: gold.kpi_preview} | {
         c: (lambda kpis, c=c: gold.kpi_slice(kpis, c)) for c in S.KPI_SLICES}
-    run_ts = metrics.now_utc().isoformat().replace("+00:00", "Z")  # ISO instant
+    stamp = (run_ts or metrics.now_utc()).isoformat().replace("+00:00", "Z")  # ISO instant
     summary_path = f"{preview_base}/run_summary"
     silver_df = readers.read_nonempty(spark, silver_curated)
     if silver_df is None:
-        none = gold.weekly_kpis(spark.createDataFrame([], _curated_schema()), ordered=False)
+        none = gold.weekly_kpis(spark.createDataFrame([], curated_schema()), ordered=False)
         sinks.replace_by_empty(spark, gold_path, none.schema)
         for name, make in previews.items():
             sinks.replace_by_empty(spark, f"{preview_base}/{name}", make(none).schema, "csv")
@@ -194,7 +197,7 @@ def run_gold(spark: SparkSession, silver_curated: str, gold_path: str, preview_b
         sinks.write_gold(kpis, gold_path)
         for name, make in previews.items():
             sinks.write_csv_preview(make(kpis), f"{preview_base}/{name}")
-        sinks.write_json(gold.run_summary(kpis, run_id, run_ts, silver_curated, gold_path), summary_path)
+        sinks.write_json(gold.run_summary(kpis, run_id, stamp, silver_curated, gold_path), summary_path)
     finally:
         kpis.unpersist()
     return spark.read.json(summary_path)

@@ -459,6 +459,67 @@ def _more() -> dict[str, str]:
     }
 
 
+def _chain(over: dict[str, str], final: str) -> str:
+    """The layers' CTEs with some of them restated."""
+    body = ",\n".join(f"{name} AS (\n{over.get(name, sql)}\n)" for name, sql in CTES)
+    return f"WITH {body}\n{final}"
+
+
+def _drifted() -> str:
+    """Generation 0 has no congestion fee, generation 2 alone has a trip type; types are the widest of all."""
+    wide = {"VendorID": "BIGINT", "PULocationID": "BIGINT", "passenger_count": "DOUBLE"}
+    cols = []
+    for c in RAW_COLUMNS:
+        if c in wide:
+            cols.append(f"CAST({c} AS {wide[c]}) AS {c}")
+        elif c == "cbd_congestion_fee":
+            cols.append("CASE WHEN year(tpep_pickup_datetime) % 3 <> 0 THEN cbd_congestion_fee END AS cbd_congestion_fee")
+        else:
+            cols.append(f"{c} AS airport_fee" if c == "Airport_fee" else c)
+    return f"SELECT {', '.join(cols)}, CASE WHEN year(tpep_pickup_datetime) % 3 = 2 THEN VendorID + 1 END AS trip_type FROM ({{}})"
+
+
+def _increments(final: str) -> str:
+    raw = dict(CTES)["trips_raw"]
+    day, week = "dayofmonth(tpep_pickup_datetime)", "week(tpep_pickup_datetime)"
+    return _chain({"trips_raw": f"SELECT * FROM ({raw}) WHERE {day} <= 20 OR ({day} >= 15 AND {week} % 2 = 1)"}, final)
+
+
+def _previews() -> str:
+    values = [c for c in S.KPI_ORDER if c not in ("pickup_week_id", "pickup_week_start", "pu_borough")]
+    order = {S.FULL_PREVIEW: "pickup_week_start, pu_borough, pickup_week_id"}
+    parts = [(name, c) for name in (S.FULL_PREVIEW, *S.KPI_SLICES) for c in (values if name == S.FULL_PREVIEW else [name])]
+    return _with(" UNION ALL ".join(
+        f"SELECT '{name}' AS preview, pickup_week_id, pu_borough, '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM (SELECT * FROM kpis "
+        f"ORDER BY {order.get(name, 'pickup_week_id, pu_borough, pickup_week_start')} LIMIT 500)" for name, c in parts))
+
+
+def _jobs_and_drift() -> dict[str, str]:
+    raw = dict(CTES)["trips_raw"]
+    drifted = _drifted().format(raw)
+    n = "TRY_CAST(LocationID AS INTEGER)"
+    return {
+        "trips_raw_drifted": _chain({"trips_raw": drifted}, "SELECT * FROM trips_raw"),
+        "trip_flagged_drifted": _chain({"trips_raw": drifted}, "SELECT * FROM trip_flagged"),
+        "zones_csv_reordered": _with(
+            f"SELECT LocationID, Borough, CASE WHEN short THEN NULL ELSE Zone END AS Zone, CASE WHEN short THEN NULL ELSE service_zone END "
+            f"AS service_zone, CASE WHEN short THEN concat(LocationID, ',', Borough) END AS bad_line "
+            f"FROM (SELECT *, coalesce({n} % 5 = 0, FALSE) AS short FROM zones_raw)"),
+        "increment_curated": _increments("SELECT * FROM curated"),
+        "increment_gold": _increments("SELECT * FROM kpis"),
+        "trip_metrics_merged": metric_rows(("counts", "nulls", "checks", "domain_range")),
+        "gold_job_previews": _previews(),
+        "gold_job_summary": _with(
+            "SELECT 'run-7' AS run_id, '2025-02-03T04:05:06Z' AS stamp, '/curated' AS silver_path, '/gold' AS gold_path, "
+            "CAST(count(*) AS BIGINT) AS weeks_covered, CAST(coalesce(sum(t), 0) AS BIGINT) AS total_weekly_trips FROM "
+            "(SELECT pickup_week_id, sum(weekly_trips) AS t FROM kpis GROUP BY pickup_week_id)"),
+        "gold_job_empty": _with("SELECT c.x AS \"case\", FALSE AS summary, FALSE AS written, (SELECT count(*) FROM kpis) AS full_kpis "
+                                "FROM (VALUES ('empty'), ('missing')) AS c(x)"),
+        "null_pct_no_columns": _with("SELECT LocationID AS metric, LocationID AS value FROM zones_checked WHERE FALSE"),
+        "trip_totals_stamped": f"SELECT *, TIMESTAMP '2025-02-03 04:05:06' AS stamp FROM ({metric_rows(('counts',))})",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {
         "trips_raw": _with("SELECT * FROM trips_raw"),
@@ -561,4 +622,4 @@ def oracle_sql() -> dict[str, str]:
     }
     for c in S.KPI_SLICES:
         q[f"slice_{c}"] = _slice(c)
-    return q | _more()
+    return q | _more() | _jobs_and_drift()

@@ -162,6 +162,7 @@ RUN_SUMMARY_DIRS: dict[str, str] = {
     "_run_summary_domain_range": "domain_range",
 }
 RUN_SUMMARY_ALL_DIR: str = "_run_summary_all"
+METRIC_STATE_DIR = "_metric_state"
 CURATED_DIR: str = "curated"
 WEEKLY_DIR: str = "_run_summary_weekly"
 FULL_PREVIEW: str = "full_kpis"

@@ -140,3 +140,33 @@ def raw_trips_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones_from_nation_region(read_table(spark, sf_dir, "nation"),
                                     read_table(spark, sf_dir, "region"))
+
+
+# -- inputs that drift ------------------------------------------------------------
+
+def write_drifted_trips(trips: DataFrame, path: str) -> list[str]:
+    """The trips as three generations of files by pick-up year: the first has wider ids, a fractional
+    passenger count, the other airport spelling and no congestion fee; the last has one more column."""
+    generation = F.year("tpep_pickup_datetime") % 3
+    first = trips.where(generation == 0).withColumnsRenamed({"Airport_fee": "airport_fee"}).drop("cbd_congestion_fee").withColumns({
+        "VendorID": F.col("VendorID").cast("bigint"), "PULocationID": F.col("PULocationID").cast("bigint"),
+        "passenger_count": F.col("passenger_count").cast("double")})
+    last = trips.where(generation == 2).withColumn("trip_type", F.col("VendorID") + 1)
+    paths = []
+    for name, part in (("a", first), ("b", trips.where(generation == 1)), ("c", last)):
+        part.write.mode("overwrite").parquet(f"{path}/{name}")
+        paths.append(f"{path}/{name}")
+    return paths
+
+
+def write_drifted_zones(zones: DataFrame, path: str) -> None:
+    """The zones as two CSV files: ids that 5 divides under the usual header, cut off after the borough; the others
+    under another order of names, other case and one more column."""
+    n = F.col("LocationID").try_cast("int")
+    short = F.coalesce(n % 5 == 0, F.lit(False))
+    parts = (("a", "LocationID,Borough,Zone,service_zone", ["LocationID", "Borough"], short),
+             ("b", "Borough, zone,note,SERVICE_ZONE,LocationID", ["Borough", "Zone", "Borough", "service_zone", "LocationID"], ~short))
+    for name, header, columns, kept in parts:
+        lines = zones.where(kept).select(F.lit(1).alias("at"), F.concat_ws(",", *columns).alias("line"))
+        head = zones.sparkSession.range(1).select(F.lit(0).alias("at"), F.lit(header).alias("line"))
+        head.unionByName(lines).coalesce(1).sortWithinPartitions("at").select("line").write.mode("append").text(path)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart import schemas as S
 from tripmart.operators import gold
 from tripmart.session import scratch_path
-from tripmart.sources import sinks
+from tripmart.sources import drift, sinks
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -21,9 +21,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def read_zones_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw zone lookup: CSV with a header, four text columns (no inference)."""
-    return spark.read.option("header", "true").schema(S.ZONE_SCHEMA).csv(path)
+def read_zones_csv(spark: SparkSession, path: str, corrupt: str | None = None) -> DataFrame:
+    """Raw zone lookup: CSV files with a header, four text columns taken by name (no inference).
+
+    ``corrupt`` names a fifth column with the text of lines of another length than the header.
+    """
+    return drift.read_csv(spark, path, S.ZONE_COLUMNS, corrupt)
 
 
 def first_available(spark: SparkSession, candidates: Sequence[str],

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -77,6 +78,16 @@ def write_gold(kpis: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy("pickup_week_id").parquet(path))
 
 
+def write_weeks(df: DataFrame, path: str) -> None:
+    """Replaces only the weeks that ``df`` holds; all other weeks stay as they are.
+
+    Weeks are dealt out by size (``rebalance``: small weeks share a task, a large one takes several), so no
+    task holds a week that outgrows it and no week is many small files.
+    """
+    (df.hint("rebalance", F.col("pickup_week_id")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("pickup_week_id").parquet(path))
+
+
 def write_csv_preview(df: DataFrame, path: str) -> None:
     """A small preview as one CSV file with a header."""
     single_file(df).write.mode("overwrite").option("header", "true").csv(path)

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tripmart import schemas as S
 from tripmart.operators import bronze, metrics
 from tripmart.session import ensure_utc
+from tripmart.sources import sinks
 
 
 def _process_batch(out_base: str):
@@ -26,17 +27,19 @@ def _process_batch(out_base: str):
         flagged = bronze.flag_trips(batch)
         aggs = metrics.trip_metric_aggregates(flagged)
         obs = Observation(f"bronze_batch_{batch_id}")
-        (flagged.withColumn(S.DQ_STATUS, bronze.dq_status())
-         .observe(obs, *metrics.named(aggs))
-         .write.mode("overwrite").partitionBy(S.DQ_STATUS)
-         .parquet(f"{out_base}/trips/batch_id={batch_id}"))
-        values = obs.get
         spark = batch.sparkSession
+        with sinks.few_partition_values(spark):  # three statuses: no sort of the trips by status
+            (flagged.withColumn(S.DQ_STATUS, bronze.dq_status())
+             .observe(obs, *metrics.named(aggs))
+             .write.mode("overwrite").partitionBy(S.DQ_STATUS)
+             .parquet(f"{out_base}/trips/batch_id={batch_id}"))
+        values = obs.get
+        sinks.write_if_schema(metrics.state_of(spark, str(batch_id), aggs, values),
+                              f"{out_base}/{S.METRIC_STATE_DIR}/batch_id={batch_id}")
         schema = T.StructType([T.StructField(n, T.LongType()) for n in aggs])
         totals = spark.createDataFrame([tuple(int(values.get(n) or 0) for n in aggs)], schema)
         rows = metrics.trip_metric_rows(totals, flagged.columns)
-        (rows.coalesce(1).write.mode("overwrite")
-         .parquet(f"{out_base}/_run_summary_batches/batch_id={batch_id}"))
+        sinks.write_if_schema(rows, f"{out_base}/_run_summary_batches/batch_id={batch_id}")
     return run
 
 
@@ -66,3 +69,8 @@ def stream_totals(spark: SparkSession, out_base: str) -> DataFrame:
     """Counts over all batches written so far: (dq_status, rows)."""
     return (spark.read.parquet(f"{out_base}/trips")
             .groupBy(S.DQ_STATUS).agg(F.count(F.lit(1)).alias("rows")))
+
+
+def stream_metrics(spark: SparkSession, out_base: str) -> DataFrame:
+    """The long metric table over all batches written so far."""
+    return metrics.merged_metrics(spark.read.parquet(f"{out_base}/{S.METRIC_STATE_DIR}"))
