@@ -1,5 +1,6 @@
 """Token files: round trip, index, dictionary."""
 
+import random
 import zlib
 
 import numpy as np
@@ -84,3 +85,24 @@ def test_encoder_equals_library():
     own, library = tokenfile.LibraryEncoder(raw), Tokenizer.from_file(tokenizer_file())
     for text in ("", "Don't  stop12!!", "é é ÄÖ ß", "日本語 x", "<|endoftext|>x <|", "a\x1cb\u0085c", "'s's 'll", "x" * 3000, "ΑΣ İ"):
         assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_every_byte_and_random_texts_equal_library():
+    raw = open(tokenizer_file(), "rb").read()
+    own, library = tokenfile.LibraryEncoder(raw), Tokenizer.from_file(tokenizer_file())
+    rng = random.Random(11)
+    texts = [f(chr(i)) for i in range(256) for f in (str, lambda c: f"a{c}b", lambda c: f" {c} x{c}", lambda c: c * 3)]
+    texts += ["".join(chr(rng.randrange(rng.choice([0x80, 0x250]))) for _ in range(rng.randrange(1, 12))) for _ in range(20_000)]
+    want = library.encode_batch(texts, add_special_tokens=False)
+    wrong = [t for t, w in zip(texts, want) if np.frombuffer(own.encode(t), "<u4").tolist() != w.ids]
+    assert wrong == []
+
+
+@pytest.mark.parametrize("text", ["word%d or two ", "a much longer line of text number %d that goes on "])
+def test_dictionary_at_any_length(spark, text):
+    raw = open(tokenizer_file(), "rb").read()
+    make = lambda n, times: spark.createDataFrame(
+        [(i, "".join(text % ((i * 7 + j) % 50) for j in range(times))) for i in range(n)], "doc_id long, text string")
+    assert len(tokenfile.train_dictionary(make(60, 2000), raw)) > 0  # long texts only
+    assert len(tokenfile.train_dictionary(make(300, 3), raw)) > 0  # short texts only
+    assert tokenfile.train_dictionary(make(3, 1), raw) == b""

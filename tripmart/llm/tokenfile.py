@@ -37,7 +37,8 @@ from tripmart.llm.bpe import SPLIT, UNCOMMON, byte_letters, read_file
 from tripmart.llm.common import running_before, scratch_path, seeded, unit
 
 END_ID = 2
-SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES, BLOCK_BYTES, SEED, LEVEL = 1000, 16_384, 65_536, 1 << 20, 41, 3
+SAMPLE, SAMPLE_CHARS, PIECE_BYTES, LEAST_PIECES = 1000, 8_192, 8_192, 8
+DICTIONARY_BYTES, BLOCK_BYTES, SEED, LEVEL = 65_536, 1 << 20, 41, 3
 CACHE = 150_000
 #: ASCII letters that str.split() takes for white space and the tokenizer file does not.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
@@ -69,7 +70,8 @@ class LibraryEncoder(dict):
                 return b"".join(map(self.__getitem__, pieces))
         made = self.older.get(chunk)
         if made is None:
-            piece = chunk if chunk.isascii() else "".join(map(self.letters.__getitem__, chunk.encode("utf-8")))
+            # Control characters and those beyond ASCII are not their own letters.
+            piece = chunk if chunk.isascii() and chunk.isprintable() else "".join(map(self.letters.__getitem__, chunk.encode("utf-8")))
             made = array("I", [t.id for t in self.tokenize(piece)]).tobytes()
         if len(chunk) <= 64:
             if len(self) >= CACHE:
@@ -99,16 +101,22 @@ def _encoder(raw: bytes) -> LibraryEncoder:
 
 
 def train_dictionary(docs: DataFrame, raw: bytes, text: str = "text", key: str = "doc_id") -> bytes:
-    """The dictionary, from at most ``SAMPLE`` rows of at most ``SAMPLE_BYTES`` bytes; empty bytes
-    if they are too few to train on."""
+    """The dictionary, from at most ``SAMPLE`` seeded rows of any length: of a text longer than ``SAMPLE_CHARS`` a seeded
+    stretch of that many code points, all serialized ids cut into pieces of ``PIECE_BYTES``. Empty bytes (plain frames) only if
+    there are fewer than ``LEAST_PIECES`` pieces in all, or if they have nothing in common to train on."""
     import zstandard
 
-    short = docs.where(F.octet_length(text).between(64, SAMPLE_BYTES)).select(F.col(text).alias("t"), seeded(SEED, F.col(key)).alias("h"))
+    some = docs.where(F.octet_length(text) > 0).select(F.col(text).alias("t"), seeded(SEED, F.col(key)).alias("h"),
+                                                     unit(seeded(SEED + 1, F.col(key))).alias("u"))
     part = 1.5 * SAMPLE / max(1, docs.count())  # so that tasks don't send a whole sample each
-    rows = short.where(unit(F.col("h")) < part).orderBy("h", "t").limit(SAMPLE).select("t").collect()
+    start = F.floor(F.col("u") * F.greatest(F.length("t") - SAMPLE_CHARS, F.lit(0))).cast("int") + 1
+    rows = some.where(unit(F.col("h")) < part).select("h", F.substring("t", start, F.lit(SAMPLE_CHARS)).alias("t"))
     encoder = LibraryEncoder(raw)
-    samples = [encoder.encode(r[0]) for r in rows]
-    if len(samples) < 20:
+    samples = []
+    for r in rows.orderBy("h", "t").limit(SAMPLE).select("t").collect():
+        ids = encoder.encode(r.t)
+        samples += [ids[i:i + PIECE_BYTES] for i in range(0, len(ids), PIECE_BYTES)]
+    if len(samples) < LEAST_PIECES:
         return b""
     size = min(DICTIONARY_BYTES, max(1024, sum(map(len, samples)) // 10))
     try:
