@@ -63,7 +63,9 @@ def test_scorer_is_the_noisy_or_of_sentences(spark):
         for kinds in parts:
             z = -4.0 + sum(model.weights.get(s, 0.0) for w in kinds for s in toxicity.signs_of(w))
             clean *= 1 - 1 / (1 + np.exp(-z))
-        assert scorer.text(text) == pytest.approx(1 - clean)
+        # three sentences at most, so they alone make the score
+        assert scorer.text(text) == pytest.approx(scorer.judged(-np.log(clean), -np.log(clean)))
+        assert 1 - clean < 0.5 or scorer.text(text) == pytest.approx(1 - clean)
 
 
 def test_query(spark, sf_small):
@@ -101,3 +103,25 @@ def test_clean_text_of_any_length_is_kept(spark):
     assert got[-1].predicted == 0 and got[-1].score < 0.1
     assert got[-2].predicted == 1
     assert [r.doc_id for r in toxicity.keep(texts.union(long), labels).where("doc_id < 0").collect()] == [-1]
+
+
+def test_clean_documents_joined_stay_clean(spark, sf_small):
+    """All clean documents of the table as one text, and its first halves, quarters and so on."""
+    texts, labels = (spark.read.parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(texts, labels)
+    scorer = toxicity.Scorer(model)
+    toxic = {r.doc_id for r in labels.where("toxic = 1").collect()}
+    clean = [r.text for r in texts.orderBy("doc_id").collect() if r.doc_id not in toxic and r.text and scorer.text(r.text) < 0.2]
+    n = len(clean)
+    assert n > 50
+    while n:
+        assert scorer.text("\n".join(clean[:n])) < 0.5
+        n //= 2
+
+
+def test_weak_signs_keep_their_order():
+    scorer = toxicity.Scorer(toxicity.Model(-4.0, {"bad": 2.5}, 0.01))
+    scores = [scorer.text("bad. " * n) for n in (1, 2, 4, 8, 50, 5000)]
+    assert scores == sorted(scores) and scores[-1] < 0.5 and scores[0] < scores[1]
+    strong = toxicity.Scorer(toxicity.Model(-4.0, {"bad": 3.0, "vile": 5.0}, 0.01))
+    assert strong.text("bad. " * 50 + "vile") >= 0.5

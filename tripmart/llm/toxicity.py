@@ -2,8 +2,8 @@
 
 A sentence's chance of being toxic is logistic in its signs; a document's is the noisy-or of its
 sentences with signs (toxic if any is) and of one noise term a document, which stands for labels that no
-sign explains; sentences without signs add nothing, so a clean text scores the same at any length. All are
-trained together from document labels alone, so the weight of a toxic document goes to the
+sign explains; sentences without signs add nothing. Weak signs would still add up with length, so a score of
+0.5 takes three sentences at most that reach it (see :meth:`Scorer.judged`). All are trained together from document labels alone, so the weight of a toxic document goes to the
 sentences that explain it, and these are the offending sentences that :func:`locate` returns.
 
 Signs are words (letters, lower case) and word beginnings of 3 to 7 letters. Candidates are counted
@@ -19,6 +19,7 @@ of both kinds every score is 0; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter
@@ -58,6 +59,11 @@ def sentences(text: str | None) -> list[tuple[int, int, set[str]]]:
     return out
 
 
+#: A document is toxic if so many of its sentences make it so; lower scores than ``CALM`` stand as they are in any case.
+FEW = 3
+CALM = 0.25
+
+
 @dataclass
 class Model:
     """``noise``: the chance of a toxic label without any sign; None: sentences without signs have the bias's
@@ -102,14 +108,25 @@ class Scorer:
         parts = SENTENCE.findall(lower)
         if not kinds:
             n = max(1, sum(1 for p in parts if LETTERS.search(p)))
-            return -math.expm1(-self.start - n * self.plain)
+            return self.judged(self.start + n * self.plain, self.start + min(n, FEW) * self.plain)
+        risks = [0.0] * FEW
         total = self.start
         for p in parts:
             found = set(LETTERS.findall(p))
             if found:
                 z = sum(weight[w] for w in found & kinds)
-                total += _soft(self.model.bias + z) if z else self.plain
-        return -math.expm1(-total)
+                risk = _soft(self.model.bias + z) if z else self.plain
+                total += risk
+                risks.append(risk)
+        return self.judged(total, self.start + sum(heapq.nlargest(FEW, risks)))
+
+    def judged(self, total: float, few: float) -> float:
+        """The noisy-or of all sentences. Weak signs add up with a text's length alone, so a document is called toxic only
+        if its ``FEW`` strongest sentences make it so by themselves; else what is above ``CALM`` is put under 0.5, in the same order."""
+        score = -math.expm1(-total)
+        if few >= math.log(2) or score < CALM:
+            return score
+        return CALM + (0.5 - CALM) * (1 - math.exp(-(score - CALM) / (0.5 - CALM))) * 0.999
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
