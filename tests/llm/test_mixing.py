@@ -90,3 +90,25 @@ def test_edges(spark):
 def test_no_python_in_the_plan(spark, sf_small):
     plan = op3_mixing(spark, sf_small)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_repeated_rows_meet_their_target(spark):
+    """A source of one row repeated 1,000 times, and one of a repeated and many other rows."""
+    text = "one two three four five six seven eight nine ten"
+    data = [(1, text, "en", "a")] * 1000 + [(2, text, "en", "b")] * 300 + [(i, f"{text} {text}", "en", "b") for i in range(10, 400)]
+    data += [(i, text * 3, "en", "c") for i in range(1000, 1400)]
+    frame = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    got = mixing.copies(frame).collect()
+    assert len(got) == len(data)
+    for source in "abc":
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 30 and max(r.taken / r.size for r in own) <= 3
+    mixed = {r.source: r["count"] for r in mixing.mix(frame.where("source <> 'b'")).groupBy("source").count().collect()}
+    whole = mixing.copies(frame.where("source <> 'b'")).groupBy("source").sum("copies").collect()
+    assert all(abs(mixed[r.source] - r["sum(copies)"]) < 100 for r in whole)
+
+
+def test_hot_rows_are_dealt_out(spark):
+    counted = spark.createDataFrame([(1, "a", 5, 10), (2, "a", 5, 1), (None, None, 0, 4)], "_key long, _source string, _size long, _m long")
+    got = sorted(map(str, mixing.each_row(counted, run=4).select("_key", "_copy").collect()))
+    assert got == sorted([f"Row(_key={k}, _copy={i})" for k, m in ((1, 10), (2, 1), (None, 4)) for i in range(m)])

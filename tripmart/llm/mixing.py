@@ -13,8 +13,8 @@ half of one document at most. No source is one task's work at any level but the
 
 Cases: a null text has size 0; documents of size 0 take no part in the moving and are rounded on
 their own; a null source is a source of its own and comes last in the order of weights; rows that
-repeat key, source and size are one unit with their common size, and all get the same number of
-copies; an empty table gives no rows; other columns are not read.
+repeat key, source and size are units of their own, each with its own number of copies (:func:`mix`, which can't
+tell them apart, gives each their mean, rounded by a seeded number of the row); an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -106,6 +106,17 @@ def _reduce(items: DataFrame, level: int, kind: str) -> DataFrame:
     return rows.select("_source", "_group", "x.key", "x.w", "x.p", "x.h")
 
 
+def each_row(counted: DataFrame, run: int = 4096) -> DataFrame:
+    """A row per copy of equal rows (``_m`` of them), numbered by ``_copy`` from 0. Groups of more than ``run`` copies are
+    dealt out in runs, so no task writes all copies of a hot row."""
+    last = F.col("_m") - 1
+    few = counted.where(F.col("_m") <= run).withColumn("_run", F.lit(0).cast("bigint"))
+    many = counted.where(F.col("_m") > run).withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last / run))))
+    many = many.repartition("_key", "_source", "_size", "_run")
+    numbers = F.sequence(F.col("_run") * run, F.least((F.col("_run") + 1) * run - 1, last))
+    return few.unionByName(many).withColumn("_copy", F.explode(numbers)).drop("_m", "_run")
+
+
 def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = SEED,
            group: int = GROUP, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``key, source, size, source_size, target, copies, taken`` per row of ``docs``."""
@@ -114,13 +125,14 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
     plan = stored(targets(weighted_sources(rows, weights), most), "mix-targets")
     plan = plan.select(F.col("_source").alias("_s"), "_total", "_target")
 
-    units = rows.groupBy("_key", "_source", "_size").agg(F.count(F.lit(1)).alias("_m"))
+    units = each_row(rows.groupBy("_key", "_source", "_size").agg(F.count(F.lit(1)).alias("_m")))
     units = units.join(plan, F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s")
     mean = F.when(F.col("_total") > 0, F.col("_target") / F.col("_total")).otherwise(F.lit(1.0))
     units = units.withColumn("_mean", mean).withColumn("_base", F.floor("_mean"))
     units = units.select(
-        F.struct("_key", "_size", "_base").alias("key"), "_source", "_total", (F.col("_m") * F.col("_size")).cast("double").alias("w"),
-        (F.col("_mean") - F.col("_base")).alias("p"), seeded(seed, F.col("_key"), F.col("_size")).alias("h"))
+        F.struct("_key", "_size", "_base").alias("key"), "_source", "_total", F.col("_size").cast("double").alias("w"),
+        (F.col("_mean") - F.col("_base")).alias("p"), F.when(F.col("_copy") == 0, seeded(seed, F.col("_key"), F.col("_size"))).otherwise(
+            seeded(seed, F.col("_key"), F.col("_size"), F.col("_copy"))).alias("h"))
     units = stored(units, "mix-units")
     kind = units.schema["key"].dataType.simpleString()
     moving = (F.col("w") > 0) & ~_whole(F.col("p"))
@@ -148,19 +160,21 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
         part = part.select(F.col("key._key").alias("_k"), F.col("key._size").alias("_z"), F.col("_source").alias("_o"),
                            (F.col("key._base") + F.round("p")).cast("bigint").alias("copies"))
         out = part if out is None else out.unionByName(part)
-    rows = rows.join(out, F.col("_key").eqNullSafe(F.col("_k")) & F.col("_source").eqNullSafe(F.col("_o"))
-                     & (F.col("_size") == F.col("_z"))).drop("_k", "_o", "_z")
-    rows = rows.join(plan, F.col("_source").eqNullSafe(F.col("_s")))
-    return rows.select(F.col("_key").alias(key), F.col("_source").alias(source), F.col("_size").alias("size"),
+    rows = out.join(plan, F.col("_o").eqNullSafe(F.col("_s")))
+    return rows.select(F.col("_k").alias(key), F.col("_o").alias(source), F.col("_z").alias("size"),
                        F.col("_total").alias("source_size"), F.col("_target").alias("target"), "copies",
-                       (F.col("copies") * F.col("_size")).alias("taken"))
+                       (F.col("copies") * F.col("_z")).alias("taken"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = SEED,
         key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; rows taken 0 times go."""
-    found = copies(docs, weights, most, seed, key=key, text=text, source=source).where("copies > 0")
-    found = found.select(F.col(key).alias("k"), F.col(source).alias("o"), F.col("size").alias("z"), "copies").distinct()
+    found = copies(docs, weights, most, seed, key=key, text=text, source=source)
+    found = found.groupBy(F.col(key).alias("k"), F.col(source).alias("o"), F.col("size").alias("z")).agg(
+        (F.sum("copies") / F.count(F.lit(1))).alias("mean")).where("mean > 0")
     size = F.size(words_of(F.coalesce(field(text), F.lit("")))).cast("bigint")
-    taken = packed(docs).join(found, field(key).eqNullSafe(F.col("k")) & field(source).eqNullSafe(F.col("o")) & (size == F.col("z")))
-    return taken.select("row", F.explode(F.expr("sequence(1L, copies)"))).select("row.*")
+    # Rows that nothing tells apart share their copies: each has the whole part, and one more with the chance of the rest.
+    rows = packed(docs).withColumn("u", unit(seeded(seed, F.monotonically_increasing_id())))
+    taken = rows.join(found, field(key).eqNullSafe(F.col("k")) & field(source).eqNullSafe(F.col("o")) & (size == F.col("z")))
+    taken = taken.withColumn("copies", (F.floor("mean") + (F.col("u") < F.col("mean") - F.floor("mean")).cast("int")).cast("bigint"))
+    return taken.where("copies > 0").select("row", F.explode(F.expr("sequence(1L, copies)"))).select("row.*")
