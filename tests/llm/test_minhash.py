@@ -151,3 +151,23 @@ def test_edges(spark):
     assert left.columns == table.columns
     assert Counter(r.doc_id for r in left.collect()) == Counter(r.doc_id for r in got if r.kept)
     assert minhash.classes(empty(spark)).count() == 0 and minhash.dedup(empty(spark)).count() == 0
+
+
+def test_keys_with_several_texts(spark):
+    """Each text of a key is compared, and the key links the classes of its texts."""
+    rng = random.Random(11)
+    first, other = words(rng, 80), words(rng, 80)
+    near = [" ".join(own[:-1] + ["end"]) for own in (first, other)]
+    first, other = " ".join(first), " ".join(other)
+    lone = " ".join(words(rng, 30))
+
+    def of(pairs):
+        data = [(k, t, "en", "s", 1, "r", "s", "k", "z", "h", 1) for k, t in pairs]
+        return sorted((r.doc_id, r.class_id, r.kept) for r in minhash.classes(docs(spark, data)).collect())
+
+    for a, b in ((first, other), (other, first)):
+        copy = near[a == other]
+        assert of([(1, a), (1, b), (2, copy), (9, lone)]) == [(1, 1, True)] * 2 + [(2, 1, False), (9, 9, True)]
+    got = of([(5, first), (5, other), (5, first), (2, near[0]), (3, near[1]), (9, lone), (9, None), (12, "")])
+    assert got == [(2, 2, True), (3, 2, False)] + [(5, 2, False)] * 3 + [(9, 9, True)] * 2 + [(12, 9, False)]
+    assert {k for _, k, _ in of([(4, t) for t in (first, other, lone, near[0], "")])} == {4}

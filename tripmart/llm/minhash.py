@@ -21,10 +21,13 @@ still in several classes inside a band is then compared exactly, by an inverted
 shingles of a block of documents; large bands are cut into blocks, and every two blocks meet. See
 :func:`classes`.
 
+What is compared is the distinct text, known by its 128-bit digest; classes are mapped back to all rows
+that hold one of its texts.
+
 Cases: null texts and texts without words are one class; equal texts are one class whatever their
-number (only their first document is compared); rows that repeat a key are kept or dropped with it,
-and if their texts differ, all of these count for equal texts and the largest is compared;
-null keys are kept and in no class; an empty table gives no rows; other columns are not read.
+number (they are compared once); rows that repeat a key are kept or dropped with it, and if their texts
+differ, each is compared and the key links their classes; null keys are kept and in no class; an empty
+table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import field, packed, stored
@@ -168,16 +171,19 @@ def similarities(hub: int, texts: int, doc: np.ndarray, shingle: np.ndarray, cou
     return np.where(whole > 0, both / np.maximum(whole, 1), 1.0)
 
 
+def digest(text: Column) -> Column:
+    """128 bits that stand for a text; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def signed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, same (hash of the text), n (shingles), bands (array of 64-bit keys)``."""
+    """``id, same (the text's digest, that of empty text if it has no word), n (shingles), bands (array of 64-bit keys)``."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         salt = mixed(np.arange(BANDS, dtype=np.uint64))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = part.column(1).to_pylist()
+                texts = part.column(2).to_pylist()
                 for start, end in slices(texts):
                     own = texts[start:end]
                     doc, shingle, count = bags(own)
@@ -186,15 +192,15 @@ def signed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                     keys = np.tile(salt, (len(own), 1))
                     for j in range(ROWS):
                         keys = mixed(keys ^ marks[:, :, j])
-                    same = [xxhash.xxh3_128_digest(t if k else "") for t, k in zip(own, n)]
                     bands = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * BANDS, pa.int32()),
                                                      pa.array(keys.astype(np.int64).ravel()))
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0).slice(start, end - start), pa.array(same, pa.binary()), pa.array(n), bands],
+                        [part.column(0).slice(start, end - start), part.column(1).slice(start, end - start), pa.array(n), bands],
                         ["id", "same", "n", "bands"])
 
-    return docs.select(F.col(key).cast("bigint"), F.col(text)).where(F.col(key).isNotNull()).mapInArrow(
+    rows = docs.select(F.col(key).cast("bigint"), digest(F.col(text)), F.col(text)).where(F.col(key).isNotNull()).mapInArrow(
         work, "id bigint, same binary, n bigint, bands array<bigint>")
+    return rows.withColumn("same", F.when(F.col("n") > 0, F.col("same")).otherwise(digest(F.lit(""))))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
@@ -216,9 +222,9 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFr
             own = rest[start:end]
             found = similarities(0, len(own) + 1, *bags([hub["text"], *(r["text"] for r in own)]))
             out += [r["id"] for r, x in zip(own, found[1:]) if x >= least]
-        return pa.table({"hub": pa.array([hub["id"]] * len(out), pa.int64()), "id": pa.array(out, pa.int64())})
+        return pa.table({"hub": pa.array([hub["id"]] * len(out), pa.binary()), "id": pa.array(out, pa.binary())})
 
-    return need.join(texts, "id").groupBy("hub", "part").applyInArrow(compare, "hub bigint, id bigint")
+    return need.join(texts, "id").groupBy("hub", "part").applyInArrow(compare, "hub binary, id binary")
 
 
 class _Joined:
@@ -283,9 +289,9 @@ def across(rows: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame
         ids, comps = group.column("id").to_pylist(), group.column("comp").to_pylist()
         found = links_across(group.column("text").to_pylist(), comps, group.column("side").to_pylist(), least) \
             if len(set(comps)) > 1 else []
-        return pa.table({"hub": pa.array([ids[x] for x, _ in found], pa.int64()), "id": pa.array([ids[y] for _, y in found], pa.int64())})
+        return pa.table({"hub": pa.array([ids[x] for x, _ in found], pa.binary()), "id": pa.array([ids[y] for _, y in found], pa.binary())})
 
-    return dealt.join(texts, "id").groupBy("band", "i", "j").applyInArrow(compare, "hub bigint, id bigint")
+    return dealt.join(texts, "id").groupBy("band", "i", "j").applyInArrow(compare, "hub binary, id binary")
 
 
 def _apart(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -295,41 +301,53 @@ def _apart(members: DataFrame, found: DataFrame) -> DataFrame:
     return now.join(spread, "band")
 
 
+def _of_one_key(rows: DataFrame) -> DataFrame:
+    """Links ``a, b`` between the texts of a key that holds several: each with the key's smallest digest."""
+    several = rows.groupBy("id").agg(F.min("same").alias("b"), F.max("same").alias("most")).where("b < most").select("id", "b")
+    pairs = rows.select("id", F.col("same").alias("a")).join(broadcast_if_small(several), "id")
+    return pairs.where("a <> b").select("a", "b").distinct()
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
     """``key, class_id (its smallest key), kept (is it)`` per row of ``docs``.
 
-    1. Equal texts become one document, the smallest key.
+    1. Equal texts become one document, named by their digest.
     2. In every band of two documents or more, each is compared with the band's hub (the document
        with the most candidates in all its bands); a size bound that is exact (the smaller size over
        the larger is at least the similarity) leaves out hopeless pairs.
     3. What is still in two classes inside a band is compared across them, so every candidate pair
        is either verified or already in one class.
+    4. A class is named by the smallest key that holds one of its texts; keys with several texts
+       link these.
     """
     all_rows = stored(signed(docs, key, text), "minhash-rows")
     same = stored(all_rows.groupBy("same").agg(F.min("id").alias("rep")), "minhash-texts")
     first = all_rows.where("n > 0").join(same, "same").where("id = rep").dropDuplicates(["same"])
-    band = first.select("id", "n", F.posexplode("bands").alias("b", "k")).select("id", "n", F.xxhash64("b", "k").alias("band"))
+    band = first.select(F.col("same").alias("id"), "n", F.posexplode("bands").alias("b", "k")).select("id", "n", F.xxhash64("b", "k").alias("band"))
     crowded = band.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = stored(band.join(crowded, "band"), "minhash-bands")
     degree = members.groupBy("id").agg(F.sum("size").alias("degree"))
     members = stored(members.join(degree, "id").select("band", "id", "n", "degree"), "minhash-members")
-    body = docs.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("text"))
+    body = docs.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("text"), digest(F.col(text)).alias("d"))
     # few candidates are sent to the texts; beyond the checked size the texts are shuffled to them
-    ids = stored(members.select(F.col("id").alias("k")).distinct(), "minhash-ids")
-    texts = body.join(broadcast_if_small(ids), "k")
-    texts = stored(texts.groupBy(F.col("k").alias("id")).agg(F.max("text").alias("text")), "minhash-near")
+    ids = stored(members.select(F.col("id").alias("same")).distinct().join(same, "same"), "minhash-ids")
+    texts = body.join(broadcast_if_small(ids), (F.col("k") == F.col("rep")) & (F.col("d") == F.col("same")))
+    texts = stored(texts.groupBy(F.col("same").alias("id")).agg(F.max("text").alias("text")), "minhash-near")
     near = F.least("n", "hn") >= F.lit(least) * F.greatest("n", "hn")
     top = members.groupBy("band").agg(F.max_by(F.struct(F.col("id").alias("hub"), F.col("n").alias("hn")),
-                                               F.struct("degree", -F.col("id"))).alias("top"))
+                                               F.struct("degree", "id")).alias("top"))
     pairs = members.join(top, "band").select("id", "n", "top.*").where((F.col("id") != F.col("hub")) & near)
     links = stored(verified(stored(pairs.select("hub", "id").distinct(), "minhash-pairs"), texts, least), "minhash-links")
-    edges = links.select(F.col("hub").alias("a"), F.col("id").alias("b"))
+    edges = links.select(F.col("hub").alias("a"), F.col("id").alias("b")).unionByName(
+        stored(_of_one_key(all_rows), "minhash-keys"))
     found = stored(components(edges), "minhash-classes")
     apart = stored(_apart(members.select("band", "id"), found.select(F.col("node").alias("id"), "component")), "minhash-apart")
     more = stored(across(apart, texts, least), "minhash-more")
     found = stored(components(edges.unionByName(more.select(F.col("hub").alias("a"), F.col("id").alias("b")))), "minhash-classes")
-    reps = same.select("same", "rep").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "same", F.coalesce("component", "rep").alias("class_id"))
+    linked = same.join(found.select(F.col("node").alias("same"), "component"), "same")
+    names = linked.groupBy("component").agg(F.min("rep").alias("class_id"))
+    reps = same.join(linked.join(names, "component").select("same", "class_id"), "same", "left").select(
+        "same", F.coalesce("class_id", "rep").alias("class_id"))
     out = all_rows.select("id", "same").join(reps, "same").select(F.col("id").alias("_id"), "class_id").groupBy("_id").agg(
         F.min("class_id").alias("class_id"))
     rows = docs.select(F.col(key)).join(out, F.col(key) == F.col("_id"), "left")
