@@ -70,3 +70,25 @@ def test_edges(spark):
 def test_written_shards(spark, tmp_path):
     back = sharding.write(docs(spark), str(tmp_path / "shards"), shards=2).collect()
     assert sorted((str(r.doc_id), r.text or "") for r in back) == sorted((str(r[0]), r[1] or "") for r in rows())
+
+
+def test_ties_are_spread_over_tasks(spark, monkeypatch):
+    """50,000 sources of one row (all of fractional rank 1/2) and a key that a third of all rows repeat: no range holds much
+    more than its share, and the result is the plain reading's."""
+    n = 50_000
+    one = spark.range(n).selectExpr("id AS doc_id", "concat('s', id) AS source", "concat('t', id) AS text")
+    same = spark.range(n // 2).selectExpr("-1L AS doc_id", "'hot' AS source", "'same' AS text")
+    ranges, ranked = [], sharding.stored
+
+    def seen(df, name):
+        out = ranked(df, name)
+        if "_range" in out.columns:
+            ranges.append([r["count"] for r in out.groupBy("_range").count().collect()])
+        return out
+
+    monkeypatch.setattr(sharding, "stored", seen)
+    got = sharding.assign(one.unionByName(same), run=5000).collect()
+    assert len(ranges) == 2 and all(len(r) >= 12 and max(r) < 3 * 5000 for r in ranges)
+    want = expected([(i, f"t{i}", f"s{i}") for i in range(n)] + [(-1, "same", "hot")] * (n // 2), 8, sharding.SEED)
+    assert all((r.shard, r.slot) == want[r.doc_id] for r in got if r.doc_id >= 0)
+    assert sorted(Counter(r.shard for r in got).values()) == [n * 3 // 16] * 8

@@ -5,9 +5,10 @@ fractional rank (r - 1/2) / n. All rows sorted by fractional rank interleave the
 proportion, so equal cuts of that order match the mixture. Counts of shards differ by one at most
 (law ``rows``).
 
-No source is ever one task's work: its rows are dealt into runs of about ``run`` rows by the leading
-digits of the seeded number, ranks inside a run are counted there, and the rows before a run come
-from the runs' counts. The fractional ranks are ranked among each other in the same way.
+Both rankings are range sorts over a total order (each row has a number of its own as its last key), so
+neither a hot source, nor a key that repeats, nor very many sources of one row (all of the fractional
+rank 1/2) meet in one task: a row's rank is its place in its range plus the rows of the ranges before,
+and a row's rank in its source is counted from the source's first row.
 
 Cases: a null source is a source of its own; a null text has size 1 (no bytes plus 1) and the crc32
 of empty text; a null key counts as empty text; repeated rows are dealt like any other rows; an
@@ -17,63 +18,62 @@ empty table gives no rows; columns of other names are not read unless they are n
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import running_before, seeded, stored, unit
+from tripmart.llm.common import running_before, seeded, stored
 
 SHARDS = 8
 SEED = 17
-RUN = 4096
 
 
-def _ranked(rows: DataFrame, run_no: str, order: list[Column], within: list[str]) -> DataFrame:
-    """Adds ``rank`` (from 0): runs are numbered by ``run_no`` in the order of the rows."""
-    counts = rows.groupBy(*within, run_no).agg(F.count(F.lit(1)).alias("_n"))
-    before = running_before(counts, run_no, "_n", within)
-    before = before.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate([*within, run_no])], "before")
-    on = None
-    for i, c in enumerate([*within, run_no]):
-        same = F.col(c).eqNullSafe(F.col(f"_b{i}"))
-        on = same if on is None else on & same
-    place = F.row_number().over(W.partitionBy(*within, run_no).orderBy(*order)) - 1
-    ranked = rows.withColumn("_place", place).join(before, on)
-    return (ranked.withColumn("rank", F.col("before") + F.col("_place"))
-            .drop("_place", "before", *[f"_b{i}" for i in range(len(within) + 1)]))
+def _ranked(rows: DataFrame, order: list[Column], ranges: int | None, name: str) -> DataFrame:
+    """Adds ``rank`` (from 0) in the total ``order``. Ranges are written once with each row's place, so
+    their counts and their rows come from the same cut."""
+    dealt = rows.repartitionByRange(ranges, *order) if ranges else rows.repartitionByRange(*order)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # the lower bits count inside a partition
+    placed = stored(dealt.sortWithinPartitions(*order).select("*", F.spark_partition_id().alias("_range"), place.alias("_place")), name)
+    counts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = running_before(counts, "_range", "_n").select(F.col("_range").alias("_r"), "before")
+    # a row per range: as many as there are shuffle partitions
+    ranked = placed.join(F.broadcast(before), F.col("_range") == F.col("_r"))
+    return ranked.withColumn("rank", F.col("before") + F.col("_place")).drop("_range", "_r", "_place", "before")
 
 
-def assign(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, run: int = RUN, key: str = "doc_id",
+def assign(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, run: int | None = None, key: str = "doc_id",
            text: str = "text", source: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
     """``key, source, size, text_crc32, shard, slot`` (and the columns of ``carry``) per row.
 
-    ``slot`` numbers the rows of a shard from 0 without gaps.
+    ``slot`` numbers the rows of a shard from 0 without gaps. ``run`` is the number of rows in a range; if it is
+    not given there are as many ranges as the session has shuffle partitions.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
         F.col(key).alias("_key"), F.col(source).alias("_source"),
         (F.octet_length(body) + 1).cast("bigint").alias("_size"), F.crc32(body.cast("binary")).alias("_crc"),
         *[F.col(c).alias(f"_c_{c}") for c in carry])
-    rows = stored(rows.withColumn("_h", seeded(seed, F.col("_key"))), "shard-rows")
-    sources = rows.groupBy(F.col("_source").alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = stored(rows.withColumns({"_h": seeded(seed, F.col("_key")), "_no": F.monotonically_increasing_id()}), "shard-rows")
+    carried = rows.select("_no", *[f"`_c_{c}`" for c in carry])
     total = rows.count()
-    rows = rows.join(sources, F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s")
-
-    runs = F.greatest(F.lit(1), F.ceil(F.col("_n") / run))
-    rows = rows.withColumn("_run", F.least(F.floor(unit(F.col("_h")) * runs), runs - 1).cast("bigint"))
-    own = [F.col("_h"), F.col("_key"), F.col("_crc"), F.col("_size")]
-    rows = _ranked(rows, "_run", own, ["_source"])
-    rows = rows.withColumn("_f", (2 * F.col("rank") + 1) / (2 * F.col("_n"))).drop("rank", "_run")
-
-    runs = max(1, -(-total // run))
-    rows = rows.withColumn("_run", F.least(F.floor(F.col("_f") * runs), F.lit(runs - 1)).cast("bigint"))
-    rows = _ranked(rows, "_run", [F.col("_f"), F.col("_source").asc_nulls_last(), *own], [])
+    ranges = None if run is None else max(1, -(-total // run))
+    own = [F.col(c) for c in ("_h", "_key", "_crc", "_size", "_no")]
+    by_source = F.col("_source").asc_nulls_last()
+
+    rows = _ranked(rows.select("_key", "_source", "_size", "_crc", "_h", "_no"), [by_source, *own], ranges, "shard-sources")
+    sources = rows.groupBy(F.col("_source").alias("_s")).agg(F.count(F.lit(1)).alias("_n"), F.min("rank").alias("_first"))
+    rows = rows.join(sources, F.col("_source").eqNullSafe(F.col("_s")))
+    rows = rows.withColumn("_f", (2 * (F.col("rank") - F.col("_first")) + 1) / (2 * F.col("_n")))
+    rows = rows.drop("rank", "_s", "_n", "_first")
+
+    rows = _ranked(rows, [F.col("_f"), by_source, *own], ranges, "shard-ranks")
+    if carry:
+        rows = rows.join(carried, "_no")
     rows = rows.withColumn("shard", F.floor(F.col("rank") * shards / F.lit(max(1, total))).cast("bigint")
                            if total * shards >= 1 << 52 else F.expr(f"rank * {shards} div {max(1, total)}"))
     first = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
     return rows.select(
         F.col("_key").alias(key), F.col("_source").alias(source), F.col("_size").alias("size"),
         F.col("_crc").alias("text_crc32"), F.col("shard").cast("int").alias("shard"),
-        (F.col("rank") - first).cast("bigint").alias("slot"), *[F.col(f"_c_{c}").alias(c) for c in carry])
+        (F.col("rank") - first).cast("bigint").alias("slot"), *[F.col(f"`_c_{c}`").alias(c) for c in carry])
 
 
 def write(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED, key: str = "doc_id",
