@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from tripmart import schemas as S
 from tripmart.operators import bronze, gold, metrics, silver
 from tripmart.session import ensure_utc
-from tripmart.sources import readers, sinks
+from tripmart.sources import readers, sinks, versions
 from tripmart.sources.sinks import write_if_rows, write_if_schema
 
 TRIPS_DIR = "trips"
@@ -54,13 +54,14 @@ def run_bronze_zones(raw_zones: DataFrame, out_base: str,
 
 
 def run_bronze_trips(raw: DataFrame, out_base: str, run_ts: datetime | None = None,
-                     split_folders: bool = False, run_id: str | None = None) -> DataFrame:
+                     split_folders: bool = False, run_id: str | None = None, versioned: bool = False) -> DataFrame:
     """Raw trips -> ``trips/dq_status=*`` + ``_run_summary_*`` tables, one scan.
 
     Returns the unified metric table (``METRIC_SCHEMA``). With ``split_folders`` the splits are also
     written as folders of their own: ``pass`` (without flags), ``_rejects`` and ``_indeterminate``.
     Without a raw row no trips are written, and those of an older run are emptied. The counts are kept as
     ``_metric_state`` rows of ``run_id`` (the run's time if not given), which :func:`metrics.merged_metrics` adds up over runs.
+    With ``versioned`` the trips are a new version (:mod:`tripmart.sources.versions`) that is published once it is whole.
     """
     spark = raw.sparkSession
     ensure_utc(spark)
@@ -71,12 +72,18 @@ def run_bronze_trips(raw: DataFrame, out_base: str, run_ts: datetime | None = No
     obs = Observation("bronze_trip_metrics")
     path = f"{out_base}/{TRIPS_DIR}"
     if raw.isEmpty():  # cheaper than asking the flagged rows
-        sinks.replace_by_empty(spark, path, labelled.schema)
+        if versioned:
+            versions.write(spark.createDataFrame([], labelled.schema), path, (S.DQ_STATUS,))
+        else:
+            sinks.replace_by_empty(spark, path, labelled.schema)
         values = {}
     else:
+        target = versions.stage(path) if versioned else path
         with sinks.few_partition_values(spark):  # three statuses: no sort of the trips by status
-            labelled.observe(obs, *metrics.named(aggs)).write.mode("overwrite").partitionBy(S.DQ_STATUS).parquet(path)
+            labelled.observe(obs, *metrics.named(aggs)).write.mode("overwrite").partitionBy(S.DQ_STATUS).parquet(target)
         values = obs.get
+        if versioned:
+            versions.publish(spark, path, target, labelled.schema)
     if split_folders:
         for status, folder in S.SPLIT_DIRS.items():
             part = read_bronze(spark, out_base, status)
@@ -125,7 +132,12 @@ def read_bronze(spark: SparkSession, base: str, status: str = "pass") -> DataFra
     comes without the flags."""
     if not sinks.exists(spark, f"{base}/{TRIPS_DIR}"):
         return None
-    df = spark.read.parquet(f"{base}/{TRIPS_DIR}").where(F.col(S.DQ_STATUS) == status)
+    df = versions.read(spark, f"{base}/{TRIPS_DIR}")
+    if df is None:
+        if sinks.exists(spark, f"{base}/{TRIPS_DIR}/{versions.VERSIONS_DIR}"):  # a first run that was never published
+            return None
+        df = spark.read.parquet(f"{base}/{TRIPS_DIR}")
+    df = df.where(F.col(S.DQ_STATUS) == status)
     if status == "pass":
         drop = [c for c in df.columns if c.startswith(S.CHECK_PREFIX)] + [S.DQ_PASS, S.DQ_STATUS]
         return df.drop(*drop)
@@ -141,26 +153,35 @@ def curated_schema() -> T.StructType:
 
 
 def run_silver(spark: SparkSession, bronze_base: str, zones_path: str, out_base: str,
-               run_ts: datetime | None = None) -> dict[str, bool]:
+               run_ts: datetime | None = None, versioned: bool = False) -> dict[str, bool]:
     """Bronze pass + bronze zones -> ``curated`` + ``_run_summary_weekly``.
 
-    Without a passing trip nothing is written, and an older run's tables are emptied.
+    Without a passing trip nothing is written, and an older run's tables are emptied. With ``versioned`` the
+    curated trips are a new version that is published once it is whole (an empty one without a passing trip).
     """
     ensure_utc(spark)
     run_ts = run_ts or metrics.now_utc()
     curated_path, weekly_path = f"{out_base}/{S.CURATED_DIR}", f"{out_base}/{S.WEEKLY_DIR}"
     passed = read_bronze(spark, bronze_base, "pass")
     if passed is None or passed.isEmpty():  # curated is empty exactly when its input is
-        sinks.replace_by_empty(spark, curated_path, curated_schema())
         empty = spark.createDataFrame([], curated_schema())
+        if versioned:
+            versions.write(empty, curated_path)
+        else:
+            sinks.replace_by_empty(spark, curated_path, curated_schema())
         sinks.replace_by_empty(spark, weekly_path, silver.weekly_summary(empty, run_ts).schema)
         return {S.CURATED_DIR: False, S.WEEKLY_DIR: False}
     zones = readers.read_nonempty(spark, zones_path)
     if zones is None:  # no zone at all: every lookup finds nothing
         zones = spark.createDataFrame([], S.ZONE_SCHEMA)
-    silver.curate(passed, zones).write.mode("overwrite").parquet(curated_path)
+    curated = silver.curate(passed, zones)
+    if versioned:
+        versions.write(curated, curated_path)
+    else:
+        curated.write.mode("overwrite").parquet(curated_path)
     # A non-empty curated table has at least one week: no emptiness probe needed.
-    sinks.single_file(silver.weekly_summary(spark.read.parquet(curated_path), run_ts)).write.mode(
+    written = spark.read.parquet(versions.resolve(spark, curated_path) if versioned else curated_path)
+    sinks.single_file(silver.weekly_summary(written, run_ts)).write.mode(
         "overwrite").parquet(weekly_path)
     return {S.CURATED_DIR: True, S.WEEKLY_DIR: True}
 
@@ -170,11 +191,11 @@ def run_silver(spark: SparkSession, bronze_base: str, zones_path: str, out_base:
 # ---------------------------------------------------------------------------
 
 def run_gold(spark: SparkSession, silver_curated: str, gold_path: str, preview_base: str,
-             run_id: str | None = None, run_ts: datetime | None = None) -> DataFrame | None:
+             run_id: str | None = None, run_ts: datetime | None = None, versioned: bool = False) -> DataFrame | None:
     """Curated silver -> gold KPIs (partitioned by week), 6 CSV previews, JSON summary.
 
     Returns the run summary as written, or None when silver is missing or holds no row; then an older
-    run's outputs are emptied.
+    run's outputs are emptied. With ``versioned`` the KPIs are a new version that is published once it is whole.
     """
     ensure_utc(spark)
     run_id = run_id or datetime.now().strftime("%Y%m%d_%H%M%S")
@@ -185,7 +206,10 @@ def run_gold(spark: SparkSession, silver_curated: str, gold_path: str, preview_b
     silver_df = readers.read_nonempty(spark, silver_curated)
     if silver_df is None:
         none = gold.weekly_kpis(spark.createDataFrame([], curated_schema()), ordered=False)
-        sinks.replace_by_empty(spark, gold_path, none.schema)
+        if not versioned:
+            sinks.replace_by_empty(spark, gold_path, none.schema)
+        elif versions.current(spark, gold_path):
+            versions.write(none, gold_path, ("pickup_week_id",))
         for name, make in previews.items():
             sinks.replace_by_empty(spark, f"{preview_base}/{name}", make(none).schema, "csv")
         sinks.replace_by_empty(spark, summary_path, gold.run_summary(none, "", "", "", "").schema, "json")
@@ -194,7 +218,10 @@ def run_gold(spark: SparkSession, silver_curated: str, gold_path: str, preview_b
     # write and the seven small outputs instead of re-listing every week partition.
     kpis = gold.weekly_kpis(silver_df, ordered=False).persist()
     try:
-        sinks.write_gold(kpis, gold_path)
+        if versioned:
+            versions.write(kpis.repartition("pickup_week_id"), gold_path, ("pickup_week_id",))
+        else:
+            sinks.write_gold(kpis, gold_path)
         for name, make in previews.items():
             sinks.write_csv_preview(make(kpis), f"{preview_base}/{name}")
         sinks.write_json(gold.run_summary(kpis, run_id, stamp, silver_curated, gold_path), summary_path)

@@ -507,6 +507,8 @@ def _jobs_and_drift() -> dict[str, str]:
             f"FROM (SELECT *, coalesce({n} % 5 = 0, FALSE) AS short FROM zones_raw)"),
         "increment_curated": _increments("SELECT * FROM curated"),
         "increment_gold": _increments("SELECT * FROM kpis"),
+        "versioned_curated": _with("SELECT * FROM curated"),
+        "versioned_gold": _with("SELECT * FROM kpis"),
         "trip_metrics_merged": metric_rows(("counts", "nulls", "checks", "domain_range")),
         "gold_job_previews": _previews(),
         "gold_job_summary": _with(

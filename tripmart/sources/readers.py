@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart import schemas as S
 from tripmart.operators import gold
 from tripmart.session import scratch_path
-from tripmart.sources import drift, sinks
+from tripmart.sources import drift, sinks, versions
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -42,16 +42,22 @@ def first_available(spark: SparkSession, candidates: Sequence[str],
 
 
 def read_nonempty(spark: SparkSession, path: str) -> DataFrame | None:
-    """Parquet layer, or None when it is missing or holds no row (callers stop early)."""
+    """Parquet layer (its current version, if it has versions), or None when it is missing or holds no
+    row (callers stop early)."""
     if not sinks.exists(spark, path):
         return None
-    df = spark.read.parquet(path)
+    df = versions.read(spark, path)
+    if df is None:
+        if sinks.exists(spark, f"{path}/{versions.VERSIONS_DIR}"):  # a first run that was never published
+            return None
+        df = spark.read.parquet(path)
     return None if df.isEmpty() else df
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """Gold KPIs; the week-id partition column comes back last, as text."""
-    return spark.read.parquet(path)
+    df = versions.read(spark, path)
+    return spark.read.parquet(path) if df is None else df
 
 
 def read_preview_csv(spark: SparkSession, path: str) -> DataFrame | None:
