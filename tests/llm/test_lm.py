@@ -5,28 +5,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_cases import docs, empty, rows, words
 from tripmart.llm import lm
 from tripmart.llm.catalog import op2_context_tree
 
-DEPTH = 3
-
-
-def plain_counts(pairs):
-    """(context, bits so far) -> [zeros, ones] for all depths; a context is its bytes, farthest first."""
-    seen = defaultdict(lambda: [0, 0])
-    for pair, c in pairs.items():
-        data = pair + b" "
-        for i in range(1, len(data)):
-            for d in range(min(DEPTH, i) + 1):
-                path = 1
-                for k in range(7, -1, -1):
-                    bit = data[i] >> k & 1
-                    seen[data[i - d:i], path][bit] += c
-                    path = path << 1 | bit
-    return seen
 
 
 def kt(a, b):
@@ -34,16 +19,7 @@ def kt(a, b):
 
 
 class Plain:
-    """The weighted tree by recursion, nothing pruned."""
-
-    def __init__(self, pairs):
-        self.seen, self.longer = plain_counts(pairs), defaultdict(set)
-        for context, path in self.seen:
-            if context:
-                self.longer[context[1:], path].add(context)
-
-    def leaf(self, context):
-        return len(context) == DEPTH or len(context) > 0 and lm.STARTS[context[0]]
+    """The weighted tree by recursion over ``seen`` and ``longer``, nothing pruned."""
 
     def weighted(self, context, path):
         own = kt(*self.seen[context, path])
@@ -68,54 +44,6 @@ class Plain:
                 return sure + free * (w * p + (1 - w) * p)
             sure, free, context = sure + free * w * p, free * (1 - w), nxt
 
-    def score(self, pair):
-        data, total = pair + b" ", 0.0
-        for i in range(1, len(data)):
-            history, path = data[max(0, i - DEPTH):i], 1
-            for k in range(7, -1, -1):
-                bit = data[i] >> k & 1
-                one = self.one(history, path)
-                total += math.log10(one if bit else 1 - one)
-                path = path << 1 | bit
-        return total
-
-
-@pytest.fixture(scope="module")
-def pairs():
-    text = "the cat the hat a cat sat at the mat that hat thé thé mât été ".encode() * 2
-    return Counter(lm.tokens_of(text) + lm.tokens_of(b"a banana a cabana"))
-
-
-def tree_of(spark, pairs, least=0.0):
-    frame = spark.createDataFrame([(bytearray(p), c) for p, c in pairs.items()], "pair binary, c long")
-    return lm.fit(frame, DEPTH, least)
-
-
-def test_tree_equals_plain_recursion(spark, pairs):
-    tree, plain = tree_of(spark, pairs), Plain(pairs)
-    known = list(pairs)
-    assert tree.score(known) == pytest.approx([plain.score(p) for p in known], abs=1e-9)
-    other = [b" catnap", b" zebra", b" thehat", b" \n", "\xf5été".encode("latin-1")]
-    assert tree.score(other) == pytest.approx([plain.score(p) for p in other], abs=1e-9)
-
-
-def test_chances_of_all_bytes_sum_to_one(spark, pairs):
-    for least in (0.0, 0.01, 0.2):
-        tree = tree_of(spark, pairs, least)
-        for state in range(len(tree.keys)):
-            cost = tree.cost(np.full(256, state), np.arange(256))
-            assert (10 ** cost).sum() == pytest.approx(1.0)
-
-
-def test_accents():
-    text = "Ab é x".encode()
-    kinds = lm.tokens_of(text)
-    assert [k[1:] for k in kinds] == [b"ab", "é".encode(), b"x", b"\n"]
-    assert kinds[0][:1] == kinds[1][:1] == b" " and kinds[2][:1] == kinds[3][:1] != b" "
-    far = lm.tokens_of("é".encode() + b" x" * 40)
-    assert far[1][:1] != b" " and far[-1][:1] == b" "
-    assert lm.tokens_of(None) == [b" \n"] == lm.tokens_of(b" \t")
-
 
 def base_scores(texts):
     low = {k: words((t or "").translate({c: c + 32 for c in range(65, 91)})) for k, t in texts.items()}
@@ -246,3 +174,25 @@ def test_rare_contexts_are_kept(spark):
             streams[b"a aa aa"] += n // 3
             streams[b" aa aa "] += n // 3
     assert got[keys[0]].score == pytest.approx(Whole(streams, 6).score(stream("qzxwvkj", 6)), rel=1e-4)
+
+
+@pytest.mark.parametrize("depth", [3, 6])
+def test_chances_of_all_bytes_sum_to_one(spark, depth):
+    """In every context that training or a held-out text holds, the live path's chances of the 256 bytes sum to 1."""
+    texts = [t.encode().lower() + b" \n " for t in TEXTS]
+    keys, n = lm.tally([lm.grams(texts[:20], depth)], [np.ones(sum(map(len, texts[:20])), np.int64)])
+    contexts = np.unique(np.concatenate([keys, lm.grams(texts[20:] + [b"never seen ", b"the zzz "], depth)]) >> 8)
+    all_keys, c = lm.tally([keys, (contexts[:, None] << 8 | np.arange(256)).ravel()],
+                           [n, np.zeros(256 * len(contexts), np.int64)])
+    table = pa.table({"m": [len(all_keys)], "keys": [lm.squeezed(np.diff(all_keys, prepend=0))], "n": [lm.squeezed(c)]})
+    asks = spark.createDataFrame(table.to_pandas().assign(bucket=0, chunk=0))
+    cost = lm.gram_costs(all_keys, c, depth, lm.top_of(asks, depth))
+    chances = np.add.reduceat(10 ** cost, np.flatnonzero(np.diff(all_keys >> 8, prepend=-1)))
+    assert len(chances) == len(contexts) > 50
+    assert chances == pytest.approx(np.ones(len(contexts)))
+
+
+def test_other_depths_are_refused(spark):
+    for depth in (0, 2, 7):
+        with pytest.raises(ValueError, match="depth"):
+            lm.score(docs(spark), depth=depth)

@@ -18,9 +18,6 @@ The base score is the add-one unigram score of the same tokens. Words are counte
 texts; those with at least ``hot`` of all tokens (at most 1 / hot) are looked up in a broadcast
 table, the others by a join on a 64-bit hash.
 
-:class:`Tree` is the same mix in memory, over contexts that end at the word's start; tests hold it
-against a plain recursion.
-
 Cases: a null text counts as empty and is scored as its end alone; a null key counts as empty
 text in the training split; repeated rows are scored each, and train the model each; words never
 seen in training are coded by the contexts they share with others; without training rows every
@@ -48,33 +45,7 @@ HOT = 1e-5
 CHUNK, PIECE, GRAMS = 16_000_000, 2_000_000, 200_000
 #: Depth of the contexts whose sums meet on the driver.
 TOP = 2
-RECENT = 16
-SPACE = 0x20
 END = b"\n"
-#: Bytes that no word holds: no accent, and the accents' classes.
-ACCENTS = bytes([0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0xC0, 0xC1, *range(0xF5, 0x100)])
-STARTS = np.isin(np.arange(256), list(b" " + ACCENTS))
-_ASCII = bytes(range(128))
-
-
-def tokens_of(text: bytes | None) -> list[bytes]:
-    """Accent and token, for the words in lower case (A-Z only; bytes are split at the six ASCII
-    white-space bytes) and the end."""
-    text = text or b""
-    words = text.lower().split()
-    words.append(END)
-    if text.isascii():
-        return [b" " + w for w in words]
-    out, accent, age = [], b" ", 0
-    for w in words:
-        out.append(accent + w)
-        if not w.isascii():
-            accent, age = ACCENTS[(k := w.translate(None, _ASCII)[-1] % len(ACCENTS)):k + 1], 0
-        elif age < RECENT:
-            age += 1
-        else:
-            accent = b" "
-    return out
 
 
 # ---------------------------------------------------------------------------
@@ -147,62 +118,6 @@ def count_words(chunks: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("c").alias("c")).withColumn("h", F.xxhash64("word"))
 
 
-def contexts(pairs: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each coded byte of the pairs' words: the byte, its context's bytes (nearest in the lowest
-    place), the context's length (its farthest byte is the accent if shorter than ``depth``), and the
-    pair's number."""
-    data = np.frombuffer(b" ".join(pairs) + b" ", np.uint8)
-    size = np.array([len(p) + 1 for p in pairs])
-    start = np.zeros(len(data), bool)
-    start[np.cumsum(size) - size] = True
-    n = len(data)
-    context, length, alive = np.zeros(n, np.int64), np.zeros(n, np.int64), ~start
-    for j in range(1, depth + 1):
-        near, first = np.zeros(n, np.int64), np.zeros(n, bool)
-        near[j:], first[j:] = data[:n - j], start[:n - j]
-        context |= np.where(alive, near << (8 * (j - 1)), 0)
-        length += alive
-        alive = alive & ~first
-    coded = np.flatnonzero(~start)
-    return data[coded].astype(np.int64), context[coded], length[coded], np.repeat(np.arange(len(pairs)), size - 1)
-
-
-def count_contexts(words: DataFrame, depth: int) -> DataFrame:
-    """``d, context, byte, n`` for the contexts of every depth, from ``pair, c``."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out():
-            keys, place = np.unique(np.concatenate(held[0]), return_inverse=True)
-            n = np.bincount(place, np.concatenate(held[2])).astype(np.int64)
-            lengths = np.zeros(len(keys), np.int64)
-            lengths[place] = np.concatenate(held[1])
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(lengths), pa.array(n)], ["key", "length", "n"])
-
-        held: tuple[list, list, list] = ([], [], [])
-        size = 0
-        for batch in batches:
-            ws, cs = batch.column(0).to_pylist(), np.asarray(batch.column(1))
-            if not ws:
-                continue
-            byte, context, length, owner = contexts(ws, depth)
-            held[0].append(context << 8 | byte)
-            held[1].append(length)
-            held[2].append(cs[owner])
-            size += len(byte)
-            if size > 2_000_000:
-                yield out()
-                held, size = ([], [], []), 0
-        if size:
-            yield out()
-
-    grams = words.select("pair", "c").mapInArrow(work, "key bigint, length bigint, n bigint")
-    grams = grams.groupBy("key", "length").agg(F.sum("n").alias("n"))
-    each = grams.withColumn("d", F.explode(F.expr("sequence(0L, length)")))
-    mask = F.expr("CASE WHEN d = 0 THEN 0L ELSE shiftrightunsigned(-1L, cast(64 - 8 * d AS int)) END")
-    return (each.select("d", F.shiftrightunsigned("key", 8).bitwiseAND(mask).alias("context"),
-                        F.col("key").bitwiseAND(F.lit(255)).alias("byte"), "n")
-            .groupBy("d", "context", "byte").agg(F.sum("n").alias("n")))
-
-
 # ---------------------------------------------------------------------------
 # The tree
 # ---------------------------------------------------------------------------
@@ -221,141 +136,6 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - math.log(math.pi) - _log_gamma(zeros + ones + 1.0)
 
 
-class Tree:
-    """The weighted tree: contexts (sorted by depth and bytes), the child contexts' numbers, and for
-    every binary decision seen in a context the mixed probability of a 1."""
-
-    def __init__(self, depth: int, d: np.ndarray, context: np.ndarray, byte: np.ndarray, n: np.ndarray):
-        self.depth = depth
-        key = d << 56 | context
-        self.keys, place = np.unique(key, return_inverse=True)  # depth 0 first
-        depths, bytes_ = self.keys >> 56, self.keys & ((1 << 56) - 1)
-        count = len(self.keys)
-        shorter = np.where(depths > 0, bytes_ & ((1 << (8 * np.maximum(depths - 1, 0))) - 1), 0)
-        self.parent = np.searchsorted(self.keys, np.maximum(depths - 1, 0) << 56 | shorter)
-        farthest = (bytes_ >> (8 * np.maximum(depths - 1, 0))) & 255
-        leaf = (depths == depth) | ((depths > 0) & STARTS[farthest])
-        # the binary decisions: 1, then the bits so far
-        level = np.arange(8)
-        path = (1 << level)[None, :] | (byte[:, None] >> (8 - level)[None, :])
-        bit = (byte[:, None] >> (7 - level)[None, :]) & 1
-        self.nodes, at = np.unique((place[:, None] << 8 | path).ravel(), return_inverse=True)
-        ones = np.bincount(at, (n[:, None] * bit).ravel(), len(self.nodes))
-        zeros = np.bincount(at, (n[:, None] * (1 - bit)).ravel(), len(self.nodes))
-        owner = self.nodes >> 8
-        up = np.searchsorted(self.nodes, self.parent[owner] << 8 | self.nodes & 255) if count else owner
-        own, kt = log_kt(zeros, ones), (ones + 0.5) / (zeros + ones + 1)
-        whole, longer = own.copy(), np.zeros(len(own))
-        rest0, rest1 = zeros.copy(), ones.copy()
-        weight, mixed = np.ones(len(own)), kt.copy()
-        node_depth, node_leaf = depths[owner], leaf[owner]
-        for level_ in range(depth, -1, -1):
-            here = np.flatnonzero(node_depth == level_)
-            inner = here[~node_leaf[here]]
-            pooled = rest0[inner] + rest1[inner] > 0
-            longer[inner] += np.where(pooled, log_kt(rest0[inner], rest1[inner]), 0.0)
-            whole[inner] = np.logaddexp(own[inner], longer[inner]) - math.log(2)
-            weight[inner] = np.exp(own[inner] - math.log(2) - whole[inner])
-            if level_:
-                np.add.at(longer, up[here], whole[here])
-                np.subtract.at(rest0, up[here], zeros[here])
-                np.subtract.at(rest1, up[here], ones[here])
-        sure, free = np.zeros(len(own)), np.ones(len(own))  # what shorter contexts add, and leave
-        for level_ in range(depth + 1):
-            here = np.flatnonzero(node_depth == level_)
-            if level_:
-                above = up[here]
-                sure[here] = sure[above] + free[above] * weight[above] * kt[above]
-                free[here] = free[above] * (1 - weight[above])
-            left = rest0[here] + rest1[here]
-            pooled = np.where(left > 0, (rest1[here] + 0.5) / (left + 1), kt[here])
-            inside = np.where(node_leaf[here], kt[here], weight[here] * kt[here] + (1 - weight[here]) * pooled)
-            mixed[here] = sure[here] + free[here] * inside
-        self.one = mixed.astype(np.float64)
-        # the context one byte longer at the near end, by (context, byte)
-        deeper = np.flatnonzero(depths > 0)
-        without = np.searchsorted(self.keys, (depths[deeper] - 1) << 56 | bytes_[deeper] >> 8)
-        held = (without < count)
-        deeper, without = deeper[held], without[held]
-        same = self.keys[without] == ((depths[deeper] - 1) << 56 | bytes_[deeper] >> 8)
-        deeper, without = deeper[same], without[same]
-        order = np.argsort(moves := without << 8 | bytes_[deeper] & 255)
-        self.moves, self.moved = moves[order], deeper[order]
-
-    def step(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
-        """The longest context after one more byte."""
-        out = np.zeros(len(state), np.int64)
-        todo, at = np.arange(len(state)), state.copy()
-        while len(todo):
-            key = at << 8 | byte[todo]
-            place = np.searchsorted(self.moves, key)
-            place[place == len(self.moves)] = 0
-            hit = self.moves[place] == key if len(self.moves) else np.zeros(len(key), bool)
-            if len(self.moves):
-                out[todo[hit]] = self.moved[place[hit]]
-            root = ~hit & (at == 0)
-            keep = ~hit & ~root
-            todo, at = todo[keep], self.parent[at[keep]]
-        return out
-
-    def cost(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
-        """log10 of the byte's probability after the context."""
-        total = np.zeros(len(state))
-        for level in range(8):
-            path = 1 << level | byte >> (8 - level)
-            bit = byte >> (7 - level) & 1
-            one = np.full(len(state), 0.5)
-            todo, at = np.arange(len(state)), state
-            while len(todo) and len(self.nodes):
-                key = at << 8 | path[todo]
-                place = np.searchsorted(self.nodes, key)
-                place[place == len(self.nodes)] = 0
-                hit = self.nodes[place] == key
-                one[todo[hit]] = self.one[place[hit]]
-                keep = ~hit & (at > 0)
-                todo, at = todo[keep], self.parent[at[keep]]
-            total += np.log10(np.where(bit == 1, one, 1 - one))
-        return total
-
-    def score(self, pairs: list[bytes]) -> np.ndarray:
-        """log10 of each pair's word's probability, its closing space included."""
-        if not pairs:
-            return np.zeros(0)
-        data = np.frombuffer(b" ".join(pairs) + b" ", np.uint8).astype(np.int64)
-        size = np.array([len(p) + 1 for p in pairs])
-        first = np.cumsum(size) - size
-        order = np.argsort(-size, kind="stable")
-        states = np.zeros(len(data), np.int64)
-        state = np.zeros(len(pairs), np.int64)
-        for i in range(int(size.max())):  # all words byte by byte, the longest first
-            alive = int(np.searchsorted(-size[order], -i, side="left"))
-            at = first[order[:alive]] + i
-            states[at] = state[:alive]
-            if len(self.keys):
-                state[:alive] = self.step(state[:alive], data[at])
-        kinds, place = np.unique(states << 8 | data, return_inverse=True)
-        each = self.cost(kinds >> 8, kinds & 255)[place]
-        each[first] = 0  # the accent is given, not coded
-        return np.add.reduceat(each, first)
-
-
-def fit(words: DataFrame, depth: int = DEPTH, least: float = 0.0) -> Tree:
-    """The tree of a small table of counted words; the driver gets the contexts that hold at least
-    ``least`` of all coded bytes."""
-    counted = stored(count_contexts(words.where("c > 0"), depth), "lm-contexts")
-    totals = counted.groupBy("d", "context").agg(F.sum("n").alias("total"))
-    coded = counted.where("d = 0").agg(F.sum("n")).first()[0] or 0
-    frequent = totals.where(F.col("total") >= F.lit(least * coded)).select("d", "context")
-    kept = counted.join(F.broadcast(frequent), ["d", "context"], "left_semi").toArrow()
-    d, context, byte, n = (np.asarray(kept.column(c).combine_chunks()).astype(np.int64) if kept.num_rows
-                           else np.zeros(0, np.int64) for c in ("d", "context", "byte", "n"))
-    return Tree(depth, d, context, byte, n.astype(np.float64))
-
-
-# ---------------------------------------------------------------------------
-# The tree over all grams
-# ---------------------------------------------------------------------------
-
 _SMALL = np.arange(4096.0)
 _HALF, _WHOLE = _log_gamma(_SMALL + 0.5) - 0.5 * math.log(math.pi), _log_gamma(_SMALL + 1.0)
 
@@ -598,7 +378,10 @@ def text_scores(chunks: DataFrame, depth: int) -> DataFrame:
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 7, held_fold: int = 2,
           depth: int = DEPTH, hot: float = HOT) -> DataFrame:
-    """``key, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte``; ``depth`` from 3 to 6."""
+    """``key, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte``; ``depth`` from 3 to 6 (six
+    bytes of context, one more and the node's bits fill 64 bits)."""
+    if not TOP < depth <= DEPTH:
+        raise ValueError(f"depth must be from {TOP + 1} to {DEPTH}")
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(key).alias("k"),
