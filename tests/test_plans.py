@@ -100,17 +100,25 @@ def test_weekly_write_aggregates_below_the_single_partition(spark, sf_small):
 
 
 def test_bronze_write_has_no_sort(spark, sf_small, tmp_path):
+    """The plan of a write into a table partitioned by status sorts by it, but not inside ``few_partition_values``."""
     from tripmart.operators import bronze
     from tripmart.sources import fixtures as fx, sinks
 
-    plans = []
     flagged = bronze.flag_trips(fx.raw_trips(spark, sf_small)).withColumn("dq_status", bronze.dq_status())
-    with sinks.few_partition_values(spark):
-        flagged.createOrReplaceTempView("flagged_for_write")
-        plans.append(spark.sql(f"EXPLAIN INSERT OVERWRITE DIRECTORY '{tmp_path}/x' USING parquet SELECT * FROM flagged_for_write").first()[0])
-        flagged.write.mode("overwrite").partitionBy("dq_status").parquet(f"{tmp_path}/y")
+    flagged.createOrReplaceTempView("flagged_for_write")
+    columns = ", ".join(f"`{n}` {t}" for n, t in flagged.dtypes)
+    spark.sql(f"CREATE TABLE flagged_target ({columns}) USING parquet PARTITIONED BY (dq_status) LOCATION '{tmp_path}/x'")
+    try:
+        def write_plan():
+            return spark.sql("EXPLAIN INSERT OVERWRITE TABLE flagged_target SELECT * FROM flagged_for_write").first()[0]
+
+        assert "Sort [dq_status" in write_plan()
+        with sinks.few_partition_values(spark):
+            assert "Sort [" not in write_plan()
+            flagged.write.mode("overwrite").partitionBy("dq_status").parquet(f"{tmp_path}/y")
+    finally:
+        spark.sql("DROP TABLE flagged_target")
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
-    assert all("Sort [" not in p for p in plans)
     assert spark.read.parquet(f"{tmp_path}/y").count() == flagged.count()
 
 

@@ -230,6 +230,15 @@ def _merged_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.merged_metrics(spark.read.parquet(*[f"{base}/run{i}/{S.METRIC_STATE_DIR}" for i in range(3)]))
 
 
+def _written_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Row counts of written layers, from their files' footers."""
+    base = scratch_path(spark, "counted-layers")
+    jobs.run_all(spark, trips_raw(spark, sf), zones_raw(spark, sf), base)
+    return readers.written_row_counts(spark, {
+        "bronze_trips": f"{base}/bronze/trips/{jobs.TRIPS_DIR}", "silver_curated": f"{base}/silver/trips/{S.CURATED_DIR}",
+        "gold_kpis": f"{base}/gold/trips", "missing": f"{base}/nothing"})
+
+
 # -- layers that change in one step ---------------------------------------------
 
 def _versioned(spark: SparkSession, sf: str, gold_too: bool = False) -> str:
@@ -398,6 +407,7 @@ _QUERIES: dict[str, Query] = {
     "zone_job_nulls": _zone_job(S.ZONE_NULLS_DIR),
     "trip_job_metrics": _trip_job,
     "silver_job_curated": lambda s, sf: s.read.parquet(f"{_silver_job(s, sf)}/{S.CURATED_DIR}"),
+    "layer_row_counts_written": _written_counts,
     "silver_job_weekly": _silver_report("weekly"),
     "silver_job_overview": _silver_report("overview"),
     "silver_job_sample": _silver_report("sample"),

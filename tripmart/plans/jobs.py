@@ -8,9 +8,9 @@ Scan economy at scale:
   ``DataFrame.observe``. Observed metrics of a result stage are merged once per
   partition, so a retried task does not count twice. The metric tables are then
   formatted from that one row.
-* **silver** - reads only the pass partition and the columns it needs, one shuffle
-  (de-duplication); the weekly summary reads the *written* curated table (four
-  columns) instead of recomputing the lineage.
+* **silver** - reads only the pass partition and the columns it needs, two shuffles of
+  narrow rows (de-duplication, then ranges of weeks, so that readers can skip row groups); the weekly
+  summary reads the *written* curated table (four columns) instead of recomputing the lineage.
 * **gold** - aggregates the curated table (partial aggregation) once, keeps the small
   KPI table (weeks x boroughs) in memory, writes it partitioned by week and derives the
   previews and the run summary from it.
@@ -54,7 +54,8 @@ def run_bronze_zones(raw_zones: DataFrame, out_base: str,
 
 
 def run_bronze_trips(raw: DataFrame, out_base: str, run_ts: datetime | None = None,
-                     split_folders: bool = False, run_id: str | None = None, versioned: bool = False) -> DataFrame:
+                     split_folders: bool = False, run_id: str | None = None, versioned: bool = False,
+                     balanced: bool = False) -> DataFrame:
     """Raw trips -> ``trips/dq_status=*`` + ``_run_summary_*`` tables, one scan.
 
     Returns the unified metric table (``METRIC_SCHEMA``). With ``split_folders`` the splits are also
@@ -62,6 +63,10 @@ def run_bronze_trips(raw: DataFrame, out_base: str, run_ts: datetime | None = No
     Without a raw row no trips are written, and those of an older run are emptied. The counts are kept as
     ``_metric_state`` rows of ``run_id`` (the run's time if not given), which :func:`metrics.merged_metrics` adds up over runs.
     With ``versioned`` the trips are a new version (:mod:`tripmart.sources.versions`) that is published once it is whole.
+
+    Each task writes up to three files. With ``balanced`` the flagged trips are first dealt out by status and size, so the
+    number of files follows from the bytes and not from the number of input splits, at the price of one shuffle
+    of all trips; the counts are then taken behind that exchange, still in the stage that writes.
     """
     spark = raw.sparkSession
     ensure_utc(spark)
@@ -69,6 +74,8 @@ def run_bronze_trips(raw: DataFrame, out_base: str, run_ts: datetime | None = No
     flagged = bronze.flag_trips(raw)
     aggs = metrics.trip_metric_aggregates(flagged)
     labelled = flagged.withColumn(S.DQ_STATUS, bronze.dq_status())
+    if balanced:
+        labelled = labelled.hint("rebalance", F.col(S.DQ_STATUS))
     obs = Observation("bronze_trip_metrics")
     path = f"{out_base}/{TRIPS_DIR}"
     if raw.isEmpty():  # cheaper than asking the flagged rows
@@ -174,7 +181,7 @@ def run_silver(spark: SparkSession, bronze_base: str, zones_path: str, out_base:
     zones = readers.read_nonempty(spark, zones_path)
     if zones is None:  # no zone at all: every lookup finds nothing
         zones = spark.createDataFrame([], S.ZONE_SCHEMA)
-    curated = silver.curate(passed, zones)
+    curated = silver.curate_by_week(passed, zones)
     if versioned:
         versions.write(curated, curated_path)
     else:

@@ -606,6 +606,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT 'bronze_pass', count(*) FROM trip_pass UNION ALL "
             "SELECT 'silver_curated', count(*) FROM curated UNION ALL "
             "SELECT 'gold_kpis', count(*) FROM kpis"),
+        "layer_row_counts_written": _with(
+            "SELECT 'bronze_trips' AS layer, count(*) AS rows FROM trips_raw UNION ALL "
+            "SELECT 'silver_curated', count(*) FROM curated UNION ALL "
+            "SELECT 'gold_kpis', count(*) FROM kpis UNION ALL SELECT 'missing', 0"),
         "layer_row_delta": _with(
             "SELECT 'bronze_pass' AS layer_before, 'silver_curated' AS layer_after, "
             "b.n AS rows_before, a.n AS rows_after, a.n - b.n AS row_delta "

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +55,35 @@ def read_nonempty(spark: SparkSession, path: str) -> DataFrame | None:
     return None if df.isEmpty() else df
 
 
+@contextmanager
+def footer_counts(spark: SparkSession) -> Iterator[None]:
+    """Inside, Parquet is read by Spark's v2 source, which answers counts of rows (also by partition column)
+    and least and greatest values from the files' footers. Plans made inside must also be run inside."""
+    settings = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def count_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(rows) of a written Parquet table or its current version; inside :func:`footer_counts` no page is read."""
+    return spark.read.parquet(versions.resolve(spark, path)).groupBy().count().withColumnRenamed("count", "rows")
+
+
+def written_row_counts(spark: SparkSession, layers: Mapping[str, str]) -> DataFrame:
+    """(layer, rows) of written layers, from their footers; a missing layer has 0 rows. The counts are one
+    number a layer, so they are taken at once."""
+    with footer_counts(spark):
+        # files without a row give no count at all, so the sum of counts is null
+        rows = [(name, (sinks.exists(spark, path) and count_rows(spark, path).first()[0]) or 0) for name, path in layers.items()]
+    return spark.createDataFrame(rows, "layer string, rows bigint")
+
+
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """Gold KPIs; the week-id partition column comes back last, as text."""
     df = versions.read(spark, path)
