@@ -39,6 +39,44 @@ def test_sparse_sites_stay_near_the_level_above(spark):
     assert got[None, None].n == 1
 
 
+def test_sites_equal_plain_arithmetic(spark):
+    rng = random.Random(5)
+    data = [(rng.choice(["a", "b", "c", None]), rng.choice(["x", "y", None]), rng.uniform(-4, 4)) for _ in range(400)]
+    data += [("hot", "x", rng.uniform(0, 4)) for _ in range(300)]
+    good = [(h, p, 1 / (1 + math.exp(-e))) for h, p, e in data]
+
+    def strength(groups):  # (rate, mean, n)
+        spread = sum((r - m) ** 2 for r, m, _ in groups) - sum(m * (1 - m) / n for _, m, n in groups)
+        return min(1e6, max(1.0, sum(m * (1 - m) for _, m, _ in groups) / spread - 1)) if spread > 1e-9 else 1e6
+
+    overall = sum(g for _, _, g in good) / len(good)
+    hosts = {h: [g for hh, _, g in good if hh == h] for h, _, _ in good}
+    s = strength([(sum(g) / len(g), overall, len(g)) for g in hosts.values()])
+    host_rate = {h: (sum(g) + overall * s) / (len(g) + s) for h, g in hosts.items()}
+    paths = {k: [g for h, p, g in good if (h, p) == k] for k in {(h, p) for h, p, _ in good}}
+    s = strength([(sum(g) / len(g), host_rate[k[0]], len(g)) for k, g in paths.items()])
+    got = {(r.host, r.path): r for r in quality.sites(site_rows(spark, data)).collect()}
+    assert set(got) == set(paths)
+    for k, g in paths.items():
+        assert got[k].n == len(g) and got[k].host_rate == pytest.approx(host_rate[k[0]])
+        assert got[k].path_rate == pytest.approx((sum(g) + host_rate[k[0]] * s) / (len(g) + s))
+
+
+def test_repeated_keys_are_one_row_of_the_sample(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 12)], "doc_id long, quality int")
+    texts = spark.createDataFrame([(i, "s", "en", f"{'good text. ' * i}" if i % 2 else "# # bad |") for i in range(1, 12)],
+                                  "doc_id long, source string, lang string, text string")
+    model, again = quality.fit(texts, labels), quality.fit(texts.unionAll(texts).unionAll(texts), labels)
+    assert np.array_equal(model.weights, again.weights) and model.bias == again.bias
+
+
+def test_scores_equal_the_posterior_of_kept_rows(spark, sf_small):
+    texts, labels = (spark.read.parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "labels"))
+    one = {r.doc_id: r.score for r in quality.score(texts, labels).collect()}
+    two = {r.doc_id: r.posterior for r in quality.with_posterior(texts, labels).select("row.doc_id", "posterior").collect()}
+    assert set(one) == set(two) and all(one[k] == pytest.approx(two[k]) for k in one)
+
+
 def test_sites_alike_share_the_global_rate(spark):
     rng = random.Random(1)
     data = [(f"h{i % 50}", "p", 6.0 if rng.random() < 0.8 else -6.0) for i in range(500)]

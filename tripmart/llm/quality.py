@@ -8,8 +8,8 @@ and among paths (method of moments for a beta prior), so sparse sites stay at th
 document's posterior is the path's odds times its likelihood ratio; it is kept at 0.5 or more.
 
 The classifier is fitted on a bounded sample of labels (``sample`` of each class at most, by seeded
-number), of those whose crc32(key as text) mod ``folds`` is not 0. Everything else covers all rows:
-two scans, and one aggregate per path with partial sums, so a host with a third of all rows sends
+number), of those whose crc32(key as text) mod ``folds`` is not 0, and on one row of each sampled key. Everything else covers all rows:
+two scans (one where only scores are asked), and one aggregate per path with partial sums, so a host with a third of all rows sends
 one row per task.
 
 Cases: null or empty texts have the features of an empty text; null hosts and paths are sites of
@@ -82,6 +82,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(
         F.broadcast(chosen), F.col("k") == F.col("_k")).select("k", "y", describe("text").alias("x"))
+    rows = rows.groupBy("k", "y").agg(F.min("x").alias("x"))  # one row a key, however often the key is repeated
     got = sorted((str(r.k), r.y, list(r.x)) for r in rows.collect())
     y = np.array([g[1] for g in got], float)
     width = len(FEATURES)
@@ -143,26 +144,32 @@ def sites(rows: DataFrame) -> DataFrame:
         (F.col("good") + F.col("host_rate") * strength) / (F.col("n") + strength)).alias("path_rate"))
 
 
+def _judged(every: DataFrame, host: str, path: str) -> DataFrame:
+    """``host_rate, path_rate, posterior`` for packed rows with their ``evidence``."""
+    rows = every.select(field(host).alias("host"), field(path).alias("path"), "evidence")
+    found = stored(sites(rows), "sites").select("host", "path", "host_rate", "path_rate")
+    out = every.join(found, field(host).eqNullSafe(F.col("host")) & field(path).eqNullSafe(F.col("path")), "left")
+    odds = F.col("path_rate") / (1 - F.col("path_rate")) * F.exp("evidence")
+    return out.withColumn("posterior", odds / (1 + odds)).drop("host", "path")
+
+
 def with_posterior(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
                    host: str = "source", path: str = "lang", folds: int = FOLDS) -> DataFrame:
     """The rows packed as ``row``, with ``evidence, host_rate, path_rate, posterior``. Texts are read
     twice and never shuffled unless the sites are too many for Spark's own broadcast limit."""
-    spark = docs.sparkSession
     model = fit(docs, labels, key, text, folds=folds)
-    evidence = evidence_column(spark, model, text)
-    rows = docs.select(F.col(host).alias("host"), F.col(path).alias("path"), evidence.alias("evidence"))
-    found = stored(sites(rows), "sites").select("host", "path", "host_rate", "path_rate")
-    every = packed(docs).withColumn("evidence", evidence_column(spark, model, field(text)))
-    out = every.join(found, field(host).eqNullSafe(F.col("host")) & field(path).eqNullSafe(F.col("path")), "left")
-    odds = F.col("path_rate") / (1 - F.col("path_rate")) * F.exp("evidence")
-    return out.withColumn("posterior", odds / (1 + odds)).drop("host", "path")
+    return _judged(packed(docs).withColumn("evidence", evidence_column(docs.sparkSession, model, field(text))), host, path)
 
 
 def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
           path: str = "lang", least: float = 0.5, folds: int = FOLDS) -> DataFrame:
-    """``key, held_out, evidence, host_rate, path_rate, score, kept`` per row."""
-    narrow = docs.select(key, text, host, path)
-    out = with_posterior(narrow, labels, key, text, host, path, folds)
+    """``key, held_out, evidence, host_rate, path_rate, score, kept`` per row. The evidence of each text is computed
+    once, into a written table without texts."""
+    model = fit(docs, labels, key, text, folds=folds)
+    every = packed(docs.select(key, host, path, text)).select(
+        F.struct(*[field(c).alias(c) for c in (key, host, path)]).alias("row"),
+        evidence_column(docs.sparkSession, model, field(text)).alias("evidence"))
+    out = _judged(stored(every, "evidence"), host, path)
     return out.select(field(key).alias(key), "evidence", "host_rate", "path_rate", F.col("posterior").alias("score"),
                       (F.col("posterior") >= least).alias("kept")).withColumn("held_out", fold(key, folds) == 0)
 
