@@ -125,3 +125,47 @@ def test_weak_signs_keep_their_order():
     assert scores == sorted(scores) and scores[-1] < 0.5 and scores[0] < scores[1]
     strong = toxicity.Scorer(toxicity.Model(-4.0, {"bad": 3.0, "vile": 5.0}, 0.01))
     assert strong.text("bad. " * 50 + "vile") >= 0.5
+
+
+def test_training_minimises_the_plain_likelihood():
+    rng = random.Random(4)
+    y, flat, ends = [], [], []
+    for d in range(60):
+        bag, stops = [], []
+        for _ in range(rng.randint(0, 4)):
+            bag += [rng.randrange(5) for _ in range(rng.randint(1, 2))]
+            stops.append(len(bag))
+        flat.append(bag)
+        ends.append(stops)
+        y.append(int(0 in bag or rng.random() < 0.1))
+    weight = 0.7
+    model = toxicity._train(y, flat, ends, list("abcde"), weight, rounds=4000)
+
+    def soft(z):
+        return np.log1p(np.exp(z))
+
+    def loss(w, b, c):
+        total = 0.03 / 2 * sum(x * x for x in w) + 0.005 * ((b + 8) ** 2 + (c + 8) ** 2)
+        for label, bag, stops in zip(y, flat, ends):
+            hazard, before = soft(c), 0
+            for s in stops:
+                hazard += soft(b + sum(w[i] for i in bag[before:s]))
+                before = s
+            total += -np.log(1 - np.exp(-hazard)) if label else weight * hazard
+        return total
+
+    w = [model.weights.get(x, 0.0) for x in "abcde"]
+    point = [*w, model.bias, np.log(model.noise / (1 - model.noise))]
+    best = loss(point[:5], *point[5:])
+    for i in range(7):
+        for step in (-0.3, -0.05, 0.05, 0.3):
+            moved = list(point)
+            moved[i] = max(0.0, moved[i] + step) if i < 5 else moved[i] + step
+            assert loss(moved[:5], *moved[5:]) > best - 1e-3
+    assert w[0] == max(w) and w[0] > 1
+
+
+def test_repeated_keys_are_one_text_of_the_sample(spark):
+    table, _ = planted(n=120)
+    texts, labels = frames(spark, table)
+    assert toxicity.fit(texts, labels) == toxicity.fit(texts.unionAll(texts).unionAll(texts), labels)

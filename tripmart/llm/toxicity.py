@@ -141,7 +141,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         chosen = part if chosen is None else chosen.unionByName(part)
     chosen = stored(chosen.select(F.col("k").alias("_k"), "y"), "toxic-sample")
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(
-        F.broadcast(chosen), F.col("k") == F.col("_k")).select("k", "y", "text")  # 3 * sample keys at most
+        F.broadcast(chosen), F.col("k") == F.col("_k"))
+    # One text a key, however often the key is repeated: 3 * sample texts at most, read from the corpus once.
+    rows = stored(rows.groupBy("k", "y").agg(F.min("text").alias("text")), "toxic-texts")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
