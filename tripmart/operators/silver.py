@@ -12,6 +12,7 @@ columns need a session in UTC; another zone is an error.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -156,33 +157,53 @@ def finalize(df: DataFrame) -> DataFrame:
     return fill_missing(deduped, S.SILVER_ORDER).select(*S.SILVER_ORDER)
 
 
-#: The ride id as 32 bytes: half of what its hex text takes in the exchange.
-RIDE_KEY = "__ride_key"
+#: The pick-up second and whether a total is minus zero: with vendor, locations and total what the ride id is made of.
+RIDE_KEY, MINUS_ZERO = "__ride_key", "__minus_zero"
+IDENTITY = [RIDE_KEY, "vendor_id", "pu_location_id", "do_location_id", "total_amount", MINUS_ZERO]
 
 
-def keyed(pass_trips: DataFrame) -> DataFrame:
-    """The 20 conformed columns and the ride key."""
+def keyed(pass_trips: DataFrame, columns: Sequence[str] = SILVER_NAMES) -> DataFrame:
+    """The conformed columns that :func:`first_rides` needs to give ``columns``, and the ride's identity.
+
+    Two trips have the same ride id exactly when the identity is equal: the id's text holds the time to the second, and the
+    week follows from it; minus zero and zero are equal numbers with different texts. The digest itself
+    is made after the exchange, for the rides that are kept, and only where it is asked for.
+    """
     ensure_utc(pass_trips.sparkSession)
     conformed = standardize_trips(pass_trips).select(*SILVER_NAMES)
-    # The exchange carries the 32-byte digest instead of its 64-character hex text and
-    # no week id; both are rebuilt after it (the same values, one-to-one).
-    return conformed.withColumn(RIDE_KEY, F.unhex(ride_id(
-        F.col("vendor_id"), F.col("pickup_datetime"), week_id(F.col("pickup_datetime")),
-        F.col("pu_location_id"), F.col("do_location_id"), F.col("total_amount"))))
+    total = F.col("total_amount")
+    return conformed.select(*_carried(columns), F.col("pickup_datetime").cast("long").alias(RIDE_KEY),
+                            ((total == 0) & total.cast("string").startswith("-")).alias(MINUS_ZERO))
+
+
+def _ties(columns: Sequence[str]) -> list[str]:
+    """The conformed columns that choose among the copies of a ride, up to the last of ``columns``: among rows that
+    are equal in these, the later ones change nothing that is asked for. The identity is equal in a group (the pick-up time isn't)."""
+    free = [n for n in SILVER_NAMES if n not in IDENTITY]
+    return free[:max((free.index(c) for c in columns if c in free), default=0) + 1]
+
 
+def _carried(columns: Sequence[str]) -> list[str]:
+    ties = _ties(columns)
+    return [n for n in SILVER_NAMES if n in IDENTITY or n in ties]
 
-def first_rides(rides: DataFrame) -> DataFrame:
-    """One row per ride key, the first by the conformed columns, with the ``ride_id`` as text."""
-    # The key holds vendor, locations and total, so these are equal in a group and need no tie-break
-    # (the pick-up time does: the key cuts it to seconds).
-    ties = [n for n in SILVER_NAMES if n not in ("vendor_id", "pu_location_id", "do_location_id", "total_amount")]
-    return (keep_first(rides, [RIDE_KEY], ascending(ties))
-            .withColumn("ride_id", F.lower(F.hex(RIDE_KEY))).drop(RIDE_KEY))
+
+def first_rides(rides: DataFrame, columns: Sequence[str] = SILVER_NAMES) -> DataFrame:
+    """One row per ride, the first by the conformed columns: ``columns`` of it and those it is chosen by."""
+    return keep_first(rides, IDENTITY, ascending(_ties(columns))).drop(RIDE_KEY, MINUS_ZERO)
+
+
+def named_rides(rides: DataFrame) -> DataFrame:
+    """Conformed rides with their ``ride_id`` as text."""
+    return rides.withColumn("ride_id", ride_id(
+        F.col("vendor_id"), F.col("pickup_datetime"), week_id(F.col("pickup_datetime")),
+        F.col("pu_location_id"), F.col("do_location_id"), F.col("total_amount")))
 
 
-def conform(pass_trips: DataFrame) -> DataFrame:
-    """Bronze pass trips -> one row per ``ride_id`` with the 20 conformed columns."""
-    return first_rides(keyed(pass_trips))
+def conform(pass_trips: DataFrame, columns: Sequence[str] = SILVER_NAMES) -> DataFrame:
+    """Bronze pass trips -> one row per ``ride_id`` with the 20 conformed columns. A report that names the ``columns`` it reads
+    gets the same rows with fewer columns to shuffle and sort."""
+    return named_rides(first_rides(keyed(pass_trips, columns), columns))
 
 
 def enrich(conformed: DataFrame, zones: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
@@ -198,9 +219,10 @@ def curate(pass_trips: DataFrame, zones: DataFrame,
 
 
 def by_week(rides: DataFrame) -> DataFrame:
-    """Conformed trips in ranges of (week id, pick-up time, ride id): each task holds few weeks, a large week takes several."""
-    rides = rides.withColumn("__week", week_id(F.col("pickup_datetime")))
-    return rides.repartitionByRange("__week", "pickup_datetime", "ride_id").drop("__week")
+    """Conformed trips in ranges of (week, pick-up time, identity): each task holds few weeks, a large week takes several."""
+    pickup = F.col("pickup_datetime")
+    return rides.repartitionByRange(F.year(pickup) * 100 + F.weekofyear(pickup), pickup, "vendor_id", "pu_location_id",
+                                    "do_location_id", "total_amount")
 
 
 def curate_by_week(pass_trips: DataFrame, zones: DataFrame,
@@ -211,7 +233,8 @@ def curate_by_week(pass_trips: DataFrame, zones: DataFrame,
     layout), and each task is sorted by week and pick-up time: its row groups hold few weeks, and so do their pages. A zone
     dimension too large to broadcast shuffles the rows by location; the sort inside the tasks remains.
     """
-    rows = enrich(by_week(conform(pass_trips)), zones, max_broadcast_bytes).select(*S.SILVER_ORDER)
+    rides = named_rides(by_week(first_rides(keyed(pass_trips))))
+    rows = enrich(rides, zones, max_broadcast_bytes).select(*S.SILVER_ORDER)
     return rows.sortWithinPartitions("pickup_week_id", "pickup_datetime")
 
 

@@ -48,8 +48,8 @@ def merged_rides(passed: DataFrame, old: DataFrame | None) -> DataFrame:
     """One row per ride over new passing trips and old curated ones, with the 20 conformed columns."""
     keyed = silver.keyed(passed)
     if old is not None:
-        keyed = keyed.unionByName(old.select(*silver.SILVER_NAMES, F.unhex("ride_id").alias(silver.RIDE_KEY)))
-    return silver.first_rides(keyed)
+        keyed = keyed.unionByName(silver.keyed(old))
+    return silver.named_rides(silver.first_rides(keyed))
 
 
 def run_silver(spark: SparkSession, bronze_base: str, zones_path: str, silver_base: str) -> list[str]:

@@ -16,6 +16,10 @@ from pyspark.sql import SparkSession
 # a method stays interpreted and runs several times slower. Set it on executors too.
 JVM_OPTIONS = "-XX:-DontCompileHugeMethods"
 
+# Where that option can't be given (it is read when a JVM starts), this limit of spark.sql.codegen.hugeMethodLimit makes Spark
+# run a stage with a larger method operator by operator, in small methods that do get compiled.
+COMPILED_METHOD_BYTES = 8000
+
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
                   app: str = "tripmart", driver_memory: str = "8g",
