@@ -261,7 +261,8 @@ def _versioned(spark: SparkSession, sf: str, gold_too: bool = False) -> str:
     for layer in (f"bronze/{jobs.TRIPS_DIR}", f"silver/{S.CURATED_DIR}", *["gold"] * gold_too):
         rows = versions.read(spark, f"{base}/{layer}")
         week = "tpep_pickup_datetime" if layer.startswith("bronze") else "pickup_week_start"
-        rows.where(F.weekofyear(week) % 2 == 1).write.parquet(versions.stage(f"{base}/{layer}"))
+        rows.where(F.weekofyear(week) % 2 == 1).write.parquet(
+            versions.stage(f"{base}/{layer}"), compression=sinks.FACT_CODEC)
     return base
 
 

@@ -87,7 +87,8 @@ def run_bronze_trips(raw: DataFrame, out_base: str, run_ts: datetime | None = No
     else:
         target = versions.stage(path) if versioned else path
         with sinks.few_partition_values(spark):  # three statuses: no sort of the trips by status
-            labelled.observe(obs, *metrics.named(aggs)).write.mode("overwrite").partitionBy(S.DQ_STATUS).parquet(target)
+            labelled.observe(obs, *metrics.named(aggs)).write.mode("overwrite").partitionBy(S.DQ_STATUS).parquet(
+                target, compression=sinks.FACT_CODEC)
         values = obs.get
         if versioned:
             versions.publish(spark, path, target, labelled.schema)
@@ -185,7 +186,7 @@ def run_silver(spark: SparkSession, bronze_base: str, zones_path: str, out_base:
     if versioned:
         versions.write(curated, curated_path)
     else:
-        curated.write.mode("overwrite").parquet(curated_path)
+        curated.write.mode("overwrite").parquet(curated_path, compression=sinks.FACT_CODEC)
     # A non-empty curated table has at least one week: no emptiness probe needed.
     written = spark.read.parquet(versions.resolve(spark, curated_path) if versioned else curated_path)
     sinks.single_file(silver.weekly_summary(written, run_ts)).write.mode(

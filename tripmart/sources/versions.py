@@ -74,7 +74,7 @@ def publish(spark: SparkSession, path: str, staged: str, schema: T.StructType) -
 def write(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> int:
     """Writes ``df`` as a new version and publishes it; returns its number."""
     staged = stage(path)
-    df.write.partitionBy(*partition_by).parquet(staged)
+    df.write.partitionBy(*partition_by).parquet(staged, compression=sinks.FACT_CODEC)
     return publish(df.sparkSession, path, staged, df.schema)
 
 
