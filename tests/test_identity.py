@@ -60,3 +60,22 @@ def test_ranges_of_weeks_are_dealt_without_the_digest(spark, sf_small):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "sha2(" in plan and "sha2(" not in plan[plan.index("Exchange rangepartitioning("):]
     assert rows.columns == S.SILVER_ORDER
+
+
+def test_increments_deal_out_narrow_rides(spark, tmp_path, monkeypatch):
+    from tests.test_increments import _trip, _zones
+    from tripmart.plans import increments
+    from tripmart.sources import sinks
+
+    plans, write = [], sinks.write_dealt_weeks
+
+    def seen(df, path):
+        if path.endswith(increments.CURATED_WEEKS_DIR):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(df, path)
+
+    monkeypatch.setattr(sinks, "write_dealt_weeks", seen)
+    increments.run(spark, trips(spark, [_trip(w, i) for w in range(3) for i in range(4)]), _zones(spark), str(tmp_path), "r")
+    above, below = plans[0].split("RebalancePartitions", 1)
+    assert "sha2(" in above and "pu_borough" in above and "sha2(" not in below and "pu_borough" not in below
+    assert spark.read.parquet(f"{tmp_path}/silver/{increments.CURATED_WEEKS_DIR}").count() == 12

@@ -64,7 +64,11 @@ def run_silver(spark: SparkSession, bronze_base: str, zones_path: str, silver_ba
         if zones is None:
             zones = spark.createDataFrame([], S.ZONE_SCHEMA)
         rides = merged_rides(passed, read_curated(spark, silver_base, weeks))
-        sinks.write_weeks(silver.enrich(rides, zones).select(*S.SILVER_ORDER), f"{silver_base}/{CURATED_WEEKS_DIR}")
+        # the narrow rides are dealt out, not the 42 columns derived from them: broadcast lookups keep that layout
+        pickup = F.col("pickup_datetime")
+        narrow = rides.drop("ride_id").withColumn("__week", F.year(pickup) * 100 + F.weekofyear(pickup))
+        dealt = silver.named_rides(sinks.weeks_by_size(narrow, "__week").drop("__week"))
+        sinks.write_dealt_weeks(silver.enrich(dealt, zones).select(*S.SILVER_ORDER), f"{silver_base}/{CURATED_WEEKS_DIR}")
     return weeks
 
 

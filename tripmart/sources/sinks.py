@@ -82,14 +82,23 @@ def write_gold(kpis: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy("pickup_week_id").parquet(path))
 
 
-def write_weeks(df: DataFrame, path: str) -> None:
-    """Replaces only the weeks that ``df`` holds; all other weeks stay as they are.
+def weeks_by_size(df: DataFrame, week: str) -> DataFrame:
+    """Rows dealt out by week and size (``rebalance``: small weeks share a task, a large one takes several), so no
+    task holds a week that outgrows it and no week is many small files."""
+    return df.hint("rebalance", F.col(week))
 
-    Weeks are dealt out by size (``rebalance``: small weeks share a task, a large one takes several), so no
-    task holds a week that outgrows it and no week is many small files.
-    """
-    (df.hint("rebalance", F.col("pickup_week_id")).write.mode("overwrite").option("compression", FACT_CODEC)
-     .option("partitionOverwriteMode", "dynamic").partitionBy("pickup_week_id").parquet(path))
+
+def write_dealt_weeks(df: DataFrame, path: str) -> None:
+    """Replaces only the weeks that ``df`` holds; all other weeks stay as they are. The rows are dealt out by week already,
+    so a task keeps a file open for each of its weeks; only one of many weeks sorts its rows."""
+    with few_partition_values(df.sparkSession):
+        (df.write.mode("overwrite").option("compression", FACT_CODEC)
+         .option("partitionOverwriteMode", "dynamic").partitionBy("pickup_week_id").parquet(path))
+
+
+def write_weeks(df: DataFrame, path: str) -> None:
+    """Deals ``df`` out by week and size and replaces the weeks it holds."""
+    write_dealt_weeks(weeks_by_size(df, "pickup_week_id"), path)
 
 
 def write_csv_preview(df: DataFrame, path: str) -> None:
