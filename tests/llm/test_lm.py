@@ -1,6 +1,8 @@
 """Context-tree weighting: the tree against a plain recursion, scores against brute force."""
 
 import math
+import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -196,3 +198,34 @@ def test_other_depths_are_refused(spark):
     for depth in (0, 2, 7):
         with pytest.raises(ValueError, match="depth"):
             lm.score(docs(spark), depth=depth)
+
+
+class Plan:
+    """Stands for a frame: gives back what would run in its tasks."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, work, _):
+        return work
+
+
+def test_grams_of_a_chunk_are_added_up_in_parts():
+    """4 MB of text of which nearly every gram is new: a task may hold few copies of them at once."""
+    rng = random.Random(5)
+    texts = [b" ".join(bytes(rng.choices(b"etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(2000)) + b" \n " for _ in range(300)]
+    size = [len(t) for t in texts]
+    batch = pa.RecordBatch.from_pydict({"chunk": [0], "held_out": [[i % 7 == 2 for i in range(len(texts))]], "size": [size],
+                                        "data": [pa.compress(b"".join(texts), "zstd", asbytes=True)]})
+    tracemalloc.start()
+    try:
+        asked = list(lm.asked(Plan(), 6, 16)(iter([batch])))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 40 * sum(size)
+    keys, n = lm.tally(*lm._of_bucket(pa.Table.from_batches(asked)))
+    wanted = Counter(lm.grams(texts, 6).tolist())
+    trained = Counter(lm.grams([t for i, t in enumerate(texts) if i % 7 != 2], 6).tolist())
+    assert keys.tolist() == sorted(wanted) and n.tolist() == [trained[k] for k in keys.tolist()]
+    assert sum(b.num_rows for b in asked) == 16  # one row for each bucket

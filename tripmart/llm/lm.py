@@ -33,7 +33,6 @@ from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +41,9 @@ from tripmart.llm.common import fold, stored
 DEPTH = 6
 HOT = 1e-5
 #: Bytes of text in a chunk; bytes and grams that are worked on at once.
-CHUNK, PIECE, GRAMS = 16_000_000, 2_000_000, 200_000
+CHUNK, PIECE, GRAMS = 16_000_000, 1_000_000, 100_000
+#: A chunk's grams are added up in so many parts, each when it holds so many grams more than twice its last sum.
+PARTS, MORE = 8, 30_000
 #: Depth of the contexts whose sums meet on the driver.
 TOP = 2
 END = b"\n"
@@ -234,6 +235,42 @@ def tally(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.n
     return k[starts], np.add.reduceat(c, starts)
 
 
+def bucket_of(keys: np.ndarray, depth: int, buckets: int) -> np.ndarray:
+    return ((keys >> 8 * (depth - TOP)) * 0x9E3779B1 >> 12) % buckets
+
+
+class Tallies:
+    """Grams and their counts in parts by bucket: adding up copies one part at a time, and a part no more often than it
+    doubles, so a task holds little more than a chunk's distinct grams."""
+
+    def __init__(self, depth: int, buckets: int):
+        self.depth, self.buckets = depth, buckets
+        self.keys, self.n = ([[] for _ in range(PARTS)] for _ in range(2))
+        self.held, self.summed = [0] * PARTS, [0] * PARTS
+
+    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
+        part = bucket_of(keys, self.depth, self.buckets) % PARTS
+        for p in range(PARTS):
+            own = part == p
+            self.keys[p].append(keys[own])
+            self.n[p].append(n[own])
+            self.held[p] += len(self.keys[p][-1])
+            if self.held[p] > 2 * self.summed[p] + MORE:
+                self._sum(p)
+
+    def _sum(self, p: int) -> None:
+        k, c = tally(self.keys[p], self.n[p])
+        self.keys[p], self.n[p], self.held[p], self.summed[p] = [k], [c], len(k), len(k)
+
+    def take(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Each part's distinct sorted grams and counts; a part that was given is no longer held."""
+        for p in range(PARTS):
+            if self.held[p]:
+                self._sum(p)
+                out, self.keys[p], self.n[p] = (self.keys[p][0], self.n[p][0]), [], []
+                yield out
+
+
 def squeezed(x: np.ndarray) -> bytes:
     return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes(), "zstd", asbytes=True)
 
@@ -281,26 +318,22 @@ def asked(chunks: DataFrame, depth: int, buckets: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, held, sizes, data in zip(*(batch.column(c).to_pylist() for c in range(4))):
-                keys, n = [], []
+                tallies = Tallies(depth, buckets)
                 for kind in (False, True):
                     for piece in _pieces(t for h, t in zip(held, texts_of(sizes, data)) if bool(h) == kind):
-                        counts = pc.value_counts(pa.array(grams(piece, depth)))
-                        keys.append(counts.field(0).to_numpy())
-                        n.append(counts.field(1).to_numpy() * (not kind))
-                        if sum(map(len, keys)) > 3_000_000:
-                            keys, n = ([x] for x in tally(keys, n))
-                if not keys:
-                    continue
-                k, c = tally(keys, n)
-                bucket = ((k >> 8 * (depth - TOP)) * 0x9E3779B1 >> 12) % buckets
-                order = np.argsort(bucket, kind="stable")
-                k, c, bucket = k[order], c[order], bucket[order]
-                starts = _starts(bucket)
-                out = [(int(bucket[a]), chunk, int(b - a), squeezed(np.diff(k[a:b], prepend=0)), squeezed(c[a:b]))
-                       for a, b in zip(starts, np.append(starts[1:], len(k)))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
-                    ["bucket", "chunk", "m", "keys", "n"])
+                        k = np.sort(grams(piece, depth))  # cheaper than a hash table of them, and sums of sorted runs merge
+                        starts = _starts(k)
+                        tallies.add(k[starts], np.diff(np.append(starts, len(k))) * (not kind))
+                for k, c in tallies.take():
+                    bucket = bucket_of(k, depth, buckets)
+                    order = np.argsort(bucket, kind="stable")
+                    k, c, bucket = k[order], c[order], bucket[order]
+                    starts = _starts(bucket)
+                    out = [(int(bucket[a]), chunk, int(b - a), squeezed(np.diff(k[a:b], prepend=0)), squeezed(c[a:b]))
+                           for a, b in zip(starts, np.append(starts[1:], len(k)))]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
+                        ["bucket", "chunk", "m", "keys", "n"])
                 pa.default_memory_pool().release_unused()
 
     return chunks.select("chunk", "held_out", "size", "data").mapInArrow(
@@ -347,6 +380,7 @@ def text_scores(chunks: DataFrame, depth: int) -> DataFrame:
     def answer(table: pa.Table) -> pa.Table:
         keys, n = _of_bucket(table)
         known, c = tally(keys, n)
+        del n
         cost = gram_costs(known, c, depth, top.value).astype(np.float32)
         costs = [squeezed(cost[np.searchsorted(known, k)]) for k in keys]
         return table.select(["chunk", "m", "keys"]).append_column("cost", pa.array(costs, pa.binary()))
@@ -358,12 +392,19 @@ def text_scores(chunks: DataFrame, depth: int) -> DataFrame:
         if chunk.num_rows:
             rid, sizes, data = (chunk.column(c)[0].as_py() for c in ("rid", "size", "data"))
             m = found.column("m").to_pylist()
-            keys = pa.array(np.concatenate([np.cumsum(unsqueezed(x, c, np.int64)) for x, c in zip(found.column("keys").to_pylist(), m)]))
-            cost = np.concatenate([unsqueezed(x, c, np.float32) for x, c in zip(found.column("cost").to_pylist(), m)]).astype(np.float64)
+            keys = np.concatenate([np.cumsum(unsqueezed(x, c, np.int64)) for x, c in zip(found.column("keys").to_pylist(), m)])
+            cost = np.concatenate([unsqueezed(x, c, np.float32) for x, c in zip(found.column("cost").to_pylist(), m)])
+            order = np.argsort(keys)
+            keys, cost = keys[order], cost[order].astype(np.float64)
             for piece in _pieces(texts_of(sizes, data)):
-                at = pc.index_in(pa.array(grams(piece, depth)), value_set=keys).to_numpy()
+                asked_for = grams(piece, depth)
+                order = np.argsort(asked_for)  # in order they are found without a table of all keys, and near each other
+                asked_for = asked_for[order]
+                starts = _starts(asked_for)
+                costs = np.empty(len(order))
+                costs[order] = np.repeat(cost[np.searchsorted(keys, asked_for[starts])], np.diff(np.append(starts, len(order))))
                 size = np.array([len(t) for t in piece])
-                model.append(np.add.reduceat(cost[at], np.cumsum(size) - size))
+                model.append(np.add.reduceat(costs, np.cumsum(size) - size))
             pa.default_memory_pool().release_unused()
         return pa.table([pa.array(rid, pa.int64()), pa.array(np.concatenate(model) if model else [], pa.float64())],
                         names=["rid", "model"])
