@@ -106,3 +106,10 @@ def test_features_are_bounded():
     for text in (None, "", "x" * 10**6, "a " * 10**5, "!!!", "### $$$"):
         f = quality.features(text)
         assert len(f) == len(quality.FEATURES) and all(math.isfinite(x) for x in f)
+
+
+def test_evidence_is_computed_once_a_text(spark, sf_small):
+    """The filter on the posterior isn't turned into one more call of the classifier below it."""
+    docs, labels = (spark.read.parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "labels"))
+    plan = quality.keep(docs, labels)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

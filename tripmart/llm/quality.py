@@ -113,7 +113,8 @@ def evidence_column(spark, model: Model, text: str | Column = "text") -> Column:
             rows = [features(t) for t in texts]
             yield pd.Series(shared.value.evidence(np.array(rows)) if rows else [], dtype="float64")
 
-    return evidence(F.col(text) if isinstance(text, str) else text)
+    # As a deterministic function it would be put into filters below as well: each text would be scored twice, by two workers a task.
+    return evidence.asNondeterministic()(F.col(text) if isinstance(text, str) else text)
 
 
 def _strength(rate: Column, mean: Column, n: Column) -> list[Column]:
