@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tripmart import schemas as S
 from tripmart.operators import bronze, gold, silver
-from tripmart.plans import jobs
+from tripmart.plans import catalog, jobs
 from tripmart.session import scratch_path, shared_dir
 from tripmart.sources import fixtures as fx
 from tripmart.sources import readers, sinks
@@ -214,3 +214,17 @@ def test_fixed_values_are_pinned():
     assert len(S.AMOUNT_COLUMNS) == 11 and S.MAX_TRIP_SECONDS == 86400
     assert len(S.SILVER_ORDER) == 42 and len(set(S.SILVER_ORDER)) == 42 and len(S.KPI_ORDER) == 13
     assert (S.PREVIEW_ROWS, S.SAMPLE_ROWS, S.TOP_ROWS, S.LAYER_SAMPLE_ROWS) == (500, 20, 10, 5000)
+
+
+def test_empty_writes_read_the_source_once(spark, sf_small, monkeypatch):
+    """The jobs over passing and over rejected trips read the trips that the first job flagged and wrote."""
+    inputs, outcomes = [], jobs.bronze_outcomes
+    monkeypatch.setattr(jobs, "bronze_outcomes", lambda raw, *a, **b: inputs.append(raw) or outcomes(raw, *a, **b))
+    got = {(r["input"], r.output): (r.written, r.rows) for r in catalog._empty_writes(spark, sf_small).collect()}
+    assert [any("lineitem" in f for f in raw.inputFiles()) for raw in inputs] == [True, False, False]
+    assert {raw.schema.simpleString() for raw in inputs} == {inputs[0].schema.simpleString()}
+    parts = bronze.split_flagged(catalog.trips_flagged(spark, sf_small))
+    for name, rows, folder in (("passing", parts.passed, "pass"), ("rejected", parts.rejects, "_rejects")):
+        n = rows.count()
+        own = [k for k, (written, _) in got.items() if k[0] == name and written]
+        assert own == [(name, k[1]) for k in own if k[1].endswith(folder)] and got[own[0]] == (True, n)

@@ -191,13 +191,15 @@ def _gold_report(name: str) -> Query:
 
 def _empty_writes(spark: SparkSession, sf: str) -> DataFrame:
     """What the trip job writes for all trips, for passing ones only and for rejected ones only."""
-    parts = bronze.split_flagged(trips_flagged(spark, sf))
-    own = trips_raw(spark, sf).columns
-    out = None
-    for name, raw in (("all", trips_raw(spark, sf)), ("passing", parts.passed.select(*own)),
-                      ("rejected", parts.rejects.select(*own))):
-        part = jobs.bronze_outcomes(raw).withColumn("input", F.lit(name))
-        out = part if out is None else out.unionByName(part)
+    raw, base = trips_raw(spark, sf), scratch_path(spark, "bronze-job")
+    out = jobs.bronze_outcomes(raw, base=base).withColumn("input", F.lit("all"))
+    # the flagged trips as that run wrote them: the raw rows are made and flagged once for the inputs that follow
+    path = f"{base}/{jobs.TRIPS_DIR}"  # not there without a trip
+    flagged = spark.read.parquet(path).drop(S.DQ_STATUS) if sinks.exists(spark, path) else trips_flagged(spark, sf)
+    parts = bronze.split_flagged(flagged)
+    for name, rows in (("passing", parts.passed), ("rejected", parts.rejects)):
+        part = jobs.bronze_outcomes(rows.select(*raw.columns)).withColumn("input", F.lit(name))
+        out = out.unionByName(part)
     return out
 
 

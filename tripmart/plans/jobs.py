@@ -109,13 +109,13 @@ def run_bronze_trips(raw: DataFrame, out_base: str, run_ts: datetime | None = No
     return spark.read.parquet(f"{out_base}/{S.RUN_SUMMARY_ALL_DIR}")
 
 
-def bronze_outcomes(raw: DataFrame, split_folders: bool = True) -> DataFrame:
-    """Run the bronze trip job into the shared folder and report what it wrote: (output, written,
+def bronze_outcomes(raw: DataFrame, split_folders: bool = True, base: str | None = None) -> DataFrame:
+    """Run the bronze trip job into the shared folder (``base``, if given) and report what it wrote: (output, written,
     rows) per split folder. ``written`` is looked up in the file system, rows are read back."""
     from tripmart.session import scratch_path
 
     spark = raw.sparkSession
-    base = scratch_path(spark, "bronze-job")
+    base = base or scratch_path(spark, "bronze-job")
     run_bronze_trips(raw, base, split_folders=split_folders)
     out = None
     for folder in S.SPLIT_DIRS.values():
