@@ -74,11 +74,15 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     every trip value is computed once per line item instead of being inlined into a
     filter pushed down to the scan.
     """
-    trips = (lineitem.select(*LINEITEM_COLUMNS)
-             .selectExpr("*", _HASH).selectExpr(*_BASE).selectExpr(*_TRIP))
-    copies = "CASE WHEN h%50=0 THEN 2 ELSE 1 END"
-    return trips.selectExpr(
-        f"inline(array_repeat(struct({', '.join(TRIP_COLUMNS)}), {copies}))")
+    return _emitted(lineitem.select(*LINEITEM_COLUMNS)
+                    .selectExpr("*", _HASH).selectExpr(*_BASE).selectExpr(*_TRIP))
+
+
+def _emitted(trips: DataFrame) -> DataFrame:
+    """Trips with ``h``, each once or twice. The struct is made by a projection, which is always compiled; inside the
+    generator, which isn't where the fused method is too large, its 20 fields would be interpreted one by one."""
+    trips = trips.selectExpr(f"struct({', '.join(TRIP_COLUMNS)}) AS trip", "CASE WHEN h%50=0 THEN 2 ELSE 1 END AS copies")
+    return trips.selectExpr("inline(array_repeat(trip, copies))")
 
 
 # Text trips: column i holds the junk text 'x' where h % 101 = i; a distance is NaN where h % 103 = 5.
@@ -92,11 +96,9 @@ def _as_text(i: int, name: str) -> str:
 
 def text_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """The same raw trips with all 20 columns as text, with junk in every column."""
-    trips = (lineitem.select(*LINEITEM_COLUMNS)
-             .selectExpr("*", _HASH).selectExpr(*_BASE).selectExpr(*_TRIP)
-             .selectExpr("h", *[_as_text(i, c) for i, c in enumerate(TRIP_COLUMNS)]))
-    copies = "CASE WHEN h%50=0 THEN 2 ELSE 1 END"
-    return trips.selectExpr(f"inline(array_repeat(struct({', '.join(TRIP_COLUMNS)}), {copies}))")
+    return _emitted(lineitem.select(*LINEITEM_COLUMNS)
+                    .selectExpr("*", _HASH).selectExpr(*_BASE).selectExpr(*_TRIP)
+                    .selectExpr("h", *[_as_text(i, c) for i, c in enumerate(TRIP_COLUMNS)]))
 
 
 def zones_from_nation_region(nation: DataFrame, region: DataFrame) -> DataFrame:
