@@ -98,3 +98,16 @@ def test_counts_come_from_footers(spark, tmp_path):
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
     got = readers.written_row_counts(spark, {n: f"{tmp_path}/{n}" for n in ("t", "v", "none", "absent")})
     assert [tuple(r) for r in got.collect()] == [("t", 1000), ("v", 5), ("none", 0), ("absent", 0)]
+
+
+def test_curated_sort_holds_no_ride_ids_nor_derived_columns(spark, sf_small):
+    rows = silver.curate_by_week(catalog.trips_pass(spark, sf_small), catalog.zones_bronze(spark, sf_small))
+    before = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "200")
+    try:
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", before)
+    sort = next(line for line in plan.splitlines() if "Sort [" in line and "false" in line)
+    assert "sha2(" in plan.split(sort)[0] and "sha2(" not in plan.split(sort)[1]
+    assert "revenue_per_mile" not in plan.split(sort)[1]

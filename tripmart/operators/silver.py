@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart import schemas as S
@@ -218,10 +218,17 @@ def curate(pass_trips: DataFrame, zones: DataFrame,
     return enrich(conform(pass_trips), zones, max_broadcast_bytes).select(*S.SILVER_ORDER)
 
 
+#: Year and ISO week as a number, in the order of the week ids.
+WEEK_NUMBER = "__week"
+
+
+def _week_number() -> Column:
+    return F.year("pickup_datetime") * 100 + F.weekofyear("pickup_datetime")
+
+
 def by_week(rides: DataFrame) -> DataFrame:
     """Conformed trips in ranges of (week, pick-up time, identity): each task holds few weeks, a large week takes several."""
-    pickup = F.col("pickup_datetime")
-    return rides.repartitionByRange(F.year(pickup) * 100 + F.weekofyear(pickup), pickup, "vendor_id", "pu_location_id",
+    return rides.repartitionByRange(_week_number(), "pickup_datetime", "vendor_id", "pu_location_id",
                                     "do_location_id", "total_amount")
 
 
@@ -231,11 +238,12 @@ def curate_by_week(pass_trips: DataFrame, zones: DataFrame,
 
     The narrow conformed rows are dealt out by ranges before the zones are attached (broadcast lookups keep that
     layout), and each task is sorted by week and pick-up time: its row groups hold few weeks, and so do their pages. A zone
-    dimension too large to broadcast shuffles the rows by location; the sort inside the tasks remains.
+    dimension too large to broadcast shuffles the rows by location; the sort inside the tasks remains. The ride ids and the
+    derived columns are made of the sorted rows, so the sort doesn't hold them.
     """
-    rides = named_rides(by_week(first_rides(keyed(pass_trips))))
-    rows = enrich(rides, zones, max_broadcast_bytes).select(*S.SILVER_ORDER)
-    return rows.sortWithinPartitions("pickup_week_id", "pickup_datetime")
+    rides = join_zones(by_week(first_rides(keyed(pass_trips))), zones, max_broadcast_bytes)
+    ordered = rides.withColumn(WEEK_NUMBER, _week_number()).sortWithinPartitions(WEEK_NUMBER, "pickup_datetime")
+    return add_derived_columns(named_rides(ordered)).select(*S.SILVER_ORDER)
 
 
 def weekly_summary(curated: DataFrame, run_ts: datetime | None = None) -> DataFrame:
